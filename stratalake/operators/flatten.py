@@ -30,13 +30,12 @@ def promote_struct(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
 
 def explode_only(df: DataFrame, column: str, alias: str = "col") -> DataFrame:
     """One row per array element and nothing else; null and empty arrays vanish."""
-    return df.select(F.explode(_quoted(column)).alias(alias))
+    return _exploded(df.select(_quoted(column)), column, alias)
 
 
 def explode_keep(df: DataFrame, column: str, alias: str = "col") -> DataFrame:
     """One row per array element beside the other columns, without the array."""
-    others = [_quoted(name) for name in df.columns if name != column]
-    return df.select(*others, F.explode(_quoted(column)).alias(alias))
+    return _exploded(df, column, alias)
 
 
 def items_as_rows(df: DataFrame, column: str) -> DataFrame:
@@ -51,5 +50,17 @@ def items_as_rows(df: DataFrame, column: str) -> DataFrame:
     return df.select(*others, F.explode_outer(_quoted(column)).alias(column))
 
 
+def _exploded(df: DataFrame, column: str, alias: str) -> DataFrame:
+    """``explode`` that evaluates the array once.
+
+    For a plain ``explode`` the optimizer adds a filter on the array's size. If
+    the array comes out of a parser, that parses every document again, twice. An
+    outer explode has no such filter; rows without elements have no position.
+    """
+    others = [_quoted(name) for name in df.columns if name != column]
+    positioned = F.posexplode_outer(_quoted(column)).alias("__position", alias)
+    return df.select(*others, positioned).where(F.col("__position").isNotNull()).drop("__position")
+
+
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")

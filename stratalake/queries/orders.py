@@ -13,7 +13,7 @@ from ..operators.ranking import first_per_key, with_key_stats
 from ..plans import documents
 from ..plans import purchase_orders as po
 from ..scratch import fresh_dir, fresh_name
-from ..sources.files import read_binary_files, read_xml_rows
+from ..sources.files import read_binary_files
 from ..streaming.runs import run_once
 from .registry import Registry
 
@@ -115,9 +115,7 @@ def xml_parse_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="promote_struct",
 )
 def promote_struct_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_xml_rows(
-        spark, landing.order_files(spark, sf_dir), landing.ORDER_TAG, po.ORDER_SCHEMA
-    )
+    orders = po.read_orders(spark, landing.order_files(spark, sf_dir))
     items = explode_keep(promote_struct(orders.drop("Address"), "Items"), "Item", "item")
     return promote_struct(items, "item")
 

@@ -104,24 +104,31 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
     """Update the rows of table ``name`` whose keys occur in ``source``, insert the rest.
 
     Null keys match nothing: they stay in the table and are inserted from the
-    source. Two source rows for one existing row raise an error. Every join
-    reads the table on the left and the source on the right, so a small change
-    is broadcast and the table is not shuffled; if both are large, Spark can
-    split a hot key of the table.
+    source. Two source rows for one existing row raise an error.
+
+    The source is used several times, so it is written out first: it is computed
+    once, and Spark knows its size. The joins read the table on the left and the
+    source on the right. A small source is broadcast and the table not shuffled;
+    if both are large, a hot key of the table can be split.
     """
+    spark = source.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
-    target = source.sparkSession.table(name)
+    target = spark.table(name)
     extra = [c for c in target.columns if c not in source.columns]
     if extra:
         raise ValueError(f"the source lacks {extra}")
+    staged = _version(root, f"{name}-source")
+    # Values take the table's types, as in an insert.
+    overwrite_files(
+        source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]), staged
+    )
+    source = spark.read.schema(target.schema).parquet(staged)
 
     found = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
     repeated = source.select(*keys).join(found, keys, "left_semi").groupBy(*keys).count()
     if not repeated.where(F.col("count") > 1).isEmpty():
         raise ValueError(f"several source rows for one row of {name}")
 
-    # Values take the table's types, as in an insert.
-    source = source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
     change = source.select(
         *[F.col(c).alias(f"__key_{c}") for c in keys],
         F.struct(*target.columns).alias("__change"),
