@@ -103,7 +103,7 @@ def order_elements(
         .select(
             F.col("o_orderkey").alias("_PurchaseOrderNumber"),
             # A date attribute would be written as a day number.
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("_OrderDate"),
+            F.col("o_orderdate").cast("date").cast("string").alias("_OrderDate"),
             F.array(address("Shipping"), address("Billing")).alias("Address"),
             F.when(F.col("Item").isNotNull(), F.struct("Item")).alias("Items"),
         )

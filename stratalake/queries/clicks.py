@@ -33,7 +33,7 @@ TOP_REFERRERS = (
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_json(spark, landing.click_files(spark, sf_dir))
+    return read_json(spark, landing.click_files(spark, sf_dir), clicks.RAW_SCHEMA)
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
