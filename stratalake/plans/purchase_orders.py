@@ -20,7 +20,7 @@ from ..operators.flatten import explode_keep, explode_only, items_as_rows, promo
 from ..operators.ranking import summarise_per_key
 from ..sinks.tables import materialize
 from ..sources.files import read_xml_rows
-from ..sources.streams import stream_binary_files
+from ..sources.streams import stream_binary_files, stream_xml_rows
 from ..streaming.runs import run_once
 
 ORDER = "_PurchaseOrderNumber"
@@ -84,6 +84,20 @@ def read_orders(
     return read_xml_rows(spark, files, "PurchaseOrder", schema)
 
 
+def run_orders(
+    spark: SparkSession,
+    files: str,
+    checkpoint: str,
+    path: str,
+    table: str,
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """Append the orders of the files that arrived since the last run to ``table``."""
+    stream = stream_xml_rows(spark, files, "PurchaseOrder", ORDER_SCHEMA, max_bytes=max_bytes)
+    run_once(stream, checkpoint, path, table)
+    return spark.table(table)
+
+
 def summary(bronze_rows: DataFrame) -> DataFrame:
     """One row per order element, order fields as columns."""
     documents = promote_struct(bronze_rows, "payload")

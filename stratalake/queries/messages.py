@@ -10,6 +10,7 @@ from ..functions.timing import stamp_arrival, utc_instant, utc_wall_clock
 from ..plans import messages
 from ..scratch import fresh_dir, fresh_name
 from ..sinks.tables import declare_view
+from ..sources.files import read_evolving
 from ..sources.streams import stream_table
 from ..streaming.runs import run_complete, run_once
 from ..streaming.windows import tumbling_distinct
@@ -223,3 +224,22 @@ def incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = spark.readStream.schema(events.schema).parquet(arrivals)
         run_once(stream.withColumn("run", F.lit(run)), checkpoint, out)
     return spark.read.parquet(out).groupBy("run").agg(F.count(F.lit(1)).alias("new_rows"))
+
+
+@registry.check(f"""
+    SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '{SECOND_DELIVERY}' THEN value END AS value
+    FROM events""")
+def evolve_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run of a stream has a column that the first had not."""
+    events = landing.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
+    arrivals = fresh_dir(spark, "arrivals")
+    checkpoint, out = fresh_dir(spark, "checkpoint"), fresh_dir(spark, "evolved")
+    for delivered, columns in (
+        (early, ["event_id", "event_type"]),
+        (~early, ["event_id", "event_type", "value"]),
+    ):
+        batch = events.where(delivered).select(*columns)
+        batch.write.mode("append").parquet(arrivals)
+        run_once(spark.readStream.schema(batch.schema).parquet(arrivals), checkpoint, out)
+    return read_evolving(spark, out)

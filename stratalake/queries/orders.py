@@ -287,6 +287,19 @@ def po_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(priced, price=2)
 
 
+@registry.check(COMBINED)
+def po_order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = fresh_name("orders")
+    stored = po.run_orders(
+        spark,
+        landing.order_files(spark, sf_dir),
+        fresh_dir(spark, "checkpoint"),
+        fresh_dir(spark, name),
+        name,
+    )
+    return _rounded(po.combined_in_one_pass(po.detail(stored)), Total_Price=2)
+
+
 @registry.check("""
     SELECT o_orderkey AS order_number, count(l_orderkey) AS items, true AS from_xml_file
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")

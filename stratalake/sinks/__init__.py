@@ -6,6 +6,7 @@ from .tables import (
     overwrite_files,
     publish_version,
     register_table,
+    reused,
     table_detail,
     upsert,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "overwrite_files",
     "publish_version",
     "register_table",
+    "reused",
     "table_detail",
     "upsert",
 ]

@@ -9,10 +9,27 @@ fails half-way leaves the table as it was.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@contextmanager
+def reused(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` while several results are computed from it, then let it go.
+
+    Partitions that do not fit in memory go to disk; those lost with an executor
+    are computed again.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
 
 
 def overwrite_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -34,21 +51,29 @@ def register_table(
     spark: SparkSession,
     name: str,
     path: str,
+    schema: T.StructType | None = None,
+    partition_by: Sequence[str] = (),
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> None:
     """Drop ``name`` if it exists and register the Parquet files at ``path`` under it.
 
-    Schema and partition columns are taken from the files, which are not touched.
+    The files are not touched. Without a ``schema`` the columns are taken from
+    them, and partition values that look like numbers become numbers.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = ""
+    if schema is not None:
+        columns = f" ({_nullable(schema).toDDL()})"
     clauses = f" LOCATION '{_literal(path)}'"
+    if schema is not None and partition_by:
+        clauses = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)}){clauses}"
     if comment:
         clauses += f" COMMENT '{_literal(comment)}'"
     if properties:
         pairs = ", ".join(f"'{_literal(k)}'='{_literal(v)}'" for k, v in properties.items())
         clauses += f" TBLPROPERTIES ({pairs})"
-    spark.sql(f"CREATE TABLE {name} USING parquet{clauses}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name}{columns} USING parquet{clauses}")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
 
@@ -74,7 +99,7 @@ def publish_version(
     if movable:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(path)}'")
     else:
-        register_table(spark, name, path, comment, properties)
+        register_table(spark, name, path, df.schema, partition_by, comment, properties)
     return spark.table(name)
 
 
@@ -169,7 +194,7 @@ def append_evolving(df: DataFrame, name: str) -> DataFrame:
             )
     added = [field for field in df.schema.fields if field.name.lower() not in known]
     if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        columns = _nullable(T.StructType(added)).toDDL()
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
     given = {column.lower() for column in df.columns}
     aligned = df.select(
@@ -211,6 +236,10 @@ def _same_columns(left: DataFrame, right: DataFrame) -> bool:
     return columns(left) == columns(right)
 
 
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
 def _version(root: str, name: str) -> str:
     return f"{root}/{name}/v-{uuid.uuid4().hex[:12]}"
 

@@ -48,6 +48,19 @@ def read_binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFr
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
 
 
+def read_evolving(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Parquet files whose columns have grown over time; older rows get nulls.
+
+    Without a schema the footer of every file is read to merge them. Name the
+    columns once there are many files.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def with_source_path(df: DataFrame, column: str = "path") -> DataFrame:
     """Add the file each row was read from. Apply it right after the scan."""
     return df.withColumn(column, F.col("_metadata.file_path"))

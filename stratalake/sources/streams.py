@@ -47,6 +47,22 @@ def stream_text_lines(
     return _bounded(spark.readStream.format("text"), max_files, max_bytes).load(path_glob)
 
 
+def stream_xml_rows(
+    spark: SparkSession,
+    path: str,
+    row_tag: str,
+    schema: T.StructType | str,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """One row per ``row_tag`` element of every new file.
+
+    Unlike ``stream_binary_files`` no document has to fit in a value.
+    """
+    reader = spark.readStream.format("xml").option("rowTag", row_tag).schema(schema)
+    return _bounded(reader, max_files, max_bytes).option("pathGlobFilter", "*.xml").load(path)
+
+
 def stream_table(spark: SparkSession, name: str) -> DataFrame:
     """Rows appended to a table."""
     return spark.readStream.table(name)

@@ -59,4 +59,8 @@ def run_complete(stream: DataFrame, checkpoint: str, path: str, table: str) -> S
         .start()
     )
     query.awaitTermination()
+    # The batches ran in a session of their own; this one may remember the version before.
+    catalog = stream.sparkSession.catalog
+    if catalog.tableExists(table):
+        catalog.refreshTable(table)
     return query

@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+from conftest import physical_plan, rows
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stratalake.operators import (
+    combine_on_key,
+    count_rows,
+    first_per_key,
+    sum_per_key,
+    summarise_per_key,
+    top_k,
+    with_key_stats,
+)
+from stratalake.plans import purchase_orders as po
+
+LINES = [
+    (1, "nut", 10, 2.0, 5.0),
+    (1, "nut", 11, 4.0, 1.0),
+    (2, "bolt", 10, 3.0, 7.5),
+    (None, None, 12, None, None),
+]
+LINE_SCHEMA = (
+    "_PartNumber bigint, ProductName string, _PurchaseOrderNumber bigint, Quantity double, Price double"
+)
+
+
+def lines(spark):
+    return spark.createDataFrame(LINES, LINE_SCHEMA)
+
+
+def test_sums_keep_orders_without_values(spark):
+    assert rows(po.totals(lines(spark))) == [(10, 12.5), (11, 1.0), (12, None)]
+    assert rows(po.quantities(lines(spark))) == [(10, 5.0), (11, 4.0), (12, None)]
+
+
+def test_joined_and_one_pass_forms_agree(spark):
+    data = lines(spark).union(spark.createDataFrame([(9, "x", None, 1.0, 1.0)], LINE_SCHEMA))
+    joined = po.combined(po.totals(data), po.quantities(data))
+    assert rows(joined) == rows(po.combined_in_one_pass(data))
+    assert joined.columns == ["_PurchaseOrderNumber", "Total_Price", "Total_Items_Ordered"]
+
+
+def test_combining_grouped_results_adds_no_shuffle(spark, folder):
+    spark.range(1000).selectExpr("id % 10 AS k", "id AS a", "id AS b").write.parquet(folder + "/t")
+    data = spark.read.parquet(folder + "/t")
+    both = combine_on_key(
+        sum_per_key(data, "k", {"a": "sa"}), sum_per_key(data, "k", {"b": "sb"}).hint("merge"), "k"
+    )
+    assert physical_plan(both).count("Exchange hashpartitioning") == 2
+    one_pass = sum_per_key(data, "k", {"a": "sa", "b": "sb"})
+    assert physical_plan(one_pass).count("Exchange hashpartitioning") == 1
+
+
+def test_part_summary_equals_its_window_form(spark):
+    by_part = Window.partitionBy("_PartNumber")
+    windowed = (
+        lines(spark)
+        .withColumn("row", F.row_number().over(by_part.orderBy("ProductName")))
+        .withColumn("avg", F.avg("Quantity").over(by_part))
+        .withColumn("sum", F.sum("Quantity").over(by_part))
+        .withColumn("min", F.min("Quantity").over(by_part))
+        .withColumn("max", F.max("Quantity").over(by_part))
+        .withColumn("stddev", F.stddev("Quantity").over(by_part))
+        .where("row = 1")
+        .select("_PartNumber", "ProductName", "avg", "sum", "min", "max", "stddev")
+    )
+    summary = summarise_per_key(lines(spark), "_PartNumber", "Quantity", "ProductName")
+    assert rows(summary) == rows(windowed)
+    assert summary.columns == windowed.columns
+
+
+def test_key_stats_keep_every_row_and_the_null_group(spark):
+    data = spark.createDataFrame([(1, 1.0), (1, 3.0), (None, 5.0), (None, 7.0)], "k int, v double")
+    result = with_key_stats(data, "k", "v").select("k", "v", "avg", "min", "max")
+    assert rows(result) == [
+        (1, 1.0, 2.0, 1.0, 3.0),
+        (1, 3.0, 2.0, 1.0, 3.0),
+        (None, 5.0, 6.0, 5.0, 7.0),
+        (None, 7.0, 6.0, 5.0, 7.0),
+    ]
+
+
+def test_first_per_key_is_reduced_before_the_shuffle(spark, folder):
+    spark.range(1000).selectExpr("id % 3 AS k", "id AS v").write.parquet(folder + "/t")
+    first = first_per_key(spark.read.parquet(folder + "/t"), "k", [F.desc("v")])
+    assert rows(first) == [(0, 999), (1, 997), (2, 998)]
+    plan = physical_plan(first_per_key(spark.read.parquet(folder + "/t"), "k", ["v"]))
+    before_shuffle = plan[plan.index("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
+def test_top_k_breaks_ties_and_never_sorts_everything(spark):
+    data = spark.createDataFrame([("b", 2), ("a", 2), ("c", 9), ("d", 1)], "name string, n int")
+    top = top_k(data, "n", 3, tie_break="name")
+    assert [tuple(row) for row in top.collect()] == [("c", 9), ("a", 2), ("b", 2)]
+    assert "TakeOrderedAndProject" in physical_plan(top)
+
+
+def test_row_count(spark):
+    assert rows(count_rows(lines(spark))) == [(4,)]
+
+
+def test_fan_out_multiplies_by_address(spark):
+    order = (
+        1,
+        None,
+        [("Shipping", "A", "X"), ("Billing", "A", "Y")],
+        ([(7, "nut", 2.0, 5.0), (8, "bolt", 1.0, 1.0)],),
+    )
+    orders = spark.createDataFrame([order], po.ORDER_SCHEMA)
+    assert rows(po.totals(po.detail(orders))) == [(1, 12.0)]
+    assert rows(po.totals(po.detail(orders, fan_out=False))) == [(1, 6.0)]
+    assert po.detail(orders).columns == [
+        "_PartNumber",
+        "ProductName",
+        "Quantity",
+        "Price",
+        "_Type",
+        "Name",
+        "State",
+        "_PurchaseOrderNumber",
+        "_OrderDate",
+    ]
