@@ -68,7 +68,7 @@ def order_elements(
         .where(F.col("count") > items_per_element)
         .select("large_order", F.ceil(F.col("count") / items_per_element).alias("elements"))
     )
-    element = F.coalesce(F.pmod(F.col("line_id"), F.col("elements")), F.lit(0))
+    element = F.coalesce(F.pmod(F.xxhash64("line_id"), F.col("elements")), F.lit(0))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     collected = (
         lines.withColumn("line_id", F.monotonically_increasing_id())
@@ -220,6 +220,7 @@ def event_json_files(spark: SparkSession, sf_dir: str) -> str:
         .select(
             "event_id", "user_id", "value", "props", F.col("ts").cast("string").alias("ts"), "event_type"
         )
+        .hint("rebalance", "event_type")
         .write.partitionBy("event_type")
         .json(path)
     )

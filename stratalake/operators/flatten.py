@@ -23,7 +23,7 @@ def promote_struct(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
     if clashes:
         raise ValueError(f"{column} has fields that already are columns: {clashes}")
     return df.select(
-        *[F.col(column).getField(name).alias(alias) for name, alias in promoted.items()],
+        *[_quoted(column).getField(name).alias(alias) for name, alias in promoted.items()],
         *[_quoted(name) for name in others],
     )
 
@@ -57,7 +57,10 @@ def _exploded(df: DataFrame, column: str, alias: str) -> DataFrame:
     the array comes out of a parser, that parses every document again, twice. An
     outer explode has no such filter; rows without elements have no position.
     """
-    others = [_quoted(name) for name in df.columns if name != column]
+    kept = [name for name in df.columns if name != column]
+    if alias.lower() in {name.lower() for name in kept}:
+        raise ValueError(f"{alias} already is a column")
+    others = [_quoted(name) for name in kept]
     positioned = F.posexplode_outer(_quoted(column)).alias("__position", alias)
     return df.select(*others, positioned).where(F.col("__position").isNotNull()).drop("__position")
 

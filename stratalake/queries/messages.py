@@ -13,7 +13,7 @@ from ..sinks.tables import declare_view
 from ..sources.files import read_evolving
 from ..sources.streams import stream_table
 from ..streaming.runs import run_complete, run_once
-from ..streaming.windows import tumbling_distinct
+from ..streaming.windows import pane_sketches, tumbling_distinct, windows_from_panes
 from .registry import Registry
 
 registry = Registry()
@@ -115,7 +115,7 @@ def msg_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registry.check(
+SLIDING = (
     KNOWN
     + """
     SELECT start AS window_start, start + INTERVAL 60 MINUTE AS window_end,
@@ -124,6 +124,9 @@ def msg_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM known CROSS JOIN range(6) AS slides(k))
     GROUP BY start"""
 )
+
+
+@registry.check(SLIDING)
 def msg_sliding_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = fresh_name("device_models")
     run_complete(
@@ -135,6 +138,19 @@ def msg_sliding_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*_bounds("window"), "count_dist_device_model")
 
 
+@registry.check(SLIDING)
+def msg_sliding_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = fresh_name("device_models")
+    run_complete(
+        pane_sketches(_silver(spark, sf_dir), messages.EVENT_TIME, "userequipment_model_name"),
+        fresh_dir(spark, "checkpoint"),
+        fresh_dir(spark, name),
+        name,
+        finish=lambda panes: windows_from_panes(panes, "count_dist_device_model"),
+    )
+    return spark.table(name).select(*_bounds("window"), "count_dist_device_model")
+
+
 # Windows that end after the watermark are still open when the stream stops.
 CLOSED = "<= (SELECT max(ts) - INTERVAL 10 MINUTE FROM known)"
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import landing
-from ..functions.decode import bytes_to_text, infer_xml_schema, parse_xml
+from ..functions.decode import bytes_to_text, infer_xml_schema, narrow_schema, parse_xml
 from ..operators.flatten import explode_keep, explode_only, promote_struct
 from ..operators.ranking import first_per_key, with_key_stats
 from ..plans import documents
@@ -47,6 +47,12 @@ def _documents(
     return po.bronze(_files(spark, sf_dir), schema)
 
 
+def _orders(
+    spark: SparkSession, sf_dir: str, schema: T.StructType = po.ORDER_SCHEMA
+) -> DataFrame:
+    return po.read_orders(spark, landing.order_files(spark, sf_dir), schema)
+
+
 def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(landing.order_details(spark, sf_dir))
 
@@ -115,8 +121,8 @@ def xml_parse_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="promote_struct",
 )
 def promote_struct_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = po.read_orders(spark, landing.order_files(spark, sf_dir))
-    items = explode_keep(promote_struct(orders.drop("Address"), "Items"), "Item", "item")
+    orders = _orders(spark, sf_dir).drop("Address")
+    items = explode_keep(promote_struct(orders, "Items"), "Item", "item")
     return promote_struct(items, "item")
 
 
@@ -178,16 +184,15 @@ def po_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM detail"""
 )
 def po_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return po.detail(po.summary(_documents(spark, sf_dir)))
+    return po.detail(_orders(spark, sf_dir))
 
 
 @registry.check("""
     SELECT o_orderkey AS _PurchaseOrderNumber, round(sum(l_extendedprice), 2) AS Total_Price
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def po_totals_by_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = po.document_schema([po.ORDER, "Items.Item.Price"])
-    lines = po.items(po.summary(_documents(spark, sf_dir, schema)))
-    return _rounded(po.totals(lines), Total_Price=2)
+    schema = narrow_schema(po.ORDER_SCHEMA, [po.ORDER, "Items.Item.Price"])
+    return _rounded(po.totals(po.items(_orders(spark, sf_dir, schema))), Total_Price=2)
 
 
 @registry.check("""
@@ -224,8 +229,7 @@ def po_combined_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.check(COMBINED)
 def po_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = po.summary(_documents(spark, sf_dir))
-    stored = po.chain(orders, fresh_dir(spark, "po-chain"), fresh_name("run"))
+    stored = po.chain(_orders(spark, sf_dir), fresh_dir(spark, "po-chain"), fresh_name("run"))
     return _rounded(stored["combined"], Total_Price=2)
 
 

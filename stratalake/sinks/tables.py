@@ -4,6 +4,9 @@ Tables are Parquet files at a location plus a catalog entry. A change that
 replaces rows writes a new version in a folder of its own and then moves the
 catalog entry to it: readers keep the version they started with, and a job that
 fails half-way leaves the table as it was.
+
+A table has one writer at a time. One that a stream appends to keeps a list of
+the files that count, so only that stream may write to it.
 """
 
 from __future__ import annotations
@@ -11,12 +14,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import fresh_name
+
 
 @contextmanager
 def reused(df: DataFrame) -> Iterator[DataFrame]:
@@ -70,8 +76,7 @@ def register_table(
     if comment:
         clauses += f" COMMENT '{_literal(comment)}'"
     if properties:
-        pairs = ", ".join(f"'{_literal(k)}'='{_literal(v)}'" for k, v in properties.items())
-        clauses += f" TBLPROPERTIES ({pairs})"
+        clauses += f" TBLPROPERTIES ({_pairs(properties)})"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name}{columns} USING parquet{clauses}")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
@@ -89,17 +94,15 @@ def publish_version(
     """Write ``df`` to the folder ``path`` and make it the content of table ``name``."""
     spark = df.sparkSession
     overwrite_files(df, path, partition_by)
-    movable = (
-        not partition_by
-        and not comment
-        and not properties
-        and spark.catalog.tableExists(name)
-        and _same_columns(spark.table(name), df)
-    )
-    if movable:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(path)}'")
-    else:
+    same_columns = spark.catalog.tableExists(name) and _same_columns(spark.table(name), df)
+    if not same_columns or partition_by:
         register_table(spark, name, path, df.schema, partition_by, comment, properties)
+        return spark.table(name)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(path)}'")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS '{_literal(comment)}'")
+    if properties:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_pairs(properties)})")
     return spark.table(name)
 
 
@@ -135,6 +138,10 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
     once, and Spark knows its size. The joins read the table on the left and the
     source on the right. A small source is broadcast and the table not shuffled;
     if both are large, a hot key of the table can be split.
+
+    The table is rewritten, unless it is partitioned by some of the keys: then
+    only the partitions that occur in the source are read and replaced, one
+    after the other.
     """
     spark = source.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -148,10 +155,31 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
         source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]), staged
     )
     source = spark.read.schema(target.schema).parquet(staged)
+    version = _version(root, name)
+    partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not partition_by:
+        return publish_version(_merged(target, source, keys, name), name, version)
+    if not set(partition_by) <= set(keys):
+        merged = _merged(target, source, keys, name)
+        return publish_version(merged, name, version, partition_by)
+
+    # One entry per folder, not per row.
+    touched = source.select(*partition_by).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"__touched_{c}")) for c in partition_by]
+    marks = touched.select(*[F.col(c).alias(f"__touched_{c}") for c in partition_by])
+    affected = target.join(marks, same, "left_semi")
+    overwrite_files(_merged(affected, source, keys, name), version, partition_by)
+    _move_partitions(spark, name, version, partition_by)
+    return spark.table(name)
 
-    found = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    repeated = source.select(*keys).join(found, keys, "left_semi").groupBy(*keys).count()
-    if not repeated.where(F.col("count") > 1).isEmpty():
+
+def _merged(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], name: str
+) -> DataFrame:
+    """Rows of ``target`` after the upsert of ``source``, which has the same columns."""
+    repeated = source.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
+    # Repeated new rows are fine, so the table is asked only if there are any.
+    if not repeated.isEmpty() and not target.join(repeated, keys, "left_semi").isEmpty():
         raise ValueError(f"several source rows for one row of {name}")
 
     change = source.select(
@@ -166,8 +194,26 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
             for c in target.columns
         ]
     )
+    found = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
     inserted = source.join(found, keys, "left_anti").select(*target.columns)
-    return publish_version(updated.unionByName(inserted), name, _version(root, name))
+    return updated.unionByName(inserted)
+
+
+def _move_partitions(
+    spark: SparkSession, name: str, path: str, partition_by: Sequence[str]
+) -> None:
+    """Point the partitions found under ``path`` at their folders there."""
+    scanned = fresh_name("moved")
+    register_table(spark, scanned, path, spark.table(name).schema, partition_by)
+    folders = [row[0] for row in spark.sql(f"SHOW PARTITIONS {scanned}").collect()]
+    spark.sql(f"DROP TABLE {scanned}")
+    for folder in folders:
+        pairs = [part.split("=", 1) for part in folder.split("/")]
+        values = ", ".join(f"`{c}`='{_literal(unquote(v))}'" for c, v in pairs)
+        location = f"LOCATION '{_literal(path)}/{_literal(folder)}'"
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({values}) {location}")
+        spark.sql(f"ALTER TABLE {name} PARTITION ({values}) SET {location}")
+    spark.catalog.refreshTable(name)
 
 
 def create_or_upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -> DataFrame:
@@ -244,5 +290,9 @@ def _version(root: str, name: str) -> str:
     return f"{root}/{name}/v-{uuid.uuid4().hex[:12]}"
 
 
+def _pairs(properties: Mapping[str, str]) -> str:
+    return ", ".join(f"'{_literal(k)}'='{_literal(v)}'" for k, v in properties.items())
+
+
 def _literal(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")

@@ -1,4 +1,11 @@
 from .runs import run_complete, run_once
-from .windows import sliding_distinct, tumbling_distinct
+from .windows import pane_sketches, sliding_distinct, tumbling_distinct, windows_from_panes
 
-__all__ = ["run_complete", "run_once", "sliding_distinct", "tumbling_distinct"]
+__all__ = [
+    "pane_sketches",
+    "run_complete",
+    "run_once",
+    "sliding_distinct",
+    "tumbling_distinct",
+    "windows_from_panes",
+]

@@ -6,7 +6,7 @@ run that broke off continues where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -41,15 +41,23 @@ def run_once(
     return query
 
 
-def run_complete(stream: DataFrame, checkpoint: str, path: str, table: str) -> StreamingQuery:
+def run_complete(
+    stream: DataFrame,
+    checkpoint: str,
+    path: str,
+    table: str,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
     """Keep ``table`` equal to the whole result so far, then return.
 
     Each batch writes a new version under ``path`` and moves the table to it. A
-    repeated batch writes the same version again.
+    repeated batch writes the same version again. ``finish`` is applied to the
+    result before it is written; it may aggregate again, as the stream cannot.
     """
+    spark = stream.sparkSession
 
-    def publish(result: DataFrame, batch_id: int) -> None:
-        publish_version(result, table, f"{path}/batch-{batch_id}")
+    def publish(result: DataFrame, version: int | str) -> None:
+        publish_version(finish(result) if finish else result, table, f"{path}/batch-{version}")
 
     query = (
         stream.writeStream.outputMode("complete")
@@ -60,7 +68,8 @@ def run_complete(stream: DataFrame, checkpoint: str, path: str, table: str) -> S
     )
     query.awaitTermination()
     # The batches ran in a session of their own; this one may remember the version before.
-    catalog = stream.sparkSession.catalog
-    if catalog.tableExists(table):
-        catalog.refreshTable(table)
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
+    else:
+        publish(spark.createDataFrame([], stream.schema), "none")
     return query

@@ -54,5 +54,45 @@ def tumbling_distinct(
     )
 
 
+def pane_sketches(
+    df: DataFrame,
+    time: str,
+    value: str,
+    pane: str = "10 minutes",
+    watermark: str | None = None,
+    lg_k: int = 12,
+) -> DataFrame:
+    """A mergeable sketch of the distinct values in each back-to-back pane.
+
+    The cheap half of a sliding count: a row goes into one pane, not into every
+    window that covers it, and a stream keeps one state per pane.
+    """
+    if watermark:
+        df = df.withWatermark(time, watermark)
+    return df.groupBy(F.window(time, pane).alias("pane")).agg(
+        F.hll_sketch_agg(value, lg_k).alias("sketch")
+    )
+
+
+def windows_from_panes(panes: DataFrame, output: str, panes_per_window: int = 6) -> DataFrame:
+    """Distinct values per window of several panes, sliding by one, ordered by start.
+
+    The result of ``sliding_distinct`` from ``pane_sketches``. Counts up to a few
+    hundred are exact; beyond, the error is about 1.6% with the default ``lg_k``.
+    """
+    start, end = F.unix_micros("pane.start"), F.unix_micros("pane.end")
+    back = F.explode(F.sequence(F.lit(0), F.lit(panes_per_window - 1))).alias("back")
+    placed = panes.select("sketch", start.alias("start"), (end - start).alias("width"), back)
+    opened = F.col("start") - F.col("back") * F.col("width")
+    window = F.struct(
+        F.timestamp_micros(opened).alias("start"),
+        F.timestamp_micros(opened + panes_per_window * F.col("width")).alias("end"),
+    )
+    counted = placed.groupBy(window.alias("window")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(output)
+    )
+    return counted.orderBy(F.col("window.start"))
+
+
 def _distinct(value: str, rsd: float | None) -> Column:
     return F.approx_count_distinct(value) if rsd is None else F.approx_count_distinct(value, rsd)

@@ -37,6 +37,9 @@ def test_explode_drops_rows_without_elements_but_keeps_null_elements(spark):
     df = spark.createDataFrame([(1, [10, None]), (2, []), (3, None)], "k int, v array<int>")
     assert rows(explode_only(df, "v")) == [(10,), (None,)]
     assert rows(explode_keep(df, "v")) == [(1, 10), (1, None)]
+    with pytest.raises(ValueError, match="K already is a column"):
+        explode_keep(df, "v", alias="K")
+    assert rows(explode_keep(df, "v", alias="v")) == [(1, 10), (1, None)]
 
 
 def test_items_as_rows_takes_arrays_and_structs(spark):

@@ -6,6 +6,7 @@ import pytest
 from conftest import physical_plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stratalake.scratch import fresh_name
 from stratalake.sinks import (
@@ -89,6 +90,40 @@ def test_upsert_twice_is_upsert_once(spark, tmp_path_factory, old, new):
         )
 
 
+def test_upsert_rewrites_only_the_partitions_it_touches(spark, folder):
+    name, schema = fresh_name("t"), "day string, k int, v int"
+    data = [("a/b 1", 1, 10), ("it's 2", 1, 20), ("it's 2", 2, 21), ("3%", 1, 30), (None, 1, 40)]
+    publish_version(frame(spark, *data, schema=schema), name, f"{folder}/first", ["day"])
+    first = f"{folder}/first"
+    change = frame(
+        spark, ("it's 2", 2, 99), ("it's 2", 3, 1), ("new=4", 1, 1), (None, 1, 5), schema=schema
+    )
+    result = upsert(change, name, ["day", "k"], folder)
+    assert rows(result.select("day", "k", "v")) == sorted(
+        [
+            ("3%", 1, 30),
+            ("a/b 1", 1, 10),
+            ("it's 2", 1, 20),
+            ("it's 2", 2, 99),
+            ("it's 2", 3, 1),
+            ("new=4", 1, 1),
+            (None, 1, 40),
+            (None, 1, 5),
+        ],
+        key=repr,
+    )
+    from_first = result.where(F.col("_metadata.file_path").contains(first))
+    assert rows(from_first.select("day")) == [("3%",), ("a/b 1",)]
+
+
+def test_upsert_by_other_keys_may_move_rows_between_partitions(spark, folder):
+    name, schema = fresh_name("t"), "part string, k int"
+    publish_version(frame(spark, ("a", 1), ("b", 2), schema=schema), name, f"{folder}/1", ["part"])
+    result = upsert(frame(spark, ("b", 1), schema=schema), name, "k", folder)
+    assert rows(result.select("part", "k")) == [("b", 1), ("b", 2)]
+    assert rows(spark.table(name).where("part = 'a'")) == []
+
+
 def test_create_or_upsert(spark, folder):
     name = fresh_name("t")
     assert rows(create_or_upsert(frame(spark, (1, 1)), name, "k", folder)) == [(1, 1)]
@@ -156,6 +191,10 @@ def test_comment_and_properties_are_kept(spark, folder):
     assert spark.catalog.getTable(name).description == "it's a table"
     properties = dict(rows(spark.sql(f"SHOW TBLPROPERTIES {name}")))
     assert properties["owner's"] == "x\\y"
+    materialize(frame(spark, (2, 2)), name, folder, "again", {"owner's": "z"})
+    assert rows(spark.table(name)) == [(2, 2)]
+    assert spark.catalog.getTable(name).description == "again"
+    assert dict(rows(spark.sql(f"SHOW TBLPROPERTIES {name}")))["owner's"] == "z"
 
 
 def test_register_replaces_the_entry_but_not_the_files(spark, folder):

@@ -16,7 +16,14 @@ from stratalake.sources import (
     stream_text_lines,
     stream_xml_rows,
 )
-from stratalake.streaming import run_complete, run_once, sliding_distinct, tumbling_distinct
+from stratalake.streaming import (
+    pane_sketches,
+    run_complete,
+    run_once,
+    sliding_distinct,
+    tumbling_distinct,
+    windows_from_panes,
+)
 
 AT = "at timestamp, v int"
 
@@ -92,6 +99,38 @@ def test_complete_stream_equals_the_batch_result(spark, folder):
     assert starts == sorted(starts) and len(set(starts)) == len(starts)
 
 
+def test_panes_add_up_to_the_sliding_windows(spark, folder):
+    source, out, checkpoint = places(folder)
+    name = fresh_name("windows")
+    for minutes in (range(0, 300, 7), range(30, 500, 11)):
+        data = [(day(f"{m // 60:02}:{m % 60:02}"), m % 13 or None) for m in minutes]
+        deliver(spark, source, *data)
+        stream = spark.readStream.schema(AT).parquet(source)
+        run_complete(
+            pane_sketches(stream, "at", "v"),
+            checkpoint,
+            out,
+            name,
+            finish=lambda panes: windows_from_panes(panes, "n"),
+        )
+        batch = spark.read.parquet(source)
+        exact = batch.groupBy(F.window("at", "60 minutes", "10 minutes").alias("window")).agg(
+            F.count_distinct("v").alias("n")
+        )
+        assert rows(spark.table(name)) == rows(exact)
+        assert rows(windows_from_panes(pane_sketches(batch, "at", "v"), "n")) == rows(exact)
+
+
+def test_complete_run_without_input_leaves_an_empty_table(spark, folder):
+    source, out, checkpoint = places(folder)
+    deliver(spark, source, schema=AT)
+    name = fresh_name("windows")
+    stream = spark.readStream.schema(AT).parquet(source + "/*/none")
+    run_complete(sliding_distinct(stream, "at", "v", "n"), checkpoint, out, name)
+    assert spark.table(name).columns == ["window", "n"]
+    assert spark.table(name).count() == 0
+
+
 def test_sliding_windows_overlap(spark):
     one = spark.createDataFrame([(day("01:05"), 1)], AT)
     windows = sliding_distinct(one, "at", "v", "n").select("window.start", "window.end", "n")
