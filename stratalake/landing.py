@@ -56,8 +56,9 @@ def order_elements(
     """Orders as nested rows, ready to be written as XML elements.
 
     The items of an order are collected into one row. An order with more than
-    ``items_per_element`` is split into that many more elements first, so neither
-    a row nor a task has to hold a very large order.
+    ``items_per_element`` items becomes several rows, each with its share of the
+    items. Rows are grouped and joined by order and share, so neither a row nor a
+    task has to hold a very large order.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
@@ -66,15 +67,17 @@ def order_elements(
         lines.groupBy(F.col("l_orderkey").alias("large_order"))
         .count()
         .where(F.col("count") > items_per_element)
-        .select("large_order", F.ceil(F.col("count") / items_per_element).alias("elements"))
+        .select("large_order", F.ceil(F.col("count") / items_per_element).alias("shares"))
     )
-    element = F.coalesce(F.pmod(F.xxhash64("line_id"), F.col("elements")), F.lit(0))
+    share = F.coalesce(F.pmod(F.xxhash64("line_id"), F.col("shares")), F.lit(0))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     collected = (
         lines.withColumn("line_id", F.monotonically_increasing_id())
-        .join(large, F.col("l_orderkey") == F.col("large_order"), "left")
+        # Null-safe, so that the counts are shuffled once more: Spark splits the lines of
+        # a hot order only if both sides of the join come straight from a shuffle.
+        .join(large, F.col("l_orderkey").eqNullSafe(F.col("large_order")), "left")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .groupBy("l_orderkey", element.alias("element"))
+        .groupBy("l_orderkey", share.alias("l_share"))
         .agg(
             F.collect_list(
                 F.struct(
@@ -88,18 +91,28 @@ def order_elements(
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    last_share = F.coalesce(F.col("shares") - 1, F.lit(0))
+    headers = (
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey", "o_orderdate")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(large, F.col("o_orderkey") == F.col("large_order"), "left")
+        .withColumn("o_share", F.explode(F.sequence(F.lit(0).cast("bigint"), last_share)))
+    )
+    same = (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("o_share") == F.col("l_share"))
 
     def address(kind: str) -> Column:
         return F.struct(
-            F.lit(kind).alias("_Type"), F.col("c_name").alias("Name"), F.col("n_name").alias("State")
+            F.lit(kind).alias("_Type"),
+            F.col("c_name").alias("Name"),
+            F.col("n_name").alias("State"),
         )
 
     return (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(collected, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        headers.join(collected, same, "left")
+        # A share of a large order may have drawn no item; an order without any stays.
+        .where(F.col("Item").isNotNull() | F.col("shares").isNull())
         .select(
             F.col("o_orderkey").alias("_PurchaseOrderNumber"),
             # A date attribute would be written as a day number.
@@ -218,7 +231,12 @@ def event_json_files(spark: SparkSession, sf_dir: str) -> str:
     (
         table(spark, sf_dir, "events")
         .select(
-            "event_id", "user_id", "value", "props", F.col("ts").cast("string").alias("ts"), "event_type"
+            "event_id",
+            "user_id",
+            "value",
+            "props",
+            F.col("ts").cast("string").alias("ts"),
+            "event_type",
         )
         .hint("rebalance", "event_type")
         .write.partitionBy("event_type")

@@ -37,7 +37,9 @@ def with_key_stats(df: DataFrame, key: str, value: str) -> DataFrame:
     A window over the key would gather and sort each key's rows in one task.
     Grouping first (with partial sums) and joining the result back lets Spark
     broadcast small statistics, or split the partitions of a hot key. Null keys
-    form a group of their own, as they do in a window.
+    form a group of their own, as they do in a window; the null-safe comparison
+    also has the statistics shuffled for the join, without which Spark would not
+    split the other side.
     """
     stats_key = f"__{key}"
     stats = df.groupBy(F.col(key).alias(stats_key)).agg(*_statistics(value))

@@ -243,7 +243,8 @@ def incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registry.check(f"""
-    SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '{SECOND_DELIVERY}' THEN value END AS value
+    SELECT event_id, event_type,
+           CASE WHEN ts >= TIMESTAMP '{SECOND_DELIVERY}' THEN value END AS value
     FROM events""")
 def evolve_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second run of a stream has a column that the first had not."""

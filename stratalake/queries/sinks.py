@@ -79,7 +79,9 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = fresh_name("orders")
     root = fresh_dir(spark, "upsert")
     publish_version(orders.where("o_orderstatus <> 'O'"), name, f"{root}/first")
-    changes = orders.where("o_orderstatus <> 'F'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    changes = orders.where("o_orderstatus <> 'F'").withColumn(
+        "o_totalprice", -F.col("o_totalprice")
+    )
     return upsert(changes, name, "o_orderkey", root)
 
 
@@ -101,7 +103,8 @@ def totals_created_then_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registry.check("""
-    SELECT event_id, event_type, value, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN props END AS props
+    SELECT event_id, event_type, value,
+           CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN props END AS props
     FROM events""")
 def evolve_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier events without ``props``, then later ones with it."""

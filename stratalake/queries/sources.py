@@ -146,7 +146,9 @@ def binary_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("text").cast("binary").alias("content")
     )
     texts = stored.select("doc_id", bytes_to_text("content").alias("text"))
-    return texts.select("doc_id", F.length("text").alias("characters"), F.md5("text").alias("digest"))
+    return texts.select(
+        "doc_id", F.length("text").alias("characters"), F.md5("text").alias("digest")
+    )
 
 
 @registry.check("""

@@ -163,11 +163,14 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
         merged = _merged(target, source, keys, name)
         return publish_version(merged, name, version, partition_by)
 
-    # One entry per folder, not per row.
-    touched = source.select(*partition_by).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"__touched_{c}")) for c in partition_by]
-    marks = touched.select(*[F.col(c).alias(f"__touched_{c}") for c in partition_by])
-    affected = target.join(marks, same, "left_semi")
+    # One row per folder. As literals they keep the other folders from being read.
+    touched = [
+        F.struct(*[F.lit(row[c]).cast(target.schema[c].dataType).alias(c) for c in partition_by])
+        for row in source.select(*partition_by).distinct().collect()
+    ]
+    if not touched:
+        return target
+    affected = target.where(F.struct(*partition_by).isin(touched))
     overwrite_files(_merged(affected, source, keys, name), version, partition_by)
     _move_partitions(spark, name, version, partition_by)
     return spark.table(name)
@@ -195,7 +198,11 @@ def _merged(
         ]
     )
     found = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    inserted = source.join(found, keys, "left_anti").select(*target.columns)
+    found = found.select(*[F.col(c).alias(f"__found_{c}") for c in keys])
+    # No key found is null. The null-safe comparison has them shuffled for this join,
+    # without which Spark would not split the rows of a hot new key.
+    known = [F.col(c).eqNullSafe(F.col(f"__found_{c}")) for c in keys]
+    inserted = source.join(found, known, "left_anti")
     return updated.unionByName(inserted)
 
 
@@ -216,7 +223,9 @@ def _move_partitions(
     spark.catalog.refreshTable(name)
 
 
-def create_or_upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -> DataFrame:
+def create_or_upsert(
+    source: DataFrame, name: str, keys: str | Sequence[str], root: str
+) -> DataFrame:
     """``upsert`` into table ``name``, or create it from ``source`` if there is none."""
     if source.sparkSession.catalog.tableExists(name):
         return upsert(source, name, keys, root)

@@ -15,7 +15,9 @@ def read_json(
     return reader.json(path)
 
 
-def query_json_path(spark: SparkSession, path: str, query: str = "SELECT * FROM {source}") -> DataFrame:
+def query_json_path(
+    spark: SparkSession, path: str, query: str = "SELECT * FROM {source}"
+) -> DataFrame:
     """SQL over JSON files named by path; ``{source}`` stands for the files."""
     if "`" in path:
         raise ValueError("a path in SQL cannot contain a backtick")

@@ -7,9 +7,11 @@ from conftest import physical_plan, rows
 from pyspark.sql import functions as F
 
 from stratalake import landing
+from stratalake.operators import with_key_stats
 from stratalake.plans import purchase_orders as po
 from stratalake.queries import ALL
 from stratalake.scratch import fresh_dir, scratch_root
+from stratalake.sinks.tables import _merged
 from stratalake.sources import read_json, read_xml_rows, with_source_path
 
 
@@ -47,6 +49,40 @@ def test_large_order_is_split_and_summed_whole(spark, skewed):
     assert rows(totals.withColumn("Total_Price", F.round("Total_Price", 2))) == rows(expected)
 
 
+def test_hot_key_is_split_in_every_large_join(spark, folder):
+    """A third of the rows share one key; no join may leave them to one task."""
+    rows_in = 60_000
+    key = "CASE WHEN id % 3 = 0 THEN 7 ELSE id END"
+    hot = spark.range(rows_in).selectExpr(f"{key} AS k", "CAST(id AS double) AS v", "uuid() AS pad")
+    hot.repartition(8).write.parquet(f"{folder}/hot")
+    spark.range(rows_in).selectExpr("id AS k", "-1.0 AS v", "uuid() AS pad").write.parquet(
+        f"{folder}/changes"
+    )
+    table, changes = spark.read.parquet(f"{folder}/hot"), spark.read.parquet(f"{folder}/changes")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        stats = with_key_stats(table, "k", "v")
+        merged = _merged(table, changes, ["k"], "t")
+        inserted = _merged(changes.where("k <> 7"), table, ["k"], "t")
+        for df, join in ((stats, "Inner"), (merged, "LeftOuter"), (inserted, "LeftAnti")):
+            df.foreach(lambda row: None)
+            split = [line for line in physical_plan(df).splitlines() if "(skew=true)" in line]
+            assert any(f", {join}" in line for line in split), (join, split)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = physical_plan(ALL["filter_eq"].run(spark, "/root/testdata/sf0.001"))
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)]" in plan

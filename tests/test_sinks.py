@@ -114,6 +114,17 @@ def test_upsert_rewrites_only_the_partitions_it_touches(spark, folder):
     )
     from_first = result.where(F.col("_metadata.file_path").contains(first))
     assert rows(from_first.select("day")) == [("3%",), ("a/b 1",)]
+    assert rows(upsert(change.limit(0), name, ["day", "k"], folder)) == rows(result)
+
+
+def test_untouched_partitions_are_not_read(spark, folder):
+    data = spark.range(20).selectExpr("id", "CAST(id % 5 AS int) AS a", "'x' AS b")
+    name = fresh_name("t")
+    publish_version(data, name, f"{folder}/t", ["a", "b"])
+    touched = [F.struct(F.lit(1).alias("a"), F.lit("x").alias("b"))]
+    some = spark.table(name).where(F.struct("a", "b").isin(touched))
+    assert "PartitionFilters: [named_struct(a" in physical_plan(some)
+    assert some.count() == 4
 
 
 def test_upsert_by_other_keys_may_move_rows_between_partitions(spark, folder):
