@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def infer_xml_schema(
         reader = reader.option("samplingRatio", sampling_ratio)
     documents = texts.select(column).where(F.col(column).isNotNull())
     # The reader's only entry point for documents held in a column is an RDD of strings.
-    return reader.xml(documents.rdd.map(lambda row: row[0])).schema
+    return reader.xml(documents.rdd.map(itemgetter(0))).schema
 
 
 def parse_xml(
@@ -47,7 +48,9 @@ def parse_xml(
     """One struct per document.
 
     Malformed documents give nulls; a ``_corrupt_record`` string field in the
-    schema keeps their text. The parser reads every field of the schema, used or
+    schema keeps their text. A value that does not fit its type costs the rest of
+    the document; read elements with ``read_xml_rows``, or declare doubtful fields
+    as strings, where that is too much. The parser reads every field of the schema, used or
     not, so pass a schema reduced with ``narrow_schema`` when few are needed.
     """
     return F.from_xml(_column(column), _struct(schema), dict(options or {}))

@@ -9,11 +9,13 @@ from ..operators.expectations import Rule, constraint_sql, guard
 from ..operators.ranking import top_k
 from ..sources.files import query_json_path
 
+# Column names and rules.
+RAW_SCHEMA = "curr_title string, n string, prev_title string"
+RENAMED = {"curr_title": "current_page_title", "prev_title": "previous_page_title"}
 RULES = (
     Rule("valid_current_page_title", "current_page_title IS NOT NULL"),
     Rule("valid_count", "click_count > 0", fatal=True),
 )
-RAW_SCHEMA = "curr_title string, n string, prev_title string"
 
 
 def as_int(column: str) -> Column:
@@ -22,12 +24,8 @@ def as_int(column: str) -> Column:
 
 
 def renamed(raw: DataFrame) -> DataFrame:
-    return (
-        raw.withColumn("click_count", as_int("n"))
-        .withColumnRenamed("curr_title", "current_page_title")
-        .withColumnRenamed("prev_title", "previous_page_title")
-        .select("current_page_title", "click_count", "previous_page_title")
-    )
+    titles = [F.col(old).alias(new) for old, new in RENAMED.items()]
+    return raw.select(*titles, as_int("n").alias("click_count"))
 
 
 def prepared(raw: DataFrame) -> DataFrame:
@@ -59,14 +57,12 @@ def sql_chain(
         json_path,
         clause("raw", "Clicks as received") + "SELECT * FROM {source}",
     )
+    titles = ", ".join(f"{old} AS {new}" for old, new in RENAMED.items())
     spark.sql(
         clause("clean", "Clicks typed and checked")
         + f"""
         SELECT * FROM (
-          SELECT curr_title AS current_page_title,
-                 TRY_CAST(n AS INT) AS click_count,
-                 prev_title AS previous_page_title
-          FROM {names["raw"]})
+          SELECT {titles}, TRY_CAST(n AS INT) AS click_count FROM {names["raw"]})
         WHERE {constraint_sql(RULES)}"""
     )
     spark.sql(

@@ -75,13 +75,18 @@ def run_bronze(
 
 
 def read_orders(
-    spark: SparkSession, files: str, schema: T.StructType = ORDER_SCHEMA
+    spark: SparkSession,
+    files: str,
+    schema: T.StructType = ORDER_SCHEMA,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """``summary`` straight from files, without whole documents in between.
 
-    Orders are streamed out of each file, so memory does not grow with its size.
+    Orders are streamed out of each file, so memory does not grow with its size,
+    and a bad value costs a field of one order, not a document. Add a
+    ``_corrupt_record`` string field to the schema to see the text of bad orders.
     """
-    return read_xml_rows(spark, files, "PurchaseOrder", schema)
+    return read_xml_rows(spark, files, "PurchaseOrder", schema, skip_unreadable)
 
 
 def run_orders(

@@ -29,14 +29,19 @@ def read_xml_rows(
     path: str,
     row_tag: str,
     schema: T.StructType | str | None = None,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """One row per ``row_tag`` element.
 
     Elements are streamed out of each file, so files may be larger than a value
     can be. A file is one task: parallelism comes from the number of files.
     Without a schema the files are read twice, once to infer it.
+
+    A malformed element gives nulls. A file that is not text in its encoding fails
+    the job, or, with ``skip_unreadable``, is left from that point on.
     """
     reader = spark.read.format("xml").option("rowTag", row_tag)
+    reader = reader.option("ignoreCorruptFiles", skip_unreadable)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

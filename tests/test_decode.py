@@ -19,6 +19,7 @@ from stratalake.functions import (
 from stratalake.operators import explode_keep
 from stratalake.plans import messages
 from stratalake.plans import purchase_orders as po
+from stratalake.sources import read_binary_files
 
 PEOPLE = """<people>
   <person><age born="1990-02-24">25</age><name>Ann</name></person>
@@ -68,6 +69,40 @@ def test_bad_document_is_kept_aside(spark):
     assert rows(parsed.select("p._corrupt_record")) == [("<P><PurchaseOrder>",), (None,)]
 
 
+def test_bad_files_cost_a_field_or_the_rest_of_a_document(spark, folder):
+    order = (
+        "<PurchaseOrder PurchaseOrderNumber='{}'><Address><State>X</State></Address>"
+        "<Items><Item PartNumber='1'><Price>{}</Price></Item></Items></PurchaseOrder>"
+    )
+    files = {
+        "good": order.format(1, 2.5),
+        "bad-value": order.format(2, 2.5) + order.format(3, "abc") + order.format(5, 2.5),
+        "cut-off": order.format(4, 2.5)[:-30],
+    }
+    for name, orders in files.items():
+        with open(f"{folder}/{name}.xml", "w") as file:
+            file.write(f"<PurchaseOrders>{orders}</PurchaseOrders>")
+    schema = T.StructType(
+        po.ORDER_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())]
+    )
+    # Fields that are not read are not parsed: keep all of them before asking which are bad.
+    by_order = po.read_orders(spark, folder, schema).persist()
+    sound = by_order.where("_corrupt_record IS NULL AND _PurchaseOrderNumber IS NOT NULL")
+    assert rows(sound.select("_PurchaseOrderNumber")) == [(1,), (2,), (5,)]
+    aside = by_order.where("_corrupt_record LIKE '%abc%'")
+    assert rows(aside.select("_PurchaseOrderNumber", "Items")) == [(3, None)]
+
+    by_order.unpersist()
+    # A file that is not text at all.
+    with open(f"{folder}/no-text.xml", "wb") as file:
+        file.write(b"\xff\xfe\x00")
+    readable = po.read_orders(spark, folder, skip_unreadable=True)
+    known = readable.where("_PurchaseOrderNumber IS NOT NULL")
+    assert rows(known.select("_PurchaseOrderNumber")) == [(1,), (2,), (3,), (5,)]
+    by_document = po.summary(po.bronze(read_binary_files(spark, folder, "*.xml")))
+    assert rows(by_document.select("_PurchaseOrderNumber")) == [(1,), (2,)]
+
+
 def test_bytes_that_are_not_text_do_not_fail(spark):
     data = spark.createDataFrame([(b"gr\xc3\xbc\xc3\x9fe",), (b"\xff\xfe",), (None,)], "b binary")
     decoded = [row[0] for row in data.select(bytes_to_text("b")).collect()]

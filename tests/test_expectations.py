@@ -75,11 +75,14 @@ def test_stream_batch_with_a_violation_publishes_nothing(spark, folder):
     with pytest.raises(Exception, match="expectation positive violated"):
         run()
     assert rows(spark.read.parquet(out)) == [("a", 1)]
+    # The batch that failed is read once more, and its rows arrive once.
+    run_once(spark.readStream.schema(schema).parquet(source), checkpoint, out)
+    assert rows(spark.read.parquet(out)) == [("a", 1), ("b", 2), ("c", -1)]
 
 
 def test_clicks_refuse_counts_that_are_no_numbers(spark):
     raw = spark.createDataFrame([("p", "12", "q"), (None, "3", "r")], clicks.RAW_SCHEMA)
-    assert rows(clicks.prepared(raw)) == [("p", 12, "q"), (None, 3, "r")]
+    assert rows(clicks.prepared(raw)) == [("p", "q", 12), (None, "r", 3)]
     for count in ("0", "x", None):
         bad = spark.createDataFrame([("p", count, "q")], clicks.RAW_SCHEMA)
         with pytest.raises(Exception, match="expectation valid_count violated"):

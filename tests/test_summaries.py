@@ -55,17 +55,14 @@ def test_combining_grouped_results_adds_no_shuffle(spark, folder):
 
 def test_part_summary_equals_its_window_form(spark):
     by_part = Window.partitionBy("_PartNumber")
-    windowed = (
-        lines(spark)
-        .withColumn("row", F.row_number().over(by_part.orderBy("ProductName")))
-        .withColumn("avg", F.avg("Quantity").over(by_part))
-        .withColumn("sum", F.sum("Quantity").over(by_part))
-        .withColumn("min", F.min("Quantity").over(by_part))
-        .withColumn("max", F.max("Quantity").over(by_part))
-        .withColumn("stddev", F.stddev("Quantity").over(by_part))
-        .where("row = 1")
-        .select("_PartNumber", "ProductName", "avg", "sum", "min", "max", "stddev")
-    )
+    over_part = {
+        name: getattr(F, name)("Quantity").over(by_part)
+        for name in ("avg", "sum", "min", "max", "stddev")
+    }
+    rank = F.row_number().over(by_part.orderBy("ProductName"))
+    statistics = [column.alias(name) for name, column in over_part.items()]
+    ranked = lines(spark).select("_PartNumber", "ProductName", *statistics, rank.alias("rank"))
+    windowed = ranked.where("rank = 1").drop("rank")
     summary = summarise_per_key(lines(spark), "_PartNumber", "Quantity", "ProductName")
     assert rows(summary) == rows(windowed)
     assert summary.columns == windowed.columns
