@@ -1,5 +1,14 @@
 from .aggregates import combine_on_key, count_rows, sum_per_key
-from .expectations import Rule, constraint_sql, expectation_report, guard, observe_rules
+from .expectations import (
+    Rule,
+    constraint_sql,
+    expectation_report,
+    guard,
+    observe_rules,
+    observe_stream,
+    stream_violations,
+    violations,
+)
 from .flatten import explode_keep, explode_only, items_as_rows, promote_struct
 from .lookups import keep_matching
 from .ranking import first_per_key, summarise_per_key, top_k, with_key_stats
@@ -17,9 +26,12 @@ __all__ = [
     "items_as_rows",
     "keep_matching",
     "observe_rules",
+    "observe_stream",
     "promote_struct",
+    "stream_violations",
     "sum_per_key",
     "summarise_per_key",
     "top_k",
+    "violations",
     "with_key_stats",
 ]

@@ -26,8 +26,8 @@ def keep_matching(
     sent to ``salts`` partitions and the rows of a hot key are spread over them.
     Repeated lookup keys never multiply rows.
 
-    The lookup is read again for every batch of a stream; pass a persisted frame
-    if there will be many.
+    The lookup is measured when the join is set up and read again for every batch
+    of a stream; pass a persisted frame if there will be many.
     """
     keys = lookup.select(F.col(lookup_key).alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
     if fits(keys, broadcast_rows, broadcast_bytes):

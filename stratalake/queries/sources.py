@@ -147,7 +147,9 @@ def binary_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     texts = stored.select("doc_id", bytes_to_text("content").alias("text"))
     return texts.select(
-        "doc_id", F.length("text").alias("characters"), F.md5("text").alias("digest")
+        "doc_id",
+        F.length("text").cast("bigint").alias("characters"),
+        F.md5("text").alias("digest"),
     )
 
 

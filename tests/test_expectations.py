@@ -5,8 +5,16 @@ import os
 import pytest
 from conftest import rows
 
-from stratalake.operators import Rule, constraint_sql, expectation_report, guard, observe_rules
-from stratalake.operators.expectations import violations
+from stratalake.operators import (
+    Rule,
+    constraint_sql,
+    expectation_report,
+    guard,
+    observe_rules,
+    observe_stream,
+    stream_violations,
+    violations,
+)
 from stratalake.plans import clicks
 from stratalake.streaming import run_once
 
@@ -61,6 +69,17 @@ def test_violations_are_observed_while_writing(spark, folder):
     assert violations(observation, RULES) == {"has_name": 1, "positive": 1}
 
 
+def test_violations_are_observed_in_a_stream(spark, folder):
+    source, out, checkpoint = (f"{folder}/{name}" for name in ("in", "out", "checkpoint"))
+    for data in ([(None, 1), ("b", 0)], [("c", -3), ("d", 4)]):
+        frame(spark, *data).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("name string, n int").option("maxFilesPerTrigger", 1)
+    observed = observe_stream(stream.parquet(source), RULES, "quality")
+    query = run_once(observed, checkpoint, out)
+    assert stream_violations(query, RULES, "quality") == {"has_name": 1, "positive": 2}
+    assert spark.read.parquet(out).count() == 4
+
+
 def test_stream_batch_with_a_violation_publishes_nothing(spark, folder):
     source, out, checkpoint = (f"{folder}/{name}" for name in ("in", "out", "checkpoint"))
     schema = "name string, n int"
