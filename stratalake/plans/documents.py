@@ -19,7 +19,7 @@ def inferred_schema(
 
 
 def with_lineage(
-    spark: SparkSession, files: str, schema: T.StructType, max_bytes: int | None = None
+    spark: SparkSession, files: str, schema: T.StructType, max_bytes: int | None = 1 << 40
 ) -> DataFrame:
     """Stream of ``payload, path``: each new document parsed, and its file."""
     stream = with_source_path(stream_binary_files(spark, files, "*.xml", max_bytes=max_bytes))

@@ -26,6 +26,9 @@ from ..streaming.runs import run_once
 ORDER = "_PurchaseOrderNumber"
 PART = "_PartNumber"
 
+# A long backlog is worked through in batches of this size, each of which is kept.
+BACKLOG_BYTES = 1 << 40
+
 # Elements that may repeat are declared as arrays: a schema inferred from
 # documents that happen to hold one item would keep only the last of several.
 ITEM_TYPE = (
@@ -66,7 +69,7 @@ def run_bronze(
     path: str,
     table: str,
     schema: T.StructType = DOCUMENT_SCHEMA,
-    max_bytes: int | None = None,
+    max_bytes: int | None = BACKLOG_BYTES,
 ) -> DataFrame:
     """Parse the files that arrived since the last run and append them to ``table``."""
     stream = stream_binary_files(spark, files, "*.xml", max_bytes=max_bytes)
@@ -95,7 +98,7 @@ def run_orders(
     checkpoint: str,
     path: str,
     table: str,
-    max_bytes: int | None = None,
+    max_bytes: int | None = BACKLOG_BYTES,
 ) -> DataFrame:
     """Append the orders of the files that arrived since the last run to ``table``."""
     stream = stream_xml_rows(spark, files, "PurchaseOrder", ORDER_SCHEMA, max_bytes=max_bytes)

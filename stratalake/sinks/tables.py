@@ -79,7 +79,7 @@ def register_table(
         clauses += f" TBLPROPERTIES ({_pairs(properties)})"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name}{columns} USING parquet{clauses}")
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+    if _partition_columns(spark, name):
         spark.catalog.recoverPartitions(name)
 
 
@@ -94,8 +94,13 @@ def publish_version(
     """Write ``df`` to the folder ``path`` and make it the content of table ``name``."""
     spark = df.sparkSession
     overwrite_files(df, path, partition_by)
-    same_columns = spark.catalog.tableExists(name) and _same_columns(spark.table(name), df)
-    if not same_columns or partition_by:
+    movable = (
+        not partition_by
+        and spark.catalog.tableExists(name)
+        and not _partition_columns(spark, name)
+        and _same_columns(spark.table(name), df)
+    )
+    if not movable:
         register_table(spark, name, path, df.schema, partition_by, comment, properties)
         return spark.table(name)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(path)}'")
@@ -156,7 +161,7 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
     )
     source = spark.read.schema(target.schema).parquet(staged)
     version = _version(root, name)
-    partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    partition_by = _partition_columns(spark, name)
     if not partition_by:
         return publish_version(_merged(target, source, keys, name), name, version)
     if not set(partition_by) <= set(keys):
@@ -176,9 +181,7 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
     return spark.table(name)
 
 
-def _merged(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], name: str
-) -> DataFrame:
+def _merged(target: DataFrame, source: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows of ``target`` after the upsert of ``source``, which has the same columns."""
     repeated = source.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
     # Repeated new rows are fine, so the table is asked only if there are any.
@@ -260,6 +263,9 @@ def append_evolving(df: DataFrame, name: str) -> DataFrame:
             for field in spark.table(name).schema.fields
         ]
     )
+    partition_by = _partition_columns(spark, name)
+    if partition_by:
+        aligned = aligned.hint("rebalance", *partition_by)
     aligned.write.insertInto(name)
     return spark.table(name)
 
@@ -284,6 +290,10 @@ def table_detail(spark: SparkSession, name: str, by: Sequence[str] = ()) -> Data
     )
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
 def _same_columns(left: DataFrame, right: DataFrame) -> bool:
     def columns(df: DataFrame) -> list[tuple[str, str]]:
         return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]

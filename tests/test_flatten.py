@@ -43,14 +43,18 @@ def test_explode_drops_rows_without_elements_but_keeps_null_elements(spark):
 
 
 def test_items_as_rows_takes_arrays_and_structs(spark):
-    many = spark.createDataFrame([(1, [(5,), (6,)]), (2, None), (3, [])], "k int, i array<struct<p: int>>")
-    assert rows(items_as_rows(many, "i").select("k", "i.p")) == [(1, 5), (1, 6), (2, None), (3, None)]
+    data = [(1, [(5,), (6,)]), (2, None), (3, [])]
+    many = items_as_rows(spark.createDataFrame(data, "k int, i array<struct<p: int>>"), "i")
+    assert rows(many.select("k", "i.p")) == [(1, 5), (1, 6), (2, None), (3, None)]
     single = spark.createDataFrame([(1, (5,)), (2, None)], "k int, i struct<p: int>")
     assert rows(items_as_rows(single, "i").select("k", "i.p")) == [(1, 5), (2, None)]
 
 
+arrays_or_none = st.one_of(st.none(), st.lists(st.integers(0, 9), max_size=5))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.one_of(st.none(), st.lists(st.integers(0, 9), max_size=5)), min_size=1, max_size=8))
+@given(st.lists(arrays_or_none, min_size=1, max_size=8))
 def test_one_row_per_element(spark, arrays):
     df = spark.createDataFrame(list(enumerate(arrays)), "k int, v array<int>")
     expected = sorted((k, e) for k, array in enumerate(arrays) for e in array or [])

@@ -104,10 +104,10 @@ def test_part_summary_groups_without_a_sort(spark):
 
 def test_rows_know_their_file(spark, folder):
     spark.range(3).write.json(folder + "/json")
-    assert with_source_path(read_json(spark, folder + "/json")).where("path LIKE '%.json'").count() == 3
-    spark.range(3).selectExpr("id AS _id", "'x' AS a").write.format("xml").option("rowTag", "r").save(
-        folder + "/xml"
-    )
+    named = with_source_path(read_json(spark, folder + "/json"))
+    assert named.where("path LIKE '%.json'").count() == 3
+    elements = spark.range(3).selectExpr("id AS _id", "'x' AS a")
+    elements.write.format("xml").option("rowTag", "r").save(folder + "/xml")
     named = with_source_path(read_xml_rows(spark, folder + "/xml", "r", "_id bigint"))
     assert named.where("path LIKE '%.xml'").count() == 3
 

@@ -54,7 +54,8 @@ def test_rerun_reads_only_what_is_new(spark, folder):
 def test_bounded_batches_read_everything(spark, folder):
     source, out, checkpoint = places(folder)
     for name in ("a", "b", "c"):
-        (spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("append").text(source))
+        line = spark.createDataFrame([(name,)], "value string").coalesce(1)
+        line.write.mode("append").text(source)
     query = run_once(stream_text_lines(spark, source, max_files=1), checkpoint, out)
     assert rows(spark.read.parquet(out)) == [("a",), ("b",), ("c",)]
     assert len(query.recentProgress) >= 3
@@ -156,7 +157,8 @@ def test_table_is_streamed_into_a_copy(spark, folder):
 def test_binary_and_xml_streams(spark, folder):
     source, out, checkpoint = places(folder)
     orders = spark.createDataFrame([(1, "a"), (2, "b")], "_id int, name string")
-    orders.coalesce(1).write.format("xml").option("rootTag", "all").option("rowTag", "one").save(source)
+    tags = {"rootTag": "all", "rowTag": "one"}
+    orders.coalesce(1).write.format("xml").options(**tags).save(source)
     run_once(stream_binary_files(spark, source, "*.xml"), checkpoint, out)
     files = spark.read.parquet(out)
     assert files.count() == 1

@@ -22,7 +22,8 @@ LINES = [
     (None, None, 12, None, None),
 ]
 LINE_SCHEMA = (
-    "_PartNumber bigint, ProductName string, _PurchaseOrderNumber bigint, Quantity double, Price double"
+    "_PartNumber bigint, ProductName string, _PurchaseOrderNumber bigint, "
+    "Quantity double, Price double"
 )
 
 
