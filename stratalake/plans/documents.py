@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ..functions.decode import bytes_to_text, infer_xml_schema, parse_xml
 from ..sources.files import read_binary_files, with_source_path
-from ..sources.streams import stream_binary_files
+from ..sources.streams import BACKLOG_BYTES, stream_binary_files
 
 
 def inferred_schema(
@@ -19,7 +19,7 @@ def inferred_schema(
 
 
 def with_lineage(
-    spark: SparkSession, files: str, schema: T.StructType, max_bytes: int | None = 1 << 40
+    spark: SparkSession, files: str, schema: T.StructType, max_bytes: int | None = BACKLOG_BYTES
 ) -> DataFrame:
     """Stream of ``payload, path``: each new document parsed, and its file."""
     stream = with_source_path(stream_binary_files(spark, files, "*.xml", max_bytes=max_bytes))

@@ -20,15 +20,12 @@ from ..operators.flatten import explode_keep, explode_only, items_as_rows, promo
 from ..operators.ranking import summarise_per_key
 from ..sinks.tables import materialize
 from ..sources.files import read_xml_rows
-from ..sources.streams import stream_binary_files, stream_xml_rows
+from ..sources.streams import BACKLOG_BYTES, stream_binary_files, stream_xml_rows
 from ..streaming.runs import run_once
 
 ORDER = "_PurchaseOrderNumber"
 PART = "_PartNumber"
 
-# A long backlog is worked through in batches of this size, each of which is kept.
-BACKLOG_BYTES = 1 << 40
-
 # Elements that may repeat are declared as arrays: a schema inferred from
 # documents that happen to hold one item would keep only the last of several.
 ITEM_TYPE = (

@@ -15,6 +15,9 @@ from pyspark.sql.streaming import DataStreamReader
 
 from ..functions.timing import stamp_arrival
 
+# A batch size for long backlogs: what earlier batches did is kept if a later one fails.
+BACKLOG_BYTES = 1 << 40
+
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 # Columns every queue message arrives with, whatever the connector.
@@ -52,6 +55,7 @@ def stream_xml_rows(
     path: str,
     row_tag: str,
     schema: T.StructType | str,
+    glob: str = "*.xml",
     max_files: int | None = None,
     max_bytes: int | None = None,
 ) -> DataFrame:
@@ -60,7 +64,7 @@ def stream_xml_rows(
     Unlike ``stream_binary_files`` no document has to fit in a value.
     """
     reader = spark.readStream.format("xml").option("rowTag", row_tag).schema(schema)
-    return _bounded(reader, max_files, max_bytes).option("pathGlobFilter", "*.xml").load(path)
+    return _bounded(reader, max_files, max_bytes).option("pathGlobFilter", glob).load(path)
 
 
 def stream_table(spark: SparkSession, name: str) -> DataFrame:

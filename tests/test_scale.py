@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import physical_plan, rows
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from stratalake.operators import with_key_stats
 from stratalake.plans import purchase_orders as po
 from stratalake.queries import ALL
 from stratalake.scratch import fresh_dir, scratch_root
-from stratalake.sinks.tables import _merged
+from stratalake.sinks.tables import _merged, overwrite_files
 from stratalake.sources import read_json, read_xml_rows, with_source_path
 
 
@@ -49,7 +51,40 @@ def test_large_order_is_split_and_summed_whole(spark, skewed):
     assert rows(totals.withColumn("Total_Price", F.round("Total_Price", 2))) == rows(expected)
 
 
-def test_hot_key_is_split_in_every_large_join(spark, folder):
+@pytest.fixture
+def settings(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def put(**values):
+        for key, value in values.items():
+            key = key.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, folder, settings):
+    settings(
+        spark__sql__shuffle__partitions="40",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB",
+    )
+    part = "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('p', id % 20) END"
+    data = spark.range(60_000).selectExpr("id", f"{part} AS part", "uuid() AS pad")
+    overwrite_files(data.repartition(8), folder + "/t", partition_by=["part"])
+
+    def files(part):
+        return len([f for f in os.listdir(f"{folder}/t/part={part}") if f.endswith(".parquet")])
+
+    assert files("hot") > 2
+    assert files("p1") == 1
+    assert spark.read.parquet(folder + "/t").count() == 60_000
+
+
+def test_hot_key_is_split_in_every_large_join(spark, folder, settings):
     """A third of the rows share one key; no join may leave them to one task."""
     rows_in = 60_000
     key = "CASE WHEN id % 3 = 0 THEN 7 ELSE id END"
@@ -59,28 +94,21 @@ def test_hot_key_is_split_in_every_large_join(spark, folder):
         f"{folder}/changes"
     )
     table, changes = spark.read.parquet(f"{folder}/hot"), spark.read.parquet(f"{folder}/changes")
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        stats = with_key_stats(table, "k", "v")
-        merged = _merged(table, changes, ["k"], "t")
-        inserted = _merged(changes.where("k <> 7"), table, ["k"], "t")
-        for df, join in ((stats, "Inner"), (merged, "LeftOuter"), (inserted, "LeftAnti")):
-            df.foreach(lambda row: None)
-            split = [line for line in physical_plan(df).splitlines() if "(skew=true)" in line]
-            assert any(f", {join}" in line for line in split), (join, split)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    stats = with_key_stats(table, "k", "v")
+    merged = _merged(table, changes, ["k"], "t")
+    inserted = _merged(changes.where("k <> 7"), table, ["k"], "t")
+    for df, join in ((stats, "Inner"), (merged, "LeftOuter"), (inserted, "LeftAnti")):
+        df.foreach(lambda row: None)
+        split = [line for line in physical_plan(df).splitlines() if "(skew=true)" in line]
+        assert any(f", {join}" in line for line in split), (join, split)
 
 
 def test_filters_and_columns_reach_the_scan(spark):

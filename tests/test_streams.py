@@ -122,6 +122,26 @@ def test_panes_add_up_to_the_sliding_windows(spark, folder):
         assert rows(windows_from_panes(pane_sketches(batch, "at", "v"), "n")) == rows(exact)
 
 
+def test_complete_run_continues_after_a_failure(spark, folder):
+    source, out, checkpoint = places(folder)
+    name = fresh_name("windows")
+    deliver(spark, source, (day("00:01"), 1), (day("00:02"), 2))
+
+    def broken(panes):
+        raise RuntimeError("cannot finish")
+
+    def run(finish):
+        stream = pane_sketches(spark.readStream.schema(AT).parquet(source), "at", "v")
+        run_complete(stream, checkpoint, out, name, finish=finish)
+
+    with pytest.raises(Exception, match="cannot finish"):
+        run(broken)
+    assert not spark.catalog.tableExists(name)
+    for _ in range(2):
+        run(lambda panes: windows_from_panes(panes, "n", panes_per_window=1))
+        assert rows(spark.table(name).select("window.start", "n")) == [(day("00:00"), 2)]
+
+
 def test_complete_run_without_input_leaves_an_empty_table(spark, folder):
     source, out, checkpoint = places(folder)
     deliver(spark, source, schema=AT)
