@@ -29,12 +29,19 @@ MESSAGE_NAME = """
                     ELSE upper(event_type) END"""
 
 
-def _run(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
+def _run(
+    spark: SparkSession, stream: DataFrame, label: str, state_partitions: int | None = None
+) -> DataFrame:
     out = fresh_dir(spark, label)
-    run_once(stream, fresh_dir(spark, "checkpoint"), out)
+    run_once(stream, fresh_dir(spark, "checkpoint"), out, state_partitions=state_partitions)
     return spark.read.parquet(out)
 
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for windows: one per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_table(spark, landing.silver_messages(spark, sf_dir))
 
@@ -134,6 +141,7 @@ def msg_sliding_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
         fresh_dir(spark, "checkpoint"),
         fresh_dir(spark, name),
         name,
+        state_partitions=_cores(spark),
     )
     return spark.table(name).select(*_bounds("window"), "count_dist_device_model")
 
@@ -147,6 +155,7 @@ def msg_sliding_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
         fresh_dir(spark, name),
         name,
         finish=lambda panes: windows_from_panes(panes, "count_dist_device_model"),
+        state_partitions=_cores(spark),
     )
     return spark.table(name).select(*_bounds("window"), "count_dist_device_model")
 
@@ -166,7 +175,8 @@ CLOSED = "<= (SELECT max(ts) - INTERVAL 10 MINUTE FROM known)"
 )
 def msg_tumbling_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A small error keeps the counts exact for comparison with the SQL.
-    windows = _run(spark, messages.cell_areas(_silver(spark, sf_dir), rsd=0.01), "cell-areas")
+    stream = messages.cell_areas(_silver(spark, sf_dir), rsd=0.01)
+    windows = _run(spark, stream, "cell-areas", _cores(spark))
     return windows.select(*_bounds("time"), "count_dist_cell_area")
 
 
@@ -217,7 +227,8 @@ def msg_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch = events.where(delivered).select(utc_instant("ts").alias("at"), "event_type")
         batch.write.mode("append").parquet(arrivals)
         stream = spark.readStream.schema("at timestamp, event_type string").parquet(arrivals)
-        run_once(tumbling_distinct(stream, "at", "event_type", "event_types"), checkpoint, out)
+        windows = tumbling_distinct(stream, "at", "event_type", "event_types")
+        run_once(windows, checkpoint, out, state_partitions=_cores(spark))
     return spark.read.parquet(out).select(*_bounds("time"), "event_types")
 
 

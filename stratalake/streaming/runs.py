@@ -2,13 +2,19 @@
 
 Progress lives in the checkpoint: running again handles only new input, and a
 run that broke off continues where it stopped.
+
+A stream with state keeps the number of partitions it was first started with.
+``state_partitions`` sets it for one stream: a few thousand windows need far fewer
+than ``spark.sql.shuffle.partitions`` on a large cluster, and each costs a task and
+a file in every batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.tables import publish_version
@@ -20,6 +26,7 @@ def run_once(
     path: str,
     table: str | None = None,
     partition_by: Sequence[str] = (),
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append everything new to Parquet files at ``path``, then return.
 
@@ -36,7 +43,8 @@ def run_once(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.toTable(table) if table else writer.start()
+    with _shuffle_partitions(stream.sparkSession, state_partitions):
+        query = writer.toTable(table) if table else writer.start()
     query.awaitTermination()
     return query
 
@@ -47,6 +55,7 @@ def run_complete(
     path: str,
     table: str,
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep ``table`` equal to the whole result so far, then return.
 
@@ -59,13 +68,14 @@ def run_complete(
     def publish(result: DataFrame, version: int | str) -> None:
         publish_version(finish(result) if finish else result, table, f"{path}/batch-{version}")
 
-    query = (
+    writer = (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(publish)
-        .start()
     )
+    with _shuffle_partitions(spark, state_partitions):
+        query = writer.start()
     query.awaitTermination()
     # The batches ran in a session of their own; this one may remember the version before.
     if spark.catalog.tableExists(table):
@@ -73,3 +83,18 @@ def run_complete(
     else:
         publish(spark.createDataFrame([], stream.schema), "none")
     return query
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """The setting a stream takes over when it starts, put back afterwards."""
+    if count is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, count)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

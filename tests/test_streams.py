@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
@@ -87,6 +88,16 @@ def test_late_rows_are_dropped(spark, folder):
     assert dropped == 1
 
 
+def test_state_partitions_are_the_streams_own(spark, folder):
+    source, out, checkpoint = places(folder)
+    deliver(spark, source, (day("00:01"), 1), (day("00:30"), 1))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = tumbling_distinct(spark.readStream.schema(AT).parquet(source), "at", "v", "n")
+    run_once(stream, checkpoint, out, state_partitions=3)
+    assert sorted(f for f in os.listdir(f"{checkpoint}/state/0") if f.isdigit()) == ["0", "1", "2"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_complete_stream_equals_the_batch_result(spark, folder):
     source, out, checkpoint = places(folder)
     name = fresh_name("windows")
