@@ -140,6 +140,28 @@ def test_rows_know_their_file(spark, folder):
     assert named.where("path LIKE '%.xml'").count() == 3
 
 
+class Settings:
+    """Stands in for a session: only its settings are asked."""
+
+    def __init__(self, **values):
+        self.values = {key.replace("__", "."): value for key, value in values.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    shared = Settings(
+        spark__app__id="app-1", spark__master="yarn", spark__checkpoint__dir="hdfs:///shared/"
+    )
+    assert scratch_root(shared) == "hdfs:///shared/stratalake/app-1"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Settings(spark__app__id="app-2", spark__master="yarn"))
+    alone = Settings(spark__app__id="local-3", spark__master="local[2]")
+    assert scratch_root(alone) == scratch_root(alone)
+
+
 def test_scratch_is_where_the_cluster_says(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
