@@ -91,16 +91,24 @@ def publish_version(
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Write ``df`` to the folder ``path`` and make it the content of table ``name``."""
+    """Write ``df`` to the folder ``path`` and make it the content of table ``name``.
+
+    A comment or property the table already has stays unless a new one is given.
+    """
     spark = df.sparkSession
     overwrite_files(df, path, partition_by)
+    exists = spark.catalog.tableExists(name)
     movable = (
-        not partition_by
-        and spark.catalog.tableExists(name)
+        exists
+        and not partition_by
         and not _partition_columns(spark, name)
         and _same_columns(spark.table(name), df)
     )
     if not movable:
+        if exists:
+            comment = comment or spark.catalog.getTable(name).description
+            stored = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+            properties = {**{row["key"]: row["value"] for row in stored}, **(properties or {})}
         register_table(spark, name, path, df.schema, partition_by, comment, properties)
         return spark.table(name)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(path)}'")

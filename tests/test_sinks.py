@@ -132,10 +132,13 @@ def test_untouched_partitions_are_not_read(spark, folder):
 
 def test_upsert_by_other_keys_may_move_rows_between_partitions(spark, folder):
     name, schema = fresh_name("t"), "part string, k int"
-    publish_version(frame(spark, ("a", 1), ("b", 2), schema=schema), name, f"{folder}/1", ["part"])
+    data = frame(spark, ("a", 1), ("b", 2), schema=schema)
+    publish_version(data, name, f"{folder}/1", ["part"], "by part", {"team": "x"})
     result = upsert(frame(spark, ("b", 1), schema=schema), name, "k", folder)
     assert rows(result.select("part", "k")) == [("b", 1), ("b", 2)]
     assert rows(spark.table(name).where("part = 'a'")) == []
+    assert spark.catalog.getTable(name).description == "by part"
+    assert dict(rows(spark.sql(f"SHOW TBLPROPERTIES {name}")))["team"] == "x"
 
 
 def test_create_or_upsert(spark, folder):
