@@ -16,7 +16,7 @@ A branch that ``UNIMPORTANT`` or less of importance is left out, unless its elem
 says that it is content (``article``, ``main``). Branches whose element or class says
 that they are navigation, adverts, notices, forms or comments have importance 0 from
 the start: a host of one page, or one whose menus differ, has no statistics to tell.
-If a page has an article, text outside it is kept only if it is a heading of it.
+If a page has a main element or articles, text outside them goes.
 
 Only the paths a host leaves out travel back to its pages, by a join on the host that
 adaptive execution can split; pages of a hot host never meet in one task, and its
@@ -28,12 +28,11 @@ a null url is a host of its own; repeated rows are extracted once each.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
@@ -45,6 +44,8 @@ DECAY = 0.9
 UNIMPORTANT = 0.2
 #: Pages a host needs before its counts say anything.
 MIN_PAGES = 4
+#: Levels of elements that paths tell apart.
+MAX_DEPTH = 64
 #: Counts a task holds before it hands them on.
 _HELD_COUNTS = 200_000
 
@@ -93,31 +94,38 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^\w+://([^/?#]*)", 1)), F.lit(""))
 
 
-def path_of(node: Node) -> str:
-    labels = []
-    while node is not None and node.name:
-        labels.append(node.label())
-        node = node.parent
-    return ">".join(reversed(labels))
+def _below(path: str, child: Node) -> str:
+    """The path of an element under that of its parent.
+
+    Inline elements are part of their block, and nodes deeper than ``MAX_DEPTH`` of the
+    last one above that: they share its path.
+    """
+    if child.name in INLINE or path.count(">") >= MAX_DEPTH:
+        return path
+    return f"{path}>{child.label()}" if path else child.label()
 
 
 def _observations(root: Node) -> Iterator[tuple[str, str, str]]:
-    """(path, kind, value) of a page: its styles and the words directly in each node."""
+    """(path, kind, value) of a page: its styles and the words directly in each block."""
     seen: dict[str, tuple[list[str], set[str]]] = {}
     waiting = [(root, "")]
     while waiting:
-        node, path = waiting.pop()
+        block, path = waiting.pop()
         styles, words = seen.setdefault(path, ([], set()))
         labels = []
-        for child in node.children:
+        inner = block.children[::-1]
+        while inner:
+            child = inner.pop()
             if child.text is not None:
                 if child.name == "#text":
                     words.update(child.text.split())
+            elif child.name in INLINE:
+                inner.extend(reversed(child.children))
             elif child.name not in UNSEEN:
                 label = child.label()
                 if not labels or labels[-1] != label:
                     labels.append(label)
-                waiting.append((child, f"{path}>{label}" if path else label))
+                waiting.append((child, _below(path, child)))
         styles.append(" ".join(labels))
     for path, (styles, words) in seen.items():
         if path:
@@ -244,46 +252,42 @@ def main_text(root: Node, out: frozenset[str]) -> str:
         parts.clear()
 
     # (node, path, whether it closes) in page order, without recursion: pages nest deeply.
-    for start in _content_roots(root, out):
-        waiting = [(start, path_of(start), False)]
+    for start, start_path in _content_roots(root, out):
+        waiting = [(start, start_path, False)]
         while waiting:
             node, path, closes = waiting.pop()
             if closes:
                 end_block()
-                continue
-            if node.text is not None:
-                if node.name == "#text":
-                    parts.append(node.text)
-                continue
-            if node.name == "br":
-                parts.append(" ")
-            if node.name == "#raw" or (node.name and (is_noise(node) or path in out)):
-                continue
-            if node.name not in INLINE:
-                end_block()
-                waiting.append((node, path, True))
-            for child in reversed(node.children):
-                inner = f"{path}>{child.label()}" if path else child.label()
-                waiting.append((child, inner if child.text is None else path, False))
+            elif node.text is not None:
+                parts.append(node.text if node.name == "#text" else "")
+            elif not (node.name and (is_noise(node) or path in out)):
+                if node.name == "br":
+                    parts.append(" ")
+                if node.name not in INLINE:
+                    end_block()
+                    waiting.append((node, path, True))
+                for child in reversed(node.children):
+                    inner = path if child.text is not None else _below(path, child)
+                    waiting.append((child, inner, False))
         end_block()
     return "\n".join(blocks)
 
 
-def _content_roots(root: Node, out: frozenset[str]) -> list[Node]:
-    """The outermost articles of a page, or the page itself if it has none."""
-    found, mains = [], []
-    waiting = [root]
+def _content_roots(root: Node, out: frozenset[str]) -> list[tuple[Node, str]]:
+    """The outermost articles of a page with their paths, or the page if it has none."""
+    articles, mains = [], []
+    waiting = [(root, "")]
     while waiting:
-        node = waiting.pop()
-        if node.name and (is_noise(node) or path_of(node) in out):
+        node, path = waiting.pop()
+        if node.name and (is_noise(node) or path in out):
             continue
-        if node.name == "main":
-            mains.append(node)
-        if node.name == "article":
-            found.append(node)
+        if node.name in CONTENT_ELEMENTS:
+            (mains if node.name == "main" else articles).append((node, path))
             continue
-        waiting.extend(c for c in reversed(node.children) if c.text is None)
-    return mains or found or [root]
+        for child in reversed(node.children):
+            if child.text is None:
+                waiting.append((child, _below(path, child)))
+    return mains or articles or [(root, "")]
 
 
 def extract(pages: DataFrame) -> DataFrame:
