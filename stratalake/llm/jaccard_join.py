@@ -9,10 +9,12 @@ Classes are light or heavy by the size of their set:
   a key is linked to one set of size s under it: no pairs, no verification.
 * **Heavy** sets scan inverted lists. Linked sets share at least ``SHARED`` shingles among
   the first few of each in any common order. The order puts shingles that many documents
-  have last, so lists are short, except those of large groups of near copies. In those,
-  members are compared with one hub of the list first; once the group is one component,
-  a list has nothing left to compare but members of different components. All such pairs
-  are counted, and those that share enough are verified on their whole sets.
+  have last, so lists are short, except those of large groups of near copies. How far
+  down the order a shared shingle may stand follows from both sizes, which leaves out
+  most members of such a group that are too far from the others. Members are compared
+  with one hub of the list first; once the group is one component, a list has nothing
+  left to compare but members of different components. All such pairs are counted, and
+  those that share enough are verified on their whole sets.
 
 The boundary between the two is the size at which enumerating, by the sizes there are,
 begins to cost more than the measured lists. Whatever the boundary and the order, the
@@ -48,7 +50,7 @@ from .components import components
 #: Something of a word: any character but the white space that separates words.
 _WORD = r"[^\x20\x09-\x0D]"
 #: Shingles that linked heavy sets must share among their first ones.
-SHARED = 3
+SHARED = 2
 #: A shingle of so many documents is put last in the order.
 FREQUENT = 32
 #: Shingles that are put last, at most: what is sent to every task.
@@ -216,7 +218,7 @@ def _list_sizes(lists: pa.Array) -> np.ndarray:
 def _first_shingles(
     heads: DataFrame, ratio: Ratio, frequent: np.ndarray, least: int
 ) -> DataFrame:
-    """(shingle, row, size): the first shingles, in the order, of sets of at least ``least``."""
+    """(shingle, row, size, place) of the first shingles of sets of at least ``least``."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,12 +243,13 @@ def _first_shingles(
                         pa.array(np.concatenate(values)),
                         pa.array(np.repeat(batch.column("row").to_numpy(), counts)),
                         pa.array(np.repeat(batch.column("size").to_numpy(), counts)),
+                        pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in counts])),
                     ],
-                    names=["shingle", "row", "size"],
+                    names=["shingle", "row", "size", "place"],
                 )
 
     chosen = heads.where(F.col("size") >= least).select("row", "size", "head")
-    return chosen.mapInArrow(emit, "shingle long, row long, size int")
+    return chosen.mapInArrow(emit, "shingle long, row long, size int, place int")
 
 
 def _light_links(heads: DataFrame, ratio: Ratio, most: int) -> DataFrame:
@@ -351,13 +354,13 @@ def _labelled(lists: DataFrame, edges: DataFrame) -> DataFrame:
     labels = components(edges)
     known = lists.join(labels, lists.row == labels.node, "left")
     label = F.coalesce("label", "row")
-    return known.select("shingle", "row", "size", "copies", label.alias("label"))
+    return known.select("shingle", "row", "size", "place", "copies", label.alias("label"))
 
 
 def _open_lists(lists: DataFrame) -> DataFrame:
     """The lists that have members of different components, with their hub and largest one."""
     members = lists.groupBy("shingle", "label").agg(
-        F.count("*").alias("n"), F.max(F.struct("copies", -F.col("row"), "size")).alias("hub")
+        F.count("*").alias("n"), F.max(F.struct("copies", -F.col("row"), "size", "place")).alias("hub")
     )
     open_ = members.groupBy("shingle").agg(
         F.count("*").alias("labels"),
@@ -371,14 +374,28 @@ def _open_lists(lists: DataFrame) -> DataFrame:
         (-F.col("largest.col2")).alias("largest"),
         (-F.col("hub.col2")).alias("hub"),
         F.col("hub.size").alias("hub_size"),
+        F.col("hub.place").alias("hub_place"),
     )
 
 
 def _candidates(pairs: DataFrame, ratio: Ratio) -> DataFrame:
-    """Pairs of fitting sizes that share enough first shingles."""
-    fit = pairs.where(ratio.columns_fit(F.col("a_size"), F.col("b_size")))
-    shared = fit.groupBy("a", "b").agg(F.count("*").alias("shared"))
-    return shared.where(F.col("shared") >= SHARED).select("a", "b")
+    """Pairs of fitting sizes that share enough first shingles.
+
+    With an intersection of at least c, sets of sizes s and t share k shingles among the
+    first s - c + k and t - c + k of the order, and the first one that they share stands
+    among the first s - c + 1 and t - c + 1.
+    """
+    sizes = F.col("a_size") + F.col("b_size")
+    least = F.ceil(sizes * ratio.num / F.lit(ratio.num + ratio.den)).cast("int")
+    a_free, b_free = F.col("a_size") - least, F.col("b_size") - least
+    fit = pairs.where(
+        ratio.columns_fit(F.col("a_size"), F.col("b_size"))
+        & (F.col("a_place") < a_free + SHARED)
+        & (F.col("b_place") < b_free + SHARED)
+    )
+    first = F.max((F.col("a_place") <= a_free) & (F.col("b_place") <= b_free)).alias("first")
+    shared = fit.groupBy("a", "b").agg(F.count("*").alias("shared"), first)
+    return shared.where((F.col("shared") >= SHARED) & F.col("first")).select("a", "b")
 
 
 def _heavy_links(
@@ -395,7 +412,7 @@ def _heavy_links(
     several = first.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     lists = first.join(several, "shingle").join(
         classes.select("row", "copies"), "row"
-    ).select("shingle", "row", "size", "copies")
+    ).select("shingle", "row", "size", "place", "copies")
     lists = stored(lists, "jaccard-lists")
     edges = light
     total = lists.count()
@@ -413,6 +430,8 @@ def _heavy_links(
             F.col("hub").alias("b"),
             F.col("size").alias("a_size"),
             F.col("hub_size").alias("b_size"),
+            F.col("place").alias("a_place"),
+            F.col("hub_place").alias("b_place"),
         )
         found = _verified(docs, n, ratio, classes, _candidates(pairs, ratio))
         grown = stored(edges.unionByName(found).distinct(), "jaccard-edges")
@@ -423,16 +442,22 @@ def _heavy_links(
     open_ = _open_lists(labelled).select("shingle", "largest")
     members = labelled.join(open_, "shingle")
     others = members.where("label <> largest").select(
-        "shingle", F.col("row").alias("a"), F.col("size").alias("a_size"), F.col("label").alias("l")
+        "shingle",
+        F.col("row").alias("a"),
+        F.col("size").alias("a_size"),
+        F.col("place").alias("a_place"),
+        F.col("label").alias("l"),
     )
     met = others.join(members, "shingle").where(
         "l <> label and (label = largest or a < row)"
     )
     pairs = met.select(
-        F.least("a", "row").alias("a"),
-        F.greatest("a", "row").alias("b"),
+        "a",
+        F.col("row").alias("b"),
         "a_size",
         F.col("size").alias("b_size"),
+        "a_place",
+        F.col("place").alias("b_place"),
     )
     found = _verified(docs, n, ratio, classes, _candidates(pairs, ratio))
     return edges.unionByName(found)
