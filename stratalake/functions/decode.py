@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from operator import itemgetter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,23 +23,28 @@ def infer_xml_schema(
     texts: DataFrame,
     column: str,
     row_tag: str,
-    sampling_ratio: float | None = None,
 ) -> T.StructType:
     """One schema that fits every document in a text column.
 
     Each partition infers its own part and the parts are merged, so only the
-    schema reaches the driver. The whole column is read unless a
-    ``sampling_ratio`` is given; an element that repeats in just one unsampled
-    document would then come out as a struct instead of an array.
+    schema reaches the driver. The whole column is read, and goes through Python;
+    documents that are files are better inferred by ``infer_xml_files``.
     """
     reader = texts.sparkSession.read.option("rowTag", row_tag)
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
     documents = texts.select(column).where(F.col(column).isNotNull())
     # The reader's only entry point for documents held in a column is an RDD of strings.
     return reader.xml(documents.rdd.map(itemgetter(0))).schema
 
 
+def infer_xml_files(spark: SparkSession, path: str, row_tag: str) -> T.StructType:
+    """One schema that fits every ``row_tag`` element of the files.
+
+    The files are read by the JVM, element by element: no Python, and no document held
+    as one value.
+    """
+    return spark.read.option("rowTag", row_tag).xml(path).schema
+
+
 def parse_xml(
     column: str | Column,
     schema: T.StructType | str,

@@ -6,7 +6,7 @@ from .expectations import (
     guard,
     observe_rules,
     observe_stream,
-    stream_violations,
+    stream_counts,
     violations,
 )
 from .flatten import explode_keep, explode_only, items_as_rows, promote_struct
@@ -28,7 +28,7 @@ __all__ = [
     "observe_rules",
     "observe_stream",
     "promote_struct",
-    "stream_violations",
+    "stream_counts",
     "sum_per_key",
     "summarise_per_key",
     "top_k",

@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.decode import bytes_to_text, infer_xml_schema, parse_xml
-from ..sources.files import read_binary_files, with_source_path
+from ..functions.decode import bytes_to_text, infer_xml_files, parse_xml
+from ..sources.files import with_source_path
 from ..sources.streams import BACKLOG_BYTES, stream_binary_files
 
 
-def inferred_schema(
-    spark: SparkSession, files: str, root_tag: str, sampling_ratio: float | None = None
-) -> T.StructType:
-    """Schema of the documents in a folder. Reads all of them unless sampled."""
-    texts = read_binary_files(spark, files, "*.xml").select(bytes_to_text("content").alias("text"))
-    return infer_xml_schema(texts, "text", root_tag, sampling_ratio)
+def inferred_schema(spark: SparkSession, files: str, root_tag: str) -> T.StructType:
+    """Schema of the documents in a folder, from all of them."""
+    return infer_xml_files(spark, f"{files}/*.xml", root_tag)
 
 
 def with_lineage(

@@ -29,7 +29,6 @@ def read_xml_rows(
     path: str,
     row_tag: str,
     schema: T.StructType | str | None = None,
-    skip_unreadable: bool = False,
 ) -> DataFrame:
     """One row per ``row_tag`` element.
 
@@ -38,10 +37,10 @@ def read_xml_rows(
     Without a schema the files are read twice, once to infer it.
 
     A malformed element gives nulls. A file that is not text in its encoding fails
-    the job, or, with ``skip_unreadable``, is left from that point on.
+    the job, so that nothing of it is lost unseen.
     """
     reader = spark.read.format("xml").option("rowTag", row_tag)
-    reader = reader.option("ignoreCorruptFiles", skip_unreadable)
+    reader = reader.option("ignoreCorruptFiles", False)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-from datetime import date
-
 import pytest
 from conftest import physical_plan, rows
 from pyspark.sql import functions as F
@@ -9,6 +7,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions import (
     bytes_to_text,
+    infer_xml_files,
     infer_xml_schema,
     narrow_schema,
     parse_json,
@@ -19,33 +18,48 @@ from stratalake.functions import (
 from stratalake.operators import explode_keep
 from stratalake.plans import messages
 from stratalake.plans import purchase_orders as po
+from stratalake.plans.documents import inferred_schema
 from stratalake.sources import read_binary_files
 
-PEOPLE = """<people>
-  <person><age born="1990-02-24">25</age><name>Ann</name></person>
-  <person><age born="1985-01-01"></age></person>
-</people>"""
-LONE = """<people><person><age born="1980-01-01">30</age></person></people>"""
+GAUGES = """<gauges>
+  <gauge><site>Ford</site><level unit="cm" checked="true">140</level></gauge>
+  <gauge><level unit="m"/></gauge>
+  <gauge><level unit="cm">87</level></gauge>
+</gauges>"""
+LONE = """<gauges><gauge><level unit="mm">12</level></gauge></gauges>"""
 
 
 def texts(spark, *documents):
     return spark.createDataFrame([(d,) for d in documents], "text string")
 
 
+GAUGE_SCHEMA = (
+    "struct<gauge:array<struct<level:struct<_VALUE:bigint,_checked:boolean,_unit:string>,"
+    "site:string>>>"
+)
+
+
 def test_inferred_schema_fits_every_document(spark):
-    schema = infer_xml_schema(texts(spark, LONE, PEOPLE, None), "text", "people")
-    assert schema.simpleString() == (
-        "struct<person:array<struct<age:struct<_VALUE:bigint,_born:date>,name:string>>>"
-    )
+    schema = infer_xml_schema(texts(spark, LONE, GAUGES, None), "text", "gauges")
+    assert schema.simpleString() == GAUGE_SCHEMA
+
+
+def test_schema_of_files_is_that_of_their_texts(spark, folder):
+    for name, document in (("one", LONE), ("many", GAUGES)):
+        with open(f"{folder}/{name}.xml", "w") as file:
+            file.write(document)
+    assert infer_xml_files(spark, f"{folder}/*.xml", "gauges").simpleString() == GAUGE_SCHEMA
+    assert inferred_schema(spark, folder, "gauges").simpleString() == GAUGE_SCHEMA
 
 
 def test_empty_element_keeps_its_attribute(spark):
-    documents = texts(spark, PEOPLE)
-    schema = infer_xml_schema(documents, "text", "people")
-    people = documents.select(F.explode(parse_xml("text", schema).getField("person")).alias("p"))
-    assert rows(people.select("p.age._VALUE", "p.age._born", "p.name")) == [
-        (25, date(1990, 2, 24), "Ann"),
-        (None, date(1985, 1, 1), None),
+    documents = texts(spark, GAUGES)
+    schema = infer_xml_schema(documents, "text", "gauges")
+    gauges = documents.select(F.explode(parse_xml("text", schema).getField("gauge")).alias("g"))
+    assert rows(gauges.select("g.level._VALUE", "g.level._unit", "g.site")) == [
+        (140, "cm", "Ford"),
+        (87, "cm", None),
+        (None, "m", None),
     ]
 
 
@@ -96,9 +110,8 @@ def test_bad_files_cost_a_field_or_the_rest_of_a_document(spark, folder):
     # A file that is not text at all.
     with open(f"{folder}/no-text.xml", "wb") as file:
         file.write(b"\xff\xfe\x00")
-    readable = po.read_orders(spark, folder, skip_unreadable=True)
-    known = readable.where("_PurchaseOrderNumber IS NOT NULL")
-    assert rows(known.select("_PurchaseOrderNumber")) == [(1,), (2,), (3,), (5,)]
+    with pytest.raises(Exception, match="(?i)charset|malformed|corrupt|encod|xml"):
+        po.read_orders(spark, folder).collect()
     by_document = po.summary(po.bronze(read_binary_files(spark, folder, "*.xml")))
     assert rows(by_document.select("_PurchaseOrderNumber")) == [(1,), (2,)]
 

@@ -12,7 +12,7 @@ from stratalake.operators import (
     guard,
     observe_rules,
     observe_stream,
-    stream_violations,
+    stream_counts,
     violations,
 )
 from stratalake.plans import clicks
@@ -71,13 +71,23 @@ def test_violations_are_observed_while_writing(spark, folder):
 
 def test_violations_are_observed_in_a_stream(spark, folder):
     source, out, checkpoint = (f"{folder}/{name}" for name in ("in", "out", "checkpoint"))
-    for data in ([(None, 1), ("b", 0)], [("c", -3), ("d", 4)]):
-        frame(spark, *data).coalesce(1).write.mode("append").parquet(source)
+    batches = 8
+    for _ in range(batches):
+        frame(spark, (None, 1), ("b", 0), ("c", -3), ("d", 4)).coalesce(1).write.mode(
+            "append"
+        ).parquet(source)
     stream = spark.readStream.schema("name string, n int").option("maxFilesPerTrigger", 1)
     observed = observe_stream(stream.parquet(source), RULES, "quality")
-    query = run_once(observed, checkpoint, out)
-    assert stream_violations(query, RULES, "quality") == {"has_name": 1, "positive": 2}
-    assert spark.read.parquet(out).count() == 4
+    # A query remembers fewer batches than there are.
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)
+    try:
+        with stream_counts(spark, RULES, "quality") as counts:
+            query = run_once(observed, checkpoint, out)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(query.recentProgress) <= 3
+    assert counts.violations() == {"has_name": batches, "positive": 2 * batches}
+    assert counts.rows() == spark.read.parquet(out).count() == 4 * batches
 
 
 def test_stream_batch_with_a_violation_publishes_nothing(spark, folder):
