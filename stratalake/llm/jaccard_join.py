@@ -53,6 +53,8 @@ _WORD = r"[^\x20\x09-\x0D]"
 SHARED = 2
 #: A shingle of so many documents is put last in the order.
 FREQUENT = 32
+#: Lists longer than this meet each pair once; shorter ones meet it for each shingle.
+LONG_LIST = 64
 #: Shingles that are put last, at most: what is sent to every task.
 MAX_FREQUENT = 200_000
 #: Subsets a light set may have.
@@ -370,6 +372,7 @@ def _open_lists(lists: DataFrame) -> DataFrame:
     )
     return open_.where("labels > 1").select(
         "shingle",
+        "rows",
         (F.col("rows") * (F.col("rows") - F.col("largest.n"))).alias("pairs"),
         (-F.col("largest.col2")).alias("largest"),
         (-F.col("hub.col2")).alias("hub"),
@@ -378,24 +381,78 @@ def _open_lists(lists: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(pairs: DataFrame, ratio: Ratio) -> DataFrame:
-    """Pairs of fitting sizes that share enough first shingles.
+def _free(ratio: Ratio) -> tuple[Column, Column]:
+    """How many shingles of a, and of b, a linked pair of their sizes can lack."""
+    sizes = F.col("a_size") + F.col("b_size")
+    least = F.ceil(sizes * ratio.num / F.lit(ratio.num + ratio.den)).cast("int")
+    return F.col("a_size") - least, F.col("b_size") - least
+
+
+def _fitting(pairs: DataFrame, ratio: Ratio) -> DataFrame:
+    """The meetings that a linked pair can have by its sizes and places.
 
     With an intersection of at least c, sets of sizes s and t share k shingles among the
-    first s - c + k and t - c + k of the order, and the first one that they share stands
-    among the first s - c + 1 and t - c + 1.
+    first s - c + k and t - c + k of the order.
     """
-    sizes = F.col("a_size") + F.col("b_size")
-    least = F.ceil(sizes * ratio.num / F.lit(ratio.num + ratio.den)).cast("int")
-    a_free, b_free = F.col("a_size") - least, F.col("b_size") - least
-    fit = pairs.where(
+    a_free, b_free = _free(ratio)
+    return pairs.where(
         ratio.columns_fit(F.col("a_size"), F.col("b_size"))
         & (F.col("a_place") < a_free + SHARED)
         & (F.col("b_place") < b_free + SHARED)
     )
-    first = F.max((F.col("a_place") <= a_free) & (F.col("b_place") <= b_free)).alias("first")
-    shared = fit.groupBy("a", "b").agg(F.count("*").alias("shared"), first)
-    return shared.where((F.col("shared") >= SHARED) & F.col("first")).select("a", "b")
+
+
+def _candidates(pairs: DataFrame, ratio: Ratio) -> DataFrame:
+    """Pairs that share enough first shingles, the first of them early enough.
+
+    If both are also in long lists (``in_long``), one is enough: another may be there.
+    """
+    a_free, b_free = _free(ratio)
+    early = F.max((F.col("a_place") <= a_free) & (F.col("b_place") <= b_free)).alias("early")
+    shared = _fitting(pairs, ratio).groupBy("a", "b").agg(
+        F.count("*").alias("shared"), early, F.max("in_long").alias("in_long")
+    )
+    enough = (F.col("shared") >= SHARED) & F.col("early")
+    return shared.where(enough | F.col("in_long")).select("a", "b")
+
+
+def _pairs_left(labelled: DataFrame, ratio: Ratio) -> DataFrame:
+    """All pairs of different components that may be linked, each pair once or more.
+
+    A member of a list meets those of other components, unless it and they are in the
+    list's largest one. Members of long lists carry all their shingles of such lists, so
+    that a pair is met at the first that it shares and counted there.
+    """
+    open_ = _open_lists(labelled).select("shingle", "largest", "rows")
+    members = labelled.join(open_, "shingle")
+    is_long = F.col("rows") > LONG_LIST
+    ordered = F.sort_array(F.collect_list(F.struct("place", "shingle")))
+    held = members.where(is_long).groupBy("row").agg(
+        F.transform(ordered, lambda x: x["shingle"]).alias("held")
+    )
+    members = stored(members.join(held, "row", "left"), "jaccard-open-members")
+
+    def side(part: DataFrame, name: str) -> DataFrame:
+        return part.select(
+            "shingle",
+            F.col("row").alias(name),
+            *(F.col(c).alias(f"{name}_{c}") for c in ("size", "place", "label", "held")),
+            F.col("largest").alias(f"{name}_largest"),
+        )
+
+    def met(lists: Column) -> DataFrame:
+        part = members.where(lists)
+        others = side(part.where("label <> largest"), "a")
+        return others.join(side(part, "b"), "shingle").where(
+            "a_label <> b_label and (b_label = a_largest or a < b)"
+        )
+
+    in_long = F.col("a_held").isNotNull() & F.col("b_held").isNotNull()
+    short = _candidates(met(~is_long).withColumn("in_long", in_long), ratio)
+    common = F.array_intersect("a_held", "b_held")
+    first = (F.get(common, F.lit(0)) == F.col("shingle")) & (F.size(common) >= SHARED)
+    long = _fitting(met(is_long), ratio).where(first).select("a", "b")
+    return short.unionByName(long).distinct()
 
 
 def _heavy_links(
@@ -432,6 +489,7 @@ def _heavy_links(
             F.col("hub_size").alias("b_size"),
             F.col("place").alias("a_place"),
             F.col("hub_place").alias("b_place"),
+            F.lit(False).alias("in_long"),
         )
         found = _verified(docs, n, ratio, classes, _candidates(pairs, ratio))
         grown = stored(edges.unionByName(found).distinct(), "jaccard-edges")
@@ -439,27 +497,7 @@ def _heavy_links(
             break
         edges = grown
     labelled = stored(_labelled(lists, edges), "jaccard-labelled")
-    open_ = _open_lists(labelled).select("shingle", "largest")
-    members = labelled.join(open_, "shingle")
-    others = members.where("label <> largest").select(
-        "shingle",
-        F.col("row").alias("a"),
-        F.col("size").alias("a_size"),
-        F.col("place").alias("a_place"),
-        F.col("label").alias("l"),
-    )
-    met = others.join(members, "shingle").where(
-        "l <> label and (label = largest or a < row)"
-    )
-    pairs = met.select(
-        "a",
-        F.col("row").alias("b"),
-        "a_size",
-        F.col("size").alias("b_size"),
-        "a_place",
-        F.col("place").alias("b_place"),
-    )
-    found = _verified(docs, n, ratio, classes, _candidates(pairs, ratio))
+    found = _verified(docs, n, ratio, classes, _pairs_left(labelled, ratio))
     return edges.unionByName(found)
 
 
