@@ -41,7 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_and_text, stored
@@ -53,7 +53,7 @@ _WORD = r"[^\x20\x09-\x0D]"
 SHARED = 2
 #: A shingle of so many documents is put last in the order.
 FREQUENT = 32
-#: Lists longer than this meet each pair once; shorter ones meet it for each shingle.
+#: Members of longer lists are compared by an order of their own.
 LONG_LIST = 64
 #: Shingles that are put last, at most: what is sent to every task.
 MAX_FREQUENT = 200_000
@@ -325,24 +325,25 @@ def _boundary(heads: DataFrame, ratio: Ratio) -> int:
     return choose_boundary(ratio, sizes, (row["met"] or 0.0) / (row["rows"] or 1.0))
 
 
-def _verified(
-    docs: DataFrame, n: int, ratio: Ratio, classes: DataFrame, pairs: DataFrame
-) -> DataFrame:
-    """The pairs (a, b) of row numbers whose whole sets are similar enough.
-
-    Only the sets of documents in some pair are built again and moved.
-    """
-    pairs = stored(pairs.select("a", "b"), "jaccard-pairs")
-    ends = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
-    wanted = stored(classes.join(ends.distinct(), "row", "left_semi"), "jaccard-wanted")
+def _whole_sets(docs: DataFrame, n: int, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row, shingles) of the given rows; only the sets of their documents are built."""
+    wanted = stored(classes.join(rows.distinct(), "row", "left_semi"), "jaccard-wanted")
     ids = _checked(stored(wanted.select(F.col("doc_id").alias("id")).distinct(), "jaccard-ids"))
-    texts = id_and_text(docs)
-    own = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    own = id_and_text(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     signed = stored(_signed(shingles(own, n)), "jaccard-sets")
     same = [signed[c] == wanted[c] for c in SIGNATURE]
     by_doc = signed["doc_id"].eqNullSafe(wanted["doc_id"])
     sets = signed.join(wanted, [by_doc, *same]).select(wanted["row"], signed["shingles"])
-    sets = sets.dropDuplicates(["row"])
+    return sets.dropDuplicates(["row"])
+
+
+def _verified(
+    docs: DataFrame, n: int, ratio: Ratio, classes: DataFrame, pairs: DataFrame
+) -> DataFrame:
+    """The pairs (a, b) of row numbers whose whole sets are similar enough."""
+    pairs = stored(pairs.select("a", "b"), "jaccard-pairs")
+    ends = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
+    sets = _whole_sets(docs, n, classes, ends)
     left = sets.select(F.col("row").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("row").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(left, "a").join(right, "b")
@@ -403,56 +404,67 @@ def _fitting(pairs: DataFrame, ratio: Ratio) -> DataFrame:
 
 
 def _candidates(pairs: DataFrame, ratio: Ratio) -> DataFrame:
-    """Pairs that share enough first shingles, the first of them early enough.
-
-    If both are also in long lists (``in_long``), one is enough: another may be there.
-    """
+    """Pairs that share enough first shingles, the first of them early enough."""
     a_free, b_free = _free(ratio)
     early = F.max((F.col("a_place") <= a_free) & (F.col("b_place") <= b_free)).alias("early")
-    shared = _fitting(pairs, ratio).groupBy("a", "b").agg(
-        F.count("*").alias("shared"), early, F.max("in_long").alias("in_long")
-    )
-    enough = (F.col("shared") >= SHARED) & F.col("early")
-    return shared.where(enough | F.col("in_long")).select("a", "b")
+    shared = _fitting(pairs, ratio).groupBy("a", "b").agg(F.count("*").alias("shared"), early)
+    return shared.where((F.col("shared") >= SHARED) & F.col("early")).select("a", "b")
 
 
-def _pairs_left(labelled: DataFrame, ratio: Ratio) -> DataFrame:
-    """All pairs of different components that may be linked, each pair once or more.
-
-    A member of a list meets those of other components, unless it and they are in the
-    list's largest one. Members of long lists carry all their shingles of such lists, so
-    that a pair is met at the first that it shares and counted there.
-    """
-    open_ = _open_lists(labelled).select("shingle", "largest", "rows")
-    members = labelled.join(open_, "shingle")
-    is_long = F.col("rows") > LONG_LIST
-    ordered = F.sort_array(F.collect_list(F.struct("place", "shingle")))
-    held = members.where(is_long).groupBy("row").agg(
-        F.transform(ordered, lambda x: x["shingle"]).alias("held")
-    )
-    members = stored(members.join(held, "row", "left"), "jaccard-open-members")
+def _met(members: DataFrame) -> DataFrame:
+    """Members of lists with those of other components, unless both are in the largest."""
 
     def side(part: DataFrame, name: str) -> DataFrame:
         return part.select(
             "shingle",
             F.col("row").alias(name),
-            *(F.col(c).alias(f"{name}_{c}") for c in ("size", "place", "label", "held")),
-            F.col("largest").alias(f"{name}_largest"),
+            *(F.col(c).alias(f"{name}_{c}") for c in ("size", "place", "label", "largest")),
         )
 
-    def met(lists: Column) -> DataFrame:
-        part = members.where(lists)
-        others = side(part.where("label <> largest"), "a")
-        return others.join(side(part, "b"), "shingle").where(
-            "a_label <> b_label and (b_label = a_largest or a < b)"
-        )
+    others = side(members.where("label <> largest"), "a")
+    return others.join(side(members, "b"), "shingle").where(
+        "a_label <> b_label and (b_label = a_largest or a < b)"
+    )
+
+
+def _reordered(
+    docs: DataFrame, n: int, ratio: Ratio, classes: DataFrame, crowded: DataFrame
+) -> DataFrame:
+    """The lists of the given rows in the order of their shingles' counts among them.
 
-    in_long = F.col("a_held").isNotNull() & F.col("b_held").isNotNull()
-    short = _candidates(met(~is_long).withColumn("in_long", in_long), ratio)
-    common = F.array_intersect("a_held", "b_held")
-    first = (F.get(common, F.lit(0)) == F.col("shingle")) & (F.size(common) >= SHARED)
-    long = _fitting(met(is_long), ratio).where(first).select("a", "b")
-    return short.unionByName(long).distinct()
+    The members of a group of near copies have most shingles in common; what tells them
+    apart comes first here, so that only those meet that differ little from the others.
+    """
+    tokens = _whole_sets(docs, n, classes, crowded.select("row")).select(
+        "row", F.explode_outer("shingles").alias("shingle")
+    )
+    counts = tokens.groupBy("shingle").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("row").orderBy("n", "shingle")
+    placed = tokens.join(counts, "shingle").withColumn("place", F.row_number().over(order) - 1)
+    least = F.ceil(F.col("size") * ratio.num / F.lit(ratio.den)).cast("int")
+    known = placed.where("n > 1").join(crowded, "row")
+    return known.where(F.col("place") < F.col("size") - least + SHARED).select(
+        "shingle", "row", "size", "place", F.lit(1).cast("long").alias("copies"), "label"
+    )
+
+
+def _pairs_left(
+    docs: DataFrame, n: int, ratio: Ratio, classes: DataFrame, labelled: DataFrame
+) -> DataFrame:
+    """All pairs of different components that may be linked.
+
+    Two rows that share a shingle with a long list are both in that list, so all pairs
+    among the members of long lists are found by the order made for them; the others
+    share only shingles with short lists.
+    """
+    open_ = _open_lists(labelled).select("shingle", "largest", "rows")
+    members = stored(labelled.join(open_, "shingle"), "jaccard-open-members")
+    crowded = members.where(F.col("rows") > LONG_LIST).select("row", "size", "label").distinct()
+    crowded = stored(crowded, "jaccard-crowded")
+    again = stored(_reordered(docs, n, ratio, classes, crowded), "jaccard-reordered")
+    ordered = again.join(_open_lists(again).select("shingle", "largest"), "shingle")
+    short = _candidates(_met(members.where(F.col("rows") <= LONG_LIST)), ratio)
+    return short.unionByName(_candidates(_met(ordered), ratio)).distinct()
 
 
 def _heavy_links(
@@ -489,7 +501,6 @@ def _heavy_links(
             F.col("hub_size").alias("b_size"),
             F.col("place").alias("a_place"),
             F.col("hub_place").alias("b_place"),
-            F.lit(False).alias("in_long"),
         )
         found = _verified(docs, n, ratio, classes, _candidates(pairs, ratio))
         grown = stored(edges.unionByName(found).distinct(), "jaccard-edges")
@@ -497,7 +508,8 @@ def _heavy_links(
             break
         edges = grown
     labelled = stored(_labelled(lists, edges), "jaccard-labelled")
-    found = _verified(docs, n, ratio, classes, _pairs_left(labelled, ratio))
+    pairs = _pairs_left(docs, n, ratio, classes, labelled)
+    found = _verified(docs, n, ratio, classes, pairs)
     return edges.unionByName(found)
 
 
