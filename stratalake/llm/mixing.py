@@ -19,8 +19,9 @@ far from independent.
 
 Defined results: a null or empty text has no tokens, the prior as posterior, and takes
 part in no sum; null labels teach nothing; of several labels of one document the
-smallest counts; a target without any learned domain cannot be met and is an error, a
-domain without target keeps its share; without labels or documents every rate is 1.
+smallest counts; the share of a target domain that no labelled document has goes to the
+other targets in proportion; a domain without target keeps its share; without labels or
+documents, or targets of learned domains, every rate is 1.
 """
 
 from __future__ import annotations
@@ -162,9 +163,9 @@ def fit(
     classified: DataFrame, domains: tuple[str, ...], targets: dict[str, float]
 ) -> list[list[float]]:
     """The steps of projected gradient descent; ``targets`` are shares of all tokens."""
-    unknown = [d for d, share in targets.items() if d not in domains and share > 0]
-    if unknown:
-        raise ValueError(f"no labelled document is of {unknown}")
+    known_share = sum(share for d, share in targets.items() if d in domains)
+    larger = sum(targets.values()) / known_share if known_share else 1.0
+    targets = {d: share * larger for d, share in targets.items() if d in domains}
     known = classified.where("mix_tokens > 0").select(
         F.col("mix_tokens").cast("double").alias("t"), F.col("mix_posteriors").alias("p")
     )

@@ -123,5 +123,6 @@ def test_odd_mixing(spark, odd, none):
     assert mixing.resampled(odd, mixture).columns == odd.columns
     assert mixing.report(none, mixture).collect() == []
     assert mixing.resampled(odd, mixing.train_and_fit(odd, labelled.limit(0), {})).count() == odd.count()
-    with pytest.raises(ValueError):
-        mixing.train_and_fit(odd, labelled, {"other": 1.0})
+    assert mixing.train_and_fit(odd, labelled, {"other": 1.0}).steps == []
+    shared = {"other": 0.5, "quality1-toxic0": 0.25, "quality0-toxic0": 0.25}
+    assert mixing.train_and_fit(odd, labelled, shared) == mixture
