@@ -61,9 +61,7 @@ MAX_FREQUENT = 200_000
 MAX_SUBSETS = 1500
 #: Rows up to which a side of a join is broadcast.
 MAX_BROADCAST = 1_000_000
-#: Rounds of comparing members of lists with hubs before all pairs that are left.
-HUB_ROUNDS = 6
-#: Pairs for each row of the lists, and pairs at all, from which another round pays.
+#: Pairs for each row of the lists, and pairs at all, from which comparing with hubs pays.
 PAIRS_PER_ROW = 2.0
 CHEAP_PAIRS = 1_000_000
 
@@ -483,14 +481,11 @@ def _heavy_links(
         classes.select("row", "copies"), "row"
     ).select("shingle", "row", "size", "place", "copies")
     lists = stored(lists, "jaccard-lists")
+    labelled = stored(_labelled(lists, light), "jaccard-labelled")
+    open_ = stored(_open_lists(labelled), "jaccard-open")
     edges = light
-    total = lists.count()
-    for _ in range(HUB_ROUNDS):
-        labelled = stored(_labelled(lists, edges), "jaccard-labelled")
-        open_ = stored(_open_lists(labelled), "jaccard-open")
-        left = open_.agg(F.sum("pairs")).first()[0] or 0
-        if left <= max(CHEAP_PAIRS, PAIRS_PER_ROW * total):
-            break
+    if (open_.agg(F.sum("pairs")).first()[0] or 0) > max(CHEAP_PAIRS, PAIRS_PER_ROW * lists.count()):
+        # Once: a list's hub is the same whatever has been linked.
         hub = labelled.select(F.col("row").alias("hub"), F.col("label").alias("hub_label"))
         named = open_.join(hub.distinct(), "hub")
         met = labelled.join(named, "shingle").where("row <> hub and label <> hub_label")
@@ -503,11 +498,8 @@ def _heavy_links(
             F.col("hub_place").alias("b_place"),
         )
         found = _verified(docs, n, ratio, classes, _candidates(pairs, ratio))
-        grown = stored(edges.unionByName(found).distinct(), "jaccard-edges")
-        if grown.count() == edges.count():
-            break
-        edges = grown
-    labelled = stored(_labelled(lists, edges), "jaccard-labelled")
+        edges = stored(light.unionByName(found).distinct(), "jaccard-edges")
+        labelled = stored(_labelled(lists, edges), "jaccard-labelled")
     pairs = _pairs_left(docs, n, ratio, classes, labelled)
     found = _verified(docs, n, ratio, classes, pairs)
     return edges.unionByName(found)

@@ -58,16 +58,15 @@ def near_copies(seed, groups=12, copies=9):
 
 
 @pytest.mark.parametrize(
-    "n, ratio, rounds, long_list",
-    [(3, jaccard_join.Ratio(9, 10), 1, 64), (5, jaccard_join.Ratio(4, 5), 0, 2)],
+    "n, ratio, cheap_pairs, long_list",
+    [(3, jaccard_join.Ratio(9, 10), 0, 64), (5, jaccard_join.Ratio(4, 5), 10**9, 2)],
 )
-def test_components_are_those_of_all_pairs(spark, n, ratio, rounds, long_list, monkeypatch):
+def test_components_are_those_of_all_pairs(spark, n, ratio, cheap_pairs, long_list, monkeypatch):
     texts = near_copies(n) + [(1000, None), (1001, ""), (1002, "A b"), (1003, "a B"), (None, "a b")]
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
-    # Hubs are tried, and shingles put last, on far smaller data than otherwise.
-    monkeypatch.setattr(jaccard_join, "CHEAP_PAIRS", 0)
+    # Hubs are tried or not, and shingles put last, on far smaller data than otherwise.
+    monkeypatch.setattr(jaccard_join, "CHEAP_PAIRS", cheap_pairs)
     monkeypatch.setattr(jaccard_join, "FREQUENT", 4)
-    monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", rounds)
     monkeypatch.setattr(jaccard_join, "LONG_LIST", long_list)
     rows = [tuple(r) for r in jaccard_join.join(docs, n, ratio).collect()]
     assert sorted(rows, key=repr) == sorted(brute_components(texts, n, ratio), key=repr)
