@@ -271,3 +271,24 @@ def evolve_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.write.mode("append").parquet(arrivals)
         run_once(spark.readStream.schema(batch.schema).parquet(arrivals), checkpoint, out)
     return read_evolving(spark, out)
+
+
+@registry.check(f"""
+    SELECT event_id, event_type,
+           CASE WHEN ts >= TIMESTAMP '{SECOND_DELIVERY}' THEN value END AS value
+    FROM events""")
+def evolve_stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``evolve_stream`` into a table, which gets the column and is read by its name."""
+    events = landing.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(SECOND_DELIVERY).cast("timestamp_ntz")
+    arrivals, name = fresh_dir(spark, "arrivals"), fresh_name("evolved")
+    checkpoint, out = fresh_dir(spark, "checkpoint"), fresh_dir(spark, name)
+    for delivered, columns in (
+        (early, ["event_id", "event_type"]),
+        (~early, ["event_id", "event_type", "value"]),
+    ):
+        batch = events.where(delivered).select(*columns)
+        batch.write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(batch.schema).parquet(arrivals)
+        run_once(stream, checkpoint, out, name, comment="Events as they arrived")
+    return spark.table(name)

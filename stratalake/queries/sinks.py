@@ -87,15 +87,16 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.check("""
     SELECT l_orderkey AS order_number,
-           round(coalesce(sum(l_extendedprice) FILTER (l_returnflag = 'R'),
+           round(coalesce(sum(l_extendedprice) FILTER (l_returnflag = 'N'),
+                          sum(l_extendedprice) FILTER (l_returnflag = 'R'),
                           sum(l_extendedprice) FILTER (l_returnflag = 'A')), 2) AS total
-    FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY l_orderkey""",
+    FROM lineitem GROUP BY l_orderkey""",
     name="create_or_upsert",
 )
 def totals_created_then_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = landing.table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_number")
     name, root = fresh_name("totals"), fresh_dir(spark, "create-or-upsert")
-    for flag in ("A", "R"):
+    for flag in ("A", "R", "N"):
         flagged = lines.where(F.col("l_returnflag") == flag)
         totals = sum_per_key(flagged, "order_number", {"l_extendedprice": "total"})
         stored = create_or_upsert(totals, name, "order_number", root)

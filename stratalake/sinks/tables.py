@@ -62,9 +62,10 @@ def register_table(
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> None:
-    """Drop ``name`` if it exists and register the Parquet files at ``path`` under it.
+    """Register the Parquet files at ``path`` under ``name``, in place of what it named.
 
-    The files are not touched. Without a ``schema`` the columns are taken from
+    The new entry is made beside the old one and then takes its name; if anything fails,
+    the old entry is back under it. The files are not touched. Without a ``schema`` the columns are taken from
     them, and partition values that look like numbers become numbers.
     """
     columns = ""
@@ -77,10 +78,36 @@ def register_table(
         clauses += f" COMMENT '{_literal(comment)}'"
     if properties:
         clauses += f" TBLPROPERTIES ({_pairs(properties)})"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name}{columns} USING parquet{clauses}")
-    if _partition_columns(spark, name):
-        spark.catalog.recoverPartitions(name)
+    entry = _beside(name, "new")
+    spark.sql(f"CREATE TABLE {entry}{columns} USING parquet{clauses}")
+    try:
+        if _partition_columns(spark, entry):
+            spark.catalog.recoverPartitions(entry)
+        _take_name(spark, entry, name)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {entry}")
+        raise
+
+
+def _take_name(spark: SparkSession, entry: str, name: str) -> None:
+    """Rename ``entry`` to ``name``, whose present entry goes once that has worked."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {entry} RENAME TO {name}")
+        return
+    old = _beside(name, "old")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {entry} RENAME TO {name}")
+    except BaseException:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _beside(name: str, label: str) -> str:
+    """A name of its own in the same database."""
+    suffix = f"_{label}_{uuid.uuid4().hex[:12]}"
+    return f"{name[:-1]}{suffix}`" if name.endswith("`") else f"{name}{suffix}"
 
 
 def publish_version(
@@ -112,10 +139,7 @@ def publish_version(
         register_table(spark, name, path, df.schema, partition_by, comment, properties)
         return spark.table(name)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(path)}'")
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{_literal(comment)}'")
-    if properties:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_pairs(properties)})")
+    describe(spark, name, comment, properties)
     return spark.table(name)
 
 
@@ -135,6 +159,19 @@ def materialize(
     return publish_version(df, name, _version(root, name), partition_by, comment, properties)
 
 
+def describe(
+    spark: SparkSession,
+    name: str,
+    comment: str | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Give a table a comment and properties; what is not given stays."""
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS '{_literal(comment)}'")
+    if properties:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_pairs(properties)})")
+
+
 def declare_view(df: DataFrame, name: str) -> DataFrame:
     """Name a frame for use in SQL without storing it."""
     df.createOrReplaceTempView(name)
@@ -250,18 +287,7 @@ def append_evolving(df: DataFrame, name: str) -> DataFrame:
     readers need not merge file schemas. Missing values are null on either side.
     """
     spark = df.sparkSession
-    known = {field.name.lower(): field for field in spark.table(name).schema.fields}
-    for field in df.schema.fields:
-        existing = known.get(field.name.lower())
-        if existing is not None and existing.dataType != field.dataType:
-            raise TypeError(
-                f"{field.name} is {existing.dataType.simpleString()} in {name}, "
-                f"not {field.dataType.simpleString()}"
-            )
-    added = [field for field in df.schema.fields if field.name.lower() not in known]
-    if added:
-        columns = _nullable(T.StructType(added)).toDDL()
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    add_columns(spark, name, df.schema)
     given = {column.lower() for column in df.columns}
     aligned = df.select(
         *[
@@ -278,6 +304,25 @@ def append_evolving(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Add the columns of ``schema`` that table ``name`` lacks to its catalog entry.
+
+    A column that both have must be of one type.
+    """
+    known = {field.name.lower(): field for field in spark.table(name).schema.fields}
+    for field in schema.fields:
+        existing = known.get(field.name.lower())
+        if existing is not None and existing.dataType != field.dataType:
+            raise TypeError(
+                f"{field.name} is {existing.dataType.simpleString()} in {name}, "
+                f"not {field.dataType.simpleString()}"
+            )
+    added = [field for field in schema.fields if field.name.lower() not in known]
+    if added:
+        columns = _nullable(T.StructType(added)).toDDL()
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+
+
 def table_detail(spark: SparkSession, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Files, bytes and rows of a table, in total or per partition.
 

@@ -67,9 +67,14 @@ def stream_xml_rows(
     return _bounded(reader, max_files, max_bytes).option("pathGlobFilter", glob).load(path)
 
 
-def stream_table(spark: SparkSession, name: str) -> DataFrame:
+def stream_table(
+    spark: SparkSession,
+    name: str,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+) -> DataFrame:
     """Rows appended to a table."""
-    return spark.readStream.table(name)
+    return _bounded(spark.readStream, max_files, max_bytes).table(name)
 
 
 def stream_envelopes(

@@ -11,13 +11,13 @@ a file in every batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sinks.tables import publish_version
+from ..sinks.tables import add_columns, describe, publish_version
 
 
 def run_once(
@@ -27,13 +27,19 @@ def run_once(
     table: str | None = None,
     partition_by: Sequence[str] = (),
     state_partitions: int | None = None,
+    comment: str | None = None,
+    properties: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Append everything new to Parquet files at ``path``, then return.
 
     The file sink lists the files of each finished batch, so a batch that is
     repeated after a failure does not show up twice. With ``table`` the files
-    are also registered under that name.
+    are also registered under that name, with the comment and properties; columns that
+    the table has not yet are added to it and are null in the rows it has.
     """
+    spark = stream.sparkSession
+    if table and spark.catalog.tableExists(table):
+        add_columns(spark, table, stream.schema)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -43,9 +49,11 @@ def run_once(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with _shuffle_partitions(stream.sparkSession, state_partitions):
+    with _shuffle_partitions(spark, state_partitions):
         query = writer.toTable(table) if table else writer.start()
     query.awaitTermination()
+    if table:
+        describe(spark, table, comment, properties)
     return query
 
 

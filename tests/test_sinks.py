@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalake.scratch import fresh_name
+from stratalake.sinks import tables
 from stratalake.sinks import (
     append_evolving,
     create_or_upsert,
@@ -268,3 +269,16 @@ def test_reused_frame_is_released(spark):
         assert kept.storageLevel.useMemory and kept.storageLevel.useDisk
         assert kept.count() == 1
     assert not df.storageLevel.useMemory
+
+
+def test_failed_registration_leaves_the_table(spark, folder, monkeypatch):
+    name = publish_version(frame(spark, (1, 10)), "kept_entry", f"{folder}/first")
+    before = sorted(map(tuple, name.collect()))
+    def broken(spark, entry):
+        raise RuntimeError("no catalog")
+
+    monkeypatch.setattr(tables, "_partition_columns", broken)
+    with pytest.raises(RuntimeError):
+        register_table(spark, "kept_entry", f"{folder}/first")
+    assert sorted(map(tuple, spark.table("kept_entry").collect())) == before
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_entry_")]
