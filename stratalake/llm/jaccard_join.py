@@ -401,11 +401,22 @@ def _fitting(pairs: DataFrame, ratio: Ratio) -> DataFrame:
     )
 
 
+def _turned(pairs: DataFrame) -> DataFrame:
+    """The meetings with a < b: which side a row is on differs from list to list."""
+    swapped = F.col("a") > F.col("b")
+    names = [name for c in ("", "_size", "_place") for name in (f"a{c}", f"b{c}")]
+    other = {name: ("b" if name[0] == "a" else "a") + name[1:] for name in names}
+    return pairs.select(
+        *(F.when(swapped, F.col(other[c])).otherwise(F.col(c)).alias(c) for c in names)
+    )
+
+
 def _candidates(pairs: DataFrame, ratio: Ratio) -> DataFrame:
     """Pairs that share enough first shingles, the first of them early enough."""
     a_free, b_free = _free(ratio)
     early = F.max((F.col("a_place") <= a_free) & (F.col("b_place") <= b_free)).alias("early")
-    shared = _fitting(pairs, ratio).groupBy("a", "b").agg(F.count("*").alias("shared"), early)
+    meetings = _turned(_fitting(pairs, ratio))
+    shared = meetings.groupBy("a", "b").agg(F.count("*").alias("shared"), early)
     return shared.where((F.col("shared") >= SHARED) & F.col("early")).select("a", "b")
 
 

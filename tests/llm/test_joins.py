@@ -72,6 +72,40 @@ def test_components_are_those_of_all_pairs(spark, n, ratio, cheap_pairs, long_li
     assert sorted(rows, key=repr) == sorted(brute_components(texts, n, ratio), key=repr)
 
 
+def borderline_pairs(groups=10):
+    """Pairs just similar enough, with a smaller third member in one of their two lists.
+
+    Of a pair's 60 words each has 3 of its own, and 57 are in both: one that nothing else
+    has, one that a text before them has, and 55 that many have.
+    """
+    texts = []
+
+    def add(*words):
+        texts.append((len(texts), " ".join(words)))
+
+    everywhere = [f"e{i}" for i in range(59)]
+    for g in range(groups):
+        add(f"third{g}", *everywhere)
+    for g in range(groups):
+        common = [f"c{g}x{i}" for i in range(55)]
+        for copy in "ab":
+            add(f"pair{g}", f"third{g}", *common, *(f"o{g}{copy}{i}" for i in range(3)))
+        for copy in "pqr":
+            add(*common, *(f"o{g}{copy}{i}" for i in range(30)))
+    return texts
+
+
+@pytest.mark.parametrize("long_list", [2, 64])
+def test_pairs_meet_the_same_way_round_in_every_list(spark, long_list, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", long_list)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 4)
+    texts = borderline_pairs()
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    ratio = jaccard_join.Ratio(9, 10)
+    rows = [tuple(r) for r in jaccard_join.join(docs, 1, ratio).collect()]
+    assert sorted(rows) == sorted(brute_components(texts, 1, ratio))
+
+
 def test_boundary_follows_the_cost():
     ratio = jaccard_join.Ratio(9, 10)
     few = jaccard_join.choose_boundary(ratio, {8: 100, 25: 100}, 0.0)
