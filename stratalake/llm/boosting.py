@@ -116,7 +116,11 @@ def _grow(rows: list[Counted], slopes, curves, at: list[int], depth: int) -> Tre
 
 
 def threshold(model: Boosted, rows: list[Counted], precision: float) -> float | None:
-    """The lowest margin from which at least ``precision`` of the rows have label 1."""
+    """The lowest margin from which at least ``precision`` of the rows have label 1.
+
+    That share of the margin's own rows must have it too: a surplus of label 1 above lets
+    no group of the other label in.
+    """
     by_margin: dict[float, list[int]] = {}
     for row, label, n in rows:
         own = by_margin.setdefault(round(model.margin(row), 9), [0, 0])
@@ -125,6 +129,7 @@ def threshold(model: Boosted, rows: list[Counted], precision: float) -> float |
     for margin in sorted(by_margin, reverse=True):
         zeros += by_margin[margin][0]
         ones += by_margin[margin][1]
-        if ones >= precision * (zeros + ones):
+        own = by_margin[margin]
+        if ones >= precision * (zeros + ones) and own[1] >= precision * sum(own):
             found = margin
     return found

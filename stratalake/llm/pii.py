@@ -1,14 +1,16 @@
 """Personal data by candidate gradient boosting, in DataFrame functions alone.
 
 Base patterns with checks (octets, Luhn digits, digit counts) give spans that are always
-kept. High-recall generators propose further spans, which may overlap: written-out
-e-mail addresses, and any run of digits and separators. Each proposal is described by
+kept. Written-out addresses (``jane [at] mail [dot] com``), which are e-mail addresses
+once their words in brackets are read as signs, are always added, as spans of kind
+``contact``. High-recall generators propose further spans, which may overlap: what may
+be an address, and any run of digits and separators. Each proposal is described by
 format features (digits, groups, separators, shape) and context features (words before
 it, what touches it). Boosted trees, one model per generator, learn from the proposals
-of all texts: one that is a base span is a positive example, another a negative one; the
-checks that define base spans are no features. On the examples of a held-out part a
-threshold is calibrated for ``PRECISION``, and proposals above it are added as spans of
-kind ``contact`` or ``number``.
+of all texts: one that is a base span or a written-out address is a positive example,
+another a negative one; the checks that define those are no features. On the examples of
+a held-out part a threshold is calibrated for ``PRECISION``, and proposals above it are
+added as spans of kind ``contact`` or ``number``.
 
 Proposals are counted by feature vector in Spark, so what reaches the driver to be
 fitted is bounded by the features' ranges. Scores are ``when`` expressions. A text's
@@ -18,7 +20,7 @@ so that very long runs are matched too.
 
 Offsets are code points, ends exclusive. Defined results: null and empty texts have no
 spans; repeated rows are handled once each; without positive or without negative
-proposals nothing is added.
+proposals nothing but written-out addresses is added.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ _NEEDED = {
     "card": lambda text: text.rlike(r"(?:[0-9][\x20-]?){13}[0-9]"),
     "phone": lambda text: text.rlike(r"\+[0-9]"),
     "contact": lambda text: text.contains("@") | text.rlike(r"(?i)[(\[{]\x20?at\x20?[)\]}]"),
+    "written": lambda text: text.rlike(r"(?i)[(\[{]\x20?(?:at|dot)\x20?[)\]}]"),
     "number": lambda text: text.rlike(r"(?:[0-9][\x20().\-/]{0,3}){6}[0-9]"),
 }
 PROPOSED = {
@@ -52,7 +55,16 @@ PROPOSED = {
     r"[A-Z0-9-]++(?:\x20?(?:\.|[(\[{]\x20?dot\x20?[)\]}])\x20?[A-Z0-9-]++)*+",
     "number": r"[+(]?[0-9](?:[\x20().\-/]{0,3}+[0-9])++",
 }
+_AT = r"\x20?[(\[{]\x20?at\x20?[)\]}]\x20?"
+_DOT = r"\x20?[(\[{]\x20?dot\x20?[)\]}]\x20?"
+#: E-mail addresses with some of their signs as words in brackets, or without any.
+WRITTEN = (
+    rf"(?i)[A-Z0-9._%+-]++(?:{_DOT}[A-Z0-9._%+-]++)*+(?:\x20?@\x20?|{_AT})"
+    rf"[A-Z0-9-]++(?:(?:\.|{_DOT})[A-Z0-9-]++)++"
+)
 KINDS = (*BASE, *PROPOSED)
+#: What needs no model.
+KNOWN = (*BASE, "written")
 #: Least share of base spans among held-out proposals above a threshold.
 PRECISION = 0.98
 #: Characters of context before a proposal.
@@ -150,6 +162,8 @@ def _valid(kind: str, value: Column) -> Column:
         return F.when((size >= 14) & (size <= 19), passes_luhn(_digits(value))).otherwise(False)
     if kind == "phone":
         return F.length(_digits(value)).between(10, 15)
+    if kind == "written":
+        return value.rlike(rf"(?i)(?:{_AT}|{_DOT})")
     return F.lit(True)
 
 
@@ -173,9 +187,7 @@ def _features(kind: str, span: Column) -> dict[str, Column]:
     }
     if kind == "contact":
         return touching | {
-            "at_sign": flag(value.contains("@")),
-            "spaced": flag(value.contains(" ")),
-            "dots": _capped(_count_of(value, "."), 4),
+            "first_letters": _capped(F.length(F.regexp_extract(value, "^([A-Za-z]*)", 1)), 7),
             "last_letters": _capped(F.length(F.regexp_extract(value, "([A-Za-z]*)$", 1)), 7),
         }
     return touching | {
@@ -191,30 +203,33 @@ def _features(kind: str, span: Column) -> dict[str, Column]:
 
 
 _PROPOSAL = (
-    "array<struct<start:int,end:int,value:string,before:string,after:string,is_base:boolean>>"
+    "array<struct<start:int,end:int,value:string,before:string,after:string,is_known:boolean>>"
 )
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with an array of spans per base kind and of proposals per generator.
+    """``docs`` with an array of spans per known kind and of proposals per generator.
 
     The new columns begin with ``pii_``; ``docs`` has a ``text`` and no such columns.
     """
     found = docs.withColumns(
-        {f"pii_{k}": _found(k, p) for k, p in (*BASE.items(), *PROPOSED.items())}
+        {
+            f"pii_{k}": _found(k, p)
+            for k, p in (*BASE.items(), ("written", WRITTEN), *PROPOSED.items())
+        }
     )
 
     def passing(kind: str) -> Column:
         return F.filter(f"pii_{kind}", lambda span: _valid(kind, span["value"]))
 
-    checked = found.withColumns({f"pii_{k}": passing(k) for k in BASE})
-    base = reduce(lambda a, b: F.concat(a, b), (F.col(f"pii_{k}") for k in BASE))
-    with_base = checked.withColumn("pii_base", base)
+    checked = found.withColumns({f"pii_{k}": passing(k) for k in KNOWN})
+    known = reduce(lambda a, b: F.concat(a, b), (F.col(f"pii_{k}") for k in KNOWN))
+    with_known = checked.withColumn("pii_known", known)
 
     def proposal(span: Column) -> Column:
         start = span["start"]
         overlaps = F.exists(
-            "pii_base", lambda b: (b["start"] < span["end"]) & (start < b["end"])
+            "pii_known", lambda b: (b["start"] < span["end"]) & (start < b["end"])
         )
         return F.struct(
             start.alias("start"),
@@ -224,10 +239,10 @@ def located(docs: DataFrame) -> DataFrame:
                 "text", F.greatest(start - BEFORE, F.lit(0)) + 1, F.least(start, F.lit(BEFORE))
             ).alias("before"),
             F.substring("text", span["end"] + 1, F.lit(1)).alias("after"),
-            overlaps.alias("is_base"),
+            overlaps.alias("is_known"),
         )
 
-    return with_base.withColumns({f"pii_{k}": F.transform(f"pii_{k}", proposal) for k in PROPOSED})
+    return with_known.withColumns({f"pii_{k}": F.transform(f"pii_{k}", proposal) for k in PROPOSED})
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -248,7 +263,7 @@ def train(docs: DataFrame, precision: float = PRECISION) -> dict[str, tuple[Boos
         counted = (
             spans.select(
                 *(c.alias(n) for n, c in features.items()),
-                F.col("span.is_base").cast("int").alias("label"),
+                F.col("span.is_known").cast("int").alias("label"),
                 part.alias("calibrates"),
             )
             .groupBy(*names, "label", "calibrates")
@@ -281,14 +296,15 @@ def with_spans(docs: DataFrame, models: dict[str, tuple[Boosted, float]]) -> Dat
         model, limit = models[kind]
         return F.filter(
             f"pii_{kind}",
-            lambda s: ~s["is_base"] & (model.column(_features(kind, s)) >= limit - 1e-9),
+            lambda s: ~s["is_known"] & (model.column(_features(kind, s)) >= limit - 1e-9),
         )
 
     base = F.concat(*(F.transform(f"pii_{k}", plain(k)) for k in BASE))
-    added = [F.transform(chosen(kind), plain(kind)) for kind in models]
+    added = [F.transform("pii_written", plain("contact"))]
+    added += [F.transform(chosen(kind), plain(kind)) for kind in models]
     spans = found.withColumn("pii_spans", F.array_distinct(F.array_sort(F.concat(base, *added))))
     kept = spans.withColumn("pii_base", F.array_sort(base))
-    return kept.drop(*(f"pii_{k}" for k in PROPOSED))
+    return kept.drop("pii_known", "pii_written", *(f"pii_{k}" for k in PROPOSED))
 
 
 def written(spans: Column) -> Column:

@@ -89,6 +89,37 @@ def test_added_spans_are_learned_from_the_proposals(spark):
     assert all(not found[1000 + i].spans for i in range(200))
 
 
+WRITTEN = [
+    ("write to jane [at] mail [dot] com. Then", "jane [at] mail [dot] com"),
+    ("Jane.Doe(at)mail.example (dot) org", "Jane.Doe(at)mail.example (dot) org"),
+    ("jane {dot} doe {at} mail {DOT} com", "jane {dot} doe {at} mail {DOT} com"),
+    ("at jane@mail [dot] com now", "jane@mail [dot] com"),
+]
+
+
+@pytest.mark.parametrize("real, other", [(0, 0), (0, 300), (300, 0), (400, 4)])
+def test_written_out_addresses_are_added_whatever_their_share(spark, real, other):
+    rows = [(i, t) for i, (t, _) in enumerate(WRITTEN)]
+    rows += [(100 + i, f"mail w{i}x@host{i % 7}.example now") for i in range(real)]
+    rows += [(1000 + i, ["scale a@b here", "at 10 @ home now"][i % 2]) for i in range(other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    models = pii.train(docs)
+    found = {r.doc_id: r.spans for r in pii.report(docs, models).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(docs, models).collect()}
+    for i, (text, address) in enumerate(WRITTEN):
+        start = text.index(address)
+        assert found[i] == f"contact:{start}:{start + len(address)}"
+        assert clean[i] == text.replace(address, "[CONTACT]")
+    assert not any(found[1000 + i] for i in range(other))
+
+
+def test_a_surplus_lets_no_other_group_in():
+    rows = [({"a": 1}, 1, 1000), ({"a": 0}, 0, 5)]
+    model = boosting.fit(rows)
+    limit = boosting.threshold(model, rows, 0.98)
+    assert model.margin({"a": 0}) < limit - 1e-9 <= model.margin({"a": 1})
+
+
 def test_redaction_replaces_every_span_and_nothing_else(spark):
     rows = [(i, t) for i, t in enumerate([*TRICKY, "plain text", "mail a@b.c, 1.2.3.4!"])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
