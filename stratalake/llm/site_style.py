@@ -12,11 +12,13 @@ Spark counts, per host, how many pages have each path, each style and each featu
 * importance of a node: the larger of its own and its children's, where the
   presentation counts the more the deeper the tree below it is (``DECAY``).
 
-A branch that ``UNIMPORTANT`` or less of importance is left out, unless its element
-says that it is content (``article``, ``main``). Branches whose element or class says
+A branch that ``UNIMPORTANT`` or less of importance is left out. An element that says
+that it is content (``article``, ``main``) stays, but the branches in it go like others,
+unless it has nothing else: then the pages repeat each other whole. Branches whose element or class says
 that they are navigation, adverts, notices, forms or comments have importance 0 from
 the start: a host of one page, or one whose menus differ, has no statistics to tell.
-If a page has a main element or articles, text outside them goes.
+If a main element or articles have at least half of the words that are left of a page,
+text outside them goes; otherwise they are teasers, and the whole page counts.
 
 Only the paths a host leaves out travel back to its pages, by a join on the host that
 adaptive execution can split; pages of a hot host never meet in one task, and its
@@ -43,7 +45,7 @@ DECAY = 0.9
 #: Branches of this importance or less are left out.
 UNIMPORTANT = 0.2
 #: Pages a host needs before its counts say anything.
-MIN_PAGES = 4
+MIN_PAGES = 2
 #: Levels of elements that paths tell apart.
 MAX_DEPTH = 64
 #: Counts a task holds before it hands them on.
@@ -130,14 +132,13 @@ def _observations(root: Node) -> Iterator[tuple[str, str, str]]:
     for path, (styles, words) in seen.items():
         if path:
             yield path, "style", "|".join(sorted(set(styles)))
-            if not _has_content(path):
-                for word in words:
-                    yield path, "word", word
+            for word in words:
+                yield path, "word", word
 
 
-def _has_content(path: str) -> bool:
-    """Whether the path is in an element that is content by its name: never left out."""
-    return any(label.partition(".")[0] in CONTENT_ELEMENTS for label in path.split(">"))
+def _is_content(path: str) -> bool:
+    """Whether the path is that of an element that is content by its name."""
+    return path.rpartition(">")[2].partition(".")[0] in CONTENT_ELEMENTS
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,23 +197,26 @@ def unimportant_paths(nodes: list[tuple[str, float, float]], limit: float = UNIM
     """The topmost paths of a host's tree whose importance is at most ``limit``."""
     below: dict[str, tuple[float, int]] = {}
     own = {path: (look, content) for path, look, content in nodes}
+    whole: list[str] = []  # Content whose every branch is unimportant.
     children: dict[str, list[str]] = {}
     for path in own:
         children.setdefault(path.rpartition(">")[0], []).append(path)
     for path in sorted(own, key=lambda p: -p.count(">")):
         look, content = own[path]
-        if _has_content(path):
-            below[path] = (1.0, 1)
-            continue
         inner = [below[c] for c in children.get(path, [])]
         depth = 1 + max((d for _, d in inner), default=0)
         kept = DECAY ** (depth - 1)
         best = max([content, *(i for i, _ in inner)])
-        below[path] = ((1 - kept) * look + kept * best if inner else content, depth)
+        importance = (1 - kept) * look + kept * best if inner else content
+        if _is_content(path):
+            if best <= limit:
+                whole.append(path)
+            importance = 1.0
+        below[path] = (importance, depth)
     out: list[str] = []
     for path in sorted(below, key=lambda p: p.count(">")):
-        low = below[path][0] <= limit and not _has_content(path) and path.count(">") >= 2
-        if low and not any(path.startswith(f"{o}>") for o in out):
+        low = below[path][0] <= limit and path.count(">") >= 2
+        if low and not any(path.startswith(f"{o}>") for o in (*out, *whole)):
             out.append(path)
     return out
 
@@ -274,20 +278,29 @@ def main_text(root: Node, out: frozenset[str]) -> str:
 
 
 def _content_roots(root: Node, out: frozenset[str]) -> list[tuple[Node, str]]:
-    """The outermost articles of a page with their paths, or the page if it has none."""
-    articles, mains = [], []
-    waiting = [(root, "")]
+    """The main elements, or outermost articles, with their paths, if they have at least
+    half of the words that are left of the page; otherwise the page."""
+    roots: dict[str, list[tuple[Node, str]]] = {"main": [], "article": []}
+    words: Counter = Counter()
+    waiting = [(root, "", "")]
     while waiting:
-        node, path = waiting.pop()
-        if node.name and (is_noise(node) or path in out):
+        node, path, inside = waiting.pop()
+        if node.text is not None:
+            if node.name == "#text":
+                words[inside] += len(node.text.split())
             continue
-        if node.name in CONTENT_ELEMENTS:
-            (mains if node.name == "main" else articles).append((node, path))
+        if node.name and (is_noise(node) or path in out):
             continue
+        if not inside and node.name in CONTENT_ELEMENTS:
+            inside = node.name
+            roots[inside].append((node, path))
         for child in reversed(node.children):
-            if child.text is None:
-                waiting.append((child, _below(path, child)))
-    return mains or articles or [(root, "")]
+            inner = path if child.text is not None else _below(path, child)
+            waiting.append((child, inner, inside))
+    for name, found in roots.items():
+        if found and 2 * words[name] >= sum(words.values()):
+            return found
+    return [(root, "")]
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -283,6 +283,34 @@ def test_repeated_branches_go_without_a_name(spark):
     assert found[100].startswith("Welcome")  # One page tells nothing of its site.
 
 
+SHARED = """<html><body><div class="shell"><article><p>{0} one {0} two</p>
+<div class="box"><p>Pass this on to all your friends</p></div></article></div></body></html>"""
+
+
+@pytest.mark.parametrize("copies", [2, 30])
+def test_repeated_branches_of_articles_go(spark, copies):
+    rows = [(i, f"http://h.example/{i}", SHARED.format(f"w{i}")) for i in range(copies)]
+    # Pages that repeat each other whole keep their text.
+    rows += [(100 + i, f"http://same.example/{i}", SHARED.format("z")) for i in range(copies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in site_style.extract(pages).collect()}
+    for i in range(copies):
+        assert found[i] == f"w{i} one w{i} two"
+        assert found[100 + i].startswith("z one z two")
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<div><p>a b c d e f</div><article>teaser</article>", "a b c d e f\nteaser"),
+        ("<main></main><div>a b</div>", "a b"),
+        ("<div>a</div><article>b c</article>", "b c"),
+    ],
+)
+def test_the_root_has_most_of_the_text(source, text):
+    assert site_style.main_text(parse(source), frozenset()) == text
+
+
 @pytest.mark.parametrize(
     "source, text",
     [
