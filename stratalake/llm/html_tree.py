@@ -36,9 +36,11 @@ _TAG = re.compile(
     r"(?P<attributes>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
+#: One attribute after the other, so that nothing is looked for in a value.
 _ATTRIBUTE = re.compile(
-    r"""(?:^|\s)(class|id|role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I
+    r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>]+)))?|"[^"]*"|'[^']*'"""
 )
+_KEPT = frozenset("class id role hidden style".split())
 _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
@@ -62,7 +64,8 @@ def _attributes(raw: str) -> dict[str, str]:
     found: dict[str, str] = {}
     if raw.strip(" /"):
         for m in _ATTRIBUTE.finditer(raw):
-            found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+            if m[1] and (name := m[1].lower()) in _KEPT:
+                found.setdefault(name, html.unescape(m[2] or m[3] or m[4] or ""))
     return found
 
 

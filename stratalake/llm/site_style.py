@@ -17,6 +17,8 @@ that it is content (``article``, ``main``) stays, but the branches in it go like
 unless it has nothing else: then the pages repeat each other whole. Branches whose element or class says
 that they are navigation, adverts, notices, forms or comments have importance 0 from
 the start: a host of one page, or one whose menus differ, has no statistics to tell.
+A class or id says so as a whole, not by a word in it (``has-sidebar`` names no sidebar),
+and never of content, nor of the branch that has most of a page's words and its content.
 If a main element or articles have at least half of the words that are left of a page,
 text outside them goes; otherwise they are teasers, and the whole page counts.
 
@@ -30,6 +32,7 @@ a null url is a host of its own; repeated rows are extracted once each.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -67,12 +70,21 @@ NOISE_WORDS = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login share sharing social "
     "related recommended pagination pager toolbar topbar skip outbrain taboola".split()
 )
+#: Words that beside one of those say only where or what shape a branch is.
+PLAIN_WORDS = frozenset(
+    "site page main global primary secondary left right top bottom upper lower inner outer "
+    "list items item links link box boxes container content wrapper wrap area section block "
+    "column col bar row group panel button buttons icons icon header head title text body "
+    "inline sticky fixed float slot unit form".split()
+)
 #: Elements whose content is never shown: no part of the tree.
 UNSEEN = frozenset("head script style noscript template textarea iframe".split())
 CONTENT_ELEMENTS = frozenset("article main".split())
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def is_noise(node: Node) -> bool:
+    """Whether the element itself, its role or its style says that it is no text to read."""
     if node.name in NOISE_ELEMENTS or "hidden" in node.attributes:
         return True
     if node.attributes.get("role", "").lower() in NOISE_ROLES:
@@ -81,7 +93,52 @@ def is_noise(node: Node) -> bool:
         return True
     if "display:none" in node.attributes.get("style", "").replace(" ", "").lower():
         return True
-    return node.name not in ("html", "body") and not NOISE_WORDS.isdisjoint(node.names)
+    return False
+
+
+def _is_named_noise(node: Node) -> bool:
+    """Whether a class or id of the element says that it is noise."""
+    if NOISE_WORDS.isdisjoint(node.names) or node.name in ("html", "body", *CONTENT_ELEMENTS):
+        return False
+    attributes = node.attributes
+    tokens = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    words = (set(_LETTERS.findall(token)) for token in tokens)
+    return any(w & NOISE_WORDS and w <= NOISE_WORDS | PLAIN_WORDS for w in words)
+
+
+def noise(root: Node) -> set[int]:
+    """The ``id`` of every branch to drop for its element, role, style or names.
+
+    A name is no reason to drop the branch that has most of the words not in other
+    noise, unless content elements stand outside of it.
+    """
+    # Nodes that are left in page order, each with the place of its parent.
+    nodes: list[tuple[Node, int]] = []
+    dropped: set[int] = set()
+    waiting = [(root, -1)]
+    while waiting:
+        node, parent = waiting.pop()
+        if node.text is None and node.name and is_noise(node):
+            dropped.add(id(node))
+            continue
+        nodes.append((node, parent))
+        waiting.extend((child, len(nodes) - 1) for child in reversed(node.children))
+    named = [i for i, (node, _) in enumerate(nodes) if node.text is None and _is_named_noise(node)]
+    if not named:
+        return dropped
+    words, content = [0] * len(nodes), [0] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        node, parent = nodes[i]
+        if node.text is not None:
+            words[i] = len(node.text.split()) if node.name == "#text" else 0
+        content[i] += node.name in CONTENT_ELEMENTS
+        if parent >= 0:
+            words[parent] += words[i]
+            content[parent] += content[i]
+    for i in named:
+        if 2 * words[i] <= words[0] or content[i] < content[0]:
+            dropped.add(id(nodes[i][0]))
+    return dropped
 
 
 def _inside_content(node: Node | None) -> bool:
@@ -256,7 +313,8 @@ def main_text(root: Node, out: frozenset[str]) -> str:
         parts.clear()
 
     # (node, path, whether it closes) in page order, without recursion: pages nest deeply.
-    for start, start_path in _content_roots(root, out):
+    dropped = noise(root)
+    for start, start_path in _content_roots(root, out, dropped):
         waiting = [(start, start_path, False)]
         while waiting:
             node, path, closes = waiting.pop()
@@ -264,7 +322,7 @@ def main_text(root: Node, out: frozenset[str]) -> str:
                 end_block()
             elif node.text is not None:
                 parts.append(node.text if node.name == "#text" else "")
-            elif not (node.name and (is_noise(node) or path in out)):
+            elif not (id(node) in dropped or (node.name and path in out)):
                 if node.name == "br":
                     parts.append(" ")
                 if node.name not in INLINE:
@@ -277,7 +335,9 @@ def main_text(root: Node, out: frozenset[str]) -> str:
     return "\n".join(blocks)
 
 
-def _content_roots(root: Node, out: frozenset[str]) -> list[tuple[Node, str]]:
+def _content_roots(
+    root: Node, out: frozenset[str], dropped: set[int]
+) -> list[tuple[Node, str]]:
     """The main elements, or outermost articles, with their paths, if they have at least
     half of the words that are left of the page; otherwise the page."""
     roots: dict[str, list[tuple[Node, str]]] = {"main": [], "article": []}
@@ -289,7 +349,7 @@ def _content_roots(root: Node, out: frozenset[str]) -> list[tuple[Node, str]]:
             if node.name == "#text":
                 words[inside] += len(node.text.split())
             continue
-        if node.name and (is_noise(node) or path in out):
+        if id(node) in dropped or (node.name and path in out):
             continue
         if not inside and node.name in CONTENT_ELEMENTS:
             inside = node.name

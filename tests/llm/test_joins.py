@@ -283,6 +283,26 @@ def test_repeated_branches_go_without_a_name(spark):
     assert found[100].startswith("Welcome")  # One page tells nothing of its site.
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<div class='page has-sidebar'><p>a b</div>", "a b"),
+        ("<div class=no-comments><p>a</div><p>b c", "a\nb c"),
+        ("<article class='post comments-open'>a</article>", "a"),
+        ("<article class=comments>a</article>", "a"),
+        ("<main class=with-widget><p>a</main>", "a"),
+        ("<div class=sidebar><p>a b c</div><p>d", "a b c\nd"),
+        ("<article>a</article><div class=comment-list>b c d e</div>", "a"),
+        ("<p>a b</p><div class=main-nav>c</div><div id=nav2>d</div>", "a b"),
+        ("<p title='the hidden truth'>a", "a"),
+        ("<p data-x=\" class='ad' hidden \">a</p><p hidden>b", "a"),
+        ("<p hidden-x data-hidden='1'>a</p><p HIDDEN=''>b</p><p title='x'hidden>c", "a"),
+    ],
+)
+def test_names_and_attributes_are_read_whole(source, text):
+    assert site_style.main_text(parse(source), frozenset()) == text
+
+
 SHARED = """<html><body><div class="shell"><article><p>{0} one {0} two</p>
 <div class="box"><p>Pass this on to all your friends</p></div></article></div></body></html>"""
 
