@@ -3,9 +3,11 @@
 Base patterns give the plain cases. Beside them the text is read as source or
 configuration: name-literal pairs of the forms ``name = "x"``, ``name: x``,
 ``"name": "x"``, ``name := x``, ``export NAME=x``, ``--name x`` and ``<name>x</name>``
-are lexed line by line, a literal's value is carried through later assignments of
-plain names (``a = "x"``, then ``password = a``), and a literal is scored by how
-sensitive its target names are and how random it looks. Literals above a threshold
+are lexed; a backslash keeps a quote from ending a literal. Values of several lines
+(triple quotes, heredocs, YAML blocks, elements) give a literal for each line. A
+literal's value is carried through later assignments of plain names (``a = "x"``, then
+``password = a``), and a literal is scored by how sensitive its target names are and how
+random it looks. Literals above a threshold
 are added as spans of kind ``lexed``. Base spans are always kept.
 
 Every text is read whole, in Arrow batches, without a shuffle. Offsets are code
@@ -53,15 +55,34 @@ MIN_LITERAL = 8
 #: Sum of name and literal evidence from which a literal is reported.
 MIN_SCORE = 1.2
 
-_NAME = r"[A-Za-z_][\w.\-]{0,63}"
+# Names are read whole from where a run of their characters begins, so that a long run is
+# read once. What is repeated is repeated possessively.
+_NAME = r"[A-Za-z_][\w.\-]*+"
+_NAMED = rf"""(?:(?P<q>["'])(?P<qn>{_NAME})(?P=q)|(?<![\w.\-])[\d.\-]*+(?P<n>{_NAME}))"""
+_SIGN = r"[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+"
 _PAIR = re.compile(
-    rf"""(?:(?P<q>["'])(?P<qn>{_NAME})(?P=q)|(?P<n>(?:--)?{_NAME}))
-    (?:\x20{{0,8}}(?::=|=>|[:=])\x20{{0,8}}|(?<=\w)\x20(?=["']))
-    (?:"(?P<dq>[^"\n]*)"|'(?P<sq>[^'\n]*)'|(?P<bare>[^\s"',;|<>()\[\]{{}}]+))""",
+    rf"""{_NAMED}(?:{_SIGN}|(?<=\w)\x20(?=["']))
+    (?:\"{{3}}(?P<tdq>(?:[^"\\]|\\.|"(?!""))*+)\"{{3}}|'{{3}}(?P<tsq>(?:[^'\\]|\\.|'(?!''))*+)'{{3}}
+    |"(?P<dq>(?:[^"\\\n]|\\.)*+)"|'(?P<sq>(?:[^'\\\n]|\\.)*+)'
+    |"(?P<cdq>[^"\n]*)"|'(?P<csq>[^'\n]*)'|(?P<bare>[^\s"',;|<>()\[\]{{}}]+))""",
+    re.VERBOSE | re.ASCII | re.DOTALL,
+)
+_LITERALS = ("tdq", "tsq", "dq", "sq", "cdq", "csq", "bare")
+_ELEMENT = re.compile(rf"<(?P<n>{_NAME})>(?P<bare>[^<>]+)</(?P=n)>", re.ASCII)
+_FLAG = re.compile(
+    r"--(?P<n>[A-Za-z_](?:[\w.]|-(?!-))*+)\x20(?P<bare>[^\s\"'-][^\s\"']*)", re.ASCII
+)
+_HEREDOC = re.compile(
+    rf"""{_NAMED}{_SIGN}["']?(?:\$\([\x20\t]*+cat[\x20\t]++)?<<[-~]?[\x20\t]*+
+    (?P<t>["']?)(?P<tag>[A-Za-z_]\w*+)(?P=t)[^\n]*+\n""",
     re.VERBOSE | re.ASCII,
 )
-_ELEMENT = re.compile(rf"<(?P<n>{_NAME})>(?P<bare>[^<>\n]+)</(?P=n)>", re.ASCII)
-_FLAG = re.compile(rf"--(?P<n>{_NAME})\x20(?P<bare>[^\s\"'-][^\s\"']*)", re.ASCII)
+_YAML = re.compile(
+    rf"""^(?P<indent>[\x20\t]*+)(?P<dash>(?:-[\x20\t]++)*+){_NAMED}[\x20\t]*+:[\x20\t]++
+    [|>][-+0-9]{{0,2}}[\x20\t]*+(?:\#[^\n]*+)?\r?\n""",
+    re.VERBOSE | re.ASCII | re.MULTILINE,
+)
+_LINE = re.compile(r"[^\n]*+\n?")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -79,6 +100,8 @@ class Pair(NamedTuple):
     start: int
     end: int
     quoted: bool
+    #: Whether it goes on with the value of the literal before of that name.
+    more: bool = False
 
 
 def _ordered(spans: list[Span]) -> list[Span]:
@@ -109,29 +132,86 @@ def pairs(text: str) -> list[Pair]:
     found = []
     if "=" in text or ":" in text or '"' in text or "'" in text:
         for m in _PAIR.finditer(text):
-            group = next(g for g in ("dq", "sq", "bare") if m.group(g) is not None)
+            group = next(g for g in _LITERALS if m.group(g) is not None)
             name = m.group("qn") or m.group("n")
-            found.append(Pair(name, m.start(group), m.end(group), group != "bare"))
+            if "\n" in m[group]:
+                found += _lines(name, text, m.start(group), m.end(group))
+            else:
+                found.append(Pair(name, m.start(group), m.end(group), group != "bare"))
+    if "<<" in text:
+        found += _heredocs(text)
+    if "|" in text or ">" in text:
+        found += _yaml_blocks(text)
     if "</" in text:
-        found += [Pair(m["n"], m.start("bare"), m.end("bare"), True) for m in _ELEMENT.finditer(text)]
+        for m in _ELEMENT.finditer(text):
+            if "\n" in m["bare"]:
+                found += _lines(m["n"], text, m.start("bare"), m.end("bare"))
+            else:
+                found.append(Pair(m["n"], m.start("bare"), m.end("bare"), True))
     if "--" in text:
         found += [Pair(m["n"], m.start("bare"), m.end("bare"), True) for m in _FLAG.finditer(text)]
     return sorted(found, key=lambda p: (p.start, p.end))
 
 
+def _lines(name: str, text: str, start: int, end: int) -> list[Pair]:
+    """The lines of a value, without the white space around each."""
+    found: list[Pair] = []
+    for line in _LINE.finditer(text, start, end):
+        value = line[0].strip()
+        if value:
+            at = line.start() + line[0].index(value)
+            found.append(Pair(name, at, at + len(value), True, bool(found)))
+    return found
+
+
+def _heredocs(text: str) -> list[Pair]:
+    found, at, unclosed = [], 0, set()
+    while m := _HEREDOC.search(text, at):
+        at, tag = m.end(), m["tag"]
+        if tag in unclosed:
+            continue
+        end = re.compile(rf"^[\x20\t]*+{tag}\b", re.M | re.ASCII).search(text, at)
+        if end is None:
+            unclosed.add(tag)
+            continue
+        found += _lines(m["qn"] or m["n"], text, at, end.start())
+        at = end.end()
+    return found
+
+
+def _yaml_blocks(text: str) -> list[Pair]:
+    """The lines below ``name: |`` that are further in than the name."""
+    found, at = [], 0
+    while m := _YAML.search(text, at):
+        least = len(m["indent"]) + len(m["dash"])
+        at = end = m.end()
+        while end < len(text):
+            line = _LINE.match(text, end)
+            if line[0].strip() and len(line[0]) - len(line[0].lstrip(" \t")) <= least:
+                break
+            end = line.end()
+        found += _lines(m["qn"] or m["n"], text, at, end)
+        at = end
+    return found
+
+
 def targets(text: str, found: list[Pair]) -> dict[tuple[int, int], set[str]]:
     """Each literal's place and every name its value reaches, in the order of the text.
 
     A bare value that is the name of an earlier constant passes that literal on.
     """
-    constants: dict[str, tuple[int, int]] = {}
+    constants: dict[str, list[tuple[int, int]]] = {}
     reached: dict[tuple[int, int], set[str]] = {}
     for pair in found:
         value = text[pair.start : pair.end]
-        place = constants.get(value) if not pair.quoted else None
-        place = place or (pair.start, pair.end)
-        reached.setdefault(place, set()).add(pair.name)
-        constants[pair.name] = place
+        places = constants.get(value) if not pair.quoted else None
+        places = places or [(pair.start, pair.end)]
+        for place in places:
+            reached.setdefault(place, set()).add(pair.name)
+        if pair.more and pair.name in constants:
+            constants[pair.name].extend(places)
+        else:
+            constants[pair.name] = list(places)
     return reached
 
 

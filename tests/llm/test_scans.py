@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -206,6 +207,49 @@ def test_secrets_are_lexed_from_assignments():
     assert lexed('password = "changeme"') == []
 
 
+RANDOM = "q7Rz0Lk2Vw9Xt5Bn"
+OTHER = "Zt8Hn3Qb6Jc1Ys4Mf"
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        (f'db_pwd\t=\t"{RANDOM}"', [RANDOM]),
+        (f'db_pwd{" " * 30}= "{RANDOM}"', [RANDOM]),
+        (f"client_credential:{' ' * 20}{RANDOM}", [RANDOM]),
+        (f'"{"x" * 80}_private_key": "{RANDOM}"', [RANDOM]),
+        (f'pwd_{"x" * 80} = "{RANDOM}"', [RANDOM]),
+        (f'9db_pwd = "{RANDOM}"', [RANDOM]),
+        (f'db_pwd = "{RANDOM}\\"{OTHER}"', [f'{RANDOM}\\"{OTHER}']),
+        (f"db_pwd = '{RANDOM}\\'{OTHER}'", [f"{RANDOM}\\'{OTHER}"]),
+        (f'db_pwd = "{RANDOM}\\"\n', [f"{RANDOM}\\"]),
+        (f'db_pwd = """\n  {RANDOM}\n  {OTHER}\n"""', [RANDOM, OTHER]),
+        (f"db_pwd = '''{RANDOM}'''", [RANDOM]),
+        (f"db_pwd=$(cat <<EOF\n{RANDOM}\nEOF\n)\n{OTHER}", [RANDOM]),
+        (f"private_key = <<-'END'\n  {RANDOM}\n  {OTHER}\n  END\n", [RANDOM, OTHER]),
+        (f"a:\n  private_key: |\n    {RANDOM}\n\n    {OTHER}\n  title: |\n    {RANDOM}x", [RANDOM, OTHER]),
+        (f"- db_pwd: >-\n    {RANDOM}\n- x", [RANDOM]),
+        (f"<privateKey>\n{RANDOM}\n{OTHER}\n</privateKey>", [RANDOM, OTHER]),
+        (f'x = """\n{RANDOM}\n{OTHER}\n"""\npassphrase = x', [RANDOM, OTHER]),
+        (f'title = """\n{RANDOM}\n"""', []),
+        (f"db_pwd = <<EOF\n{RANDOM}", []),
+    ],
+)
+def test_names_separators_and_values_are_lexed_whole(text, found):
+    assert lexed(text) == found
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["ab1" * 30_000, "--a" * 30_000, "a " * 50_000, 'a = """' * 20_001, "a = <<B\n" * 20_000,
+     "a: |\n" * 20_000, "x" + " " * 100_000, 'a="\\' * 20_000, "<a>" * 30_000],
+)
+def test_long_texts_are_lexed_in_time(text):
+    start = time.monotonic()
+    lexed(text)
+    assert time.monotonic() - start < 10
+
+
 def test_odd_secrets(odd, none):
     rows = secret_scan.scan(odd).collect()
     assert len(rows) == odd.count()
