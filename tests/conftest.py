@@ -21,12 +21,3 @@ def spark():
 def folder(tmp_path):
     """A new folder per test, as text."""
     return str(tmp_path)
-
-
-def rows(df) -> list[tuple]:
-    """Rows as sorted tuples, columns in their own order."""
-    return sorted((tuple(row) for row in df.collect()), key=repr)
-
-
-def physical_plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import physical_plan, rows
+from frames import physical_plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from stratalake.operators import (
     Rule,

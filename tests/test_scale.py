@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import physical_plan, rows
+from frames import physical_plan, rows
 from pyspark.sql import functions as F
 
 from stratalake import landing

@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import physical_plan, rows
+from frames import physical_plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

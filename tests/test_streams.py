@@ -4,7 +4,7 @@ import os
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from stratalake.functions import stamp_arrival

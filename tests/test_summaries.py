@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import physical_plan, rows
+from frames import physical_plan, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
