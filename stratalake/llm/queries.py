@@ -17,10 +17,13 @@ from . import (
     language_id,
     mixing,
     pii,
+    quality_rules,
+    rtree_negatives,
     secret_scan,
     site_style,
     topk_blocks,
     toxicity,
+    whitening,
 )
 from .common import fold, table
 
@@ -102,6 +105,27 @@ def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare(table(spark, sf_dir, "documents"))
 
 
+def op11_rtree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    vec_id, label = F.col("vec_id"), F.col("label")
+    relabelled = rows.select(
+        "vec_id",
+        "embedding",
+        F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+    )
+    return rtree_negatives.mine(rtree_negatives.labelled_vectors(relabelled, vec_id % 50 == 0))
+
+
+def op12_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.report(rows, whitening.fit(rows))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -115,6 +139,9 @@ ALL = {
         op8_compression_toxicity,
         op9_rank_order_language,
         op10_multiset_fingerprint,
+        op11_rtree_negatives,
+        op12_refined_whitening,
+        op13_quality_rules,
     )
 }
 #: No operator's result is expressible in SQL.

@@ -1,0 +1,170 @@
+"""Hard negatives against all pairs, and the boxes against the rows in them."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm import queries, rtree_negatives
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(ids, labels, x, is_anchor, positives=5, negatives=3, low=50, high=95):
+    """All pairs in Python's integers."""
+    rows = [(int(i), int(y), [int(v) for v in w]) for i, y, w in zip(ids, labels, x)]
+    anchors = {}
+    for row in rows:
+        if is_anchor(row[0]):
+            anchors.setdefault(row[0], []).append(row)
+    found = []
+    for i, own in anchors.items():
+        assert len(own) == 1 or all(r == own[0] for r in own)
+        _, label, q = own[0]
+        scored = [
+            (-sum(a * b for a, b in zip(q, w)), j, y) for j, y, w in rows if len(w) == len(q)
+        ]
+        liked = sorted((s, j) for s, j, y in scored if y == label and j != i)[:positives]
+        others = sorted((s, j) for s, j, y in scored if y != label)
+        for p, pid in liked:
+            window = [(s, j) for s, j in others if low * -p <= 100 * -s <= high * -p]
+            for rank, (s, j) in enumerate(window[:negatives], 1):
+                found.append((i, pid, rank, j, -p, -s))
+    return sorted(found)
+
+
+def mined(df, anchor="vec_id % 50 = 0", **options):
+    vectors = rtree_negatives.labelled_vectors(df, F.expr(anchor))
+    rows = rtree_negatives.mine(vectors, **options)
+    assert rows.columns == [
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score",
+    ]
+    return sorted(map(tuple, rows.collect()))
+
+
+def table(spark, ids, labels, x, schema="vec_id long, label int, embedding array<double>"):
+    data = [(int(i), int(y), [float(v) for v in w]) for i, y, w in zip(ids, labels, x)]
+    return spark.createDataFrame(data, schema).repartition(3)
+
+
+def test_query_finds_what_all_pairs_find(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    ids = np.array([r.vec_id for r in rows])
+    labels = np.array([r.label for r in rows])
+    labels = np.where(ids % 7 == 0, (labels + 1) % 10, labels)
+    x = np.floor(256 * np.array([r.embedding for r in rows], np.float64)).astype(np.int64)
+    found = queries.op11_rtree_negatives(spark, SF)
+    assert dict(found.dtypes) == {
+        "anchor_id": "bigint", "positive_id": "bigint", "rank": "int",
+        "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint",
+    }
+    expected = brute(ids, labels, x, lambda i: i % 50 == 0)
+    assert sorted(map(tuple, found.collect())) == expected
+    assert len(expected) > 100
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_many_small_cells_with_ties_and_a_frequent_vector(spark, monkeypatch, seed):
+    monkeypatch.setattr(rtree_negatives, "CELL_BYTES", 8 * 4 * 40)
+    monkeypatch.setattr(rtree_negatives, "LEAF", 8)
+    rng = np.random.default_rng(seed)
+    n = 900
+    x = rng.integers(-3, 6, (n, 4)) / 2
+    # A third of all rows is one vector; labels repeat in very different numbers.
+    x[rng.random(n) < 1 / 3] = [1.0, 0.5, 2.0, 1.0]
+    labels = np.minimum(rng.geometric(0.4, n), 30)
+    ids = rng.permutation(n)
+    found = mined(table(spark, ids, labels, x))
+    whole = np.floor(256 * x).astype(np.int64)
+    assert found == brute(ids, labels, whole, lambda i: i % 50 == 0)
+    assert found
+
+
+def test_other_numbers_of_results_and_percents(spark):
+    rng = np.random.default_rng(9)
+    x, labels, ids = rng.normal(size=(200, 3)), rng.integers(0, 3, 200), np.arange(200)
+    options = dict(positives=2, negatives=7, low=10, high=100)
+    found = mined(table(spark, ids, labels, x), "vec_id < 20", **options)
+    whole = np.floor(256 * x).astype(np.int64)
+    assert found == brute(ids, labels, whole, lambda i: i < 20, **options)
+
+
+def test_large_components_stay_exact(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(-(1 << 28), 1 << 28, (150, 3)) / 256 * 2.0
+    labels, ids = rng.integers(0, 2, 150), np.arange(150)
+    found = mined(table(spark, ids, labels, x), "vec_id % 10 = 0")
+    whole = np.floor(256 * x).astype(np.int64)
+    assert found == brute(ids, labels, whole, lambda i: i % 10 == 0)
+    with pytest.raises(Exception, match="64 bits"):
+        mined(table(spark, [0, 1], [0, 0], [[1e12], [1e12]]))
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    schema = (
+        "vec_id long, label int, embedding array<double>, "
+        "slot string, dims string, rank string, anchor string, cell string, first string"
+    )
+    extra = ("s", "d", "r", "a", "c", "f")
+    data = [
+        (0, 1, [1.0, 1.0]), (0, 1, [1.0, 1.0]),  # an anchor twice: no positive of itself
+        (1, 1, [2.0, 1.0]), (1, 1, [2.0, 1.0]),  # a positive twice: a candidate each
+        (2, 2, [1.0, 1.0]), (3, 2, [1.0, 1.0]), (4, 3, [0.5, 1.0]),
+        (5, 2, [1.0]), (6, 1, [2.0]), (50, 1, [3.0]), (7, 2, [2.0]),  # another length
+        (8, None, [1.0, 1.0]), (9, 2, None), (10, 2, [1.0, None]), (11, 2, [nan, 1.0]),
+        (12, 2, [inf, 1.0]), (None, 2, [1.0, 1.0]), (13, 2, []), (100, None, None),
+        (150, 7, [1.0, 1.0, 1.0]),  # an anchor without positives
+        (200, 8, [-1.0, 0.0, 0.0]), (201, 8, [1.0, 0.0, 0.0]),  # negative scores only
+    ]
+    df = spark.createDataFrame([row + extra for row in data], schema).repartition(4)
+    good = [r for r in data if None not in r and r[2] and not {nan, inf, None} & set(r[2])]
+    good = [r for r in good if not any(v != v for v in r[2])]
+    ids, labels, x = zip(*good)
+    expected = brute(ids, labels, [[int(256 * v) for v in w] for w in x], lambda i: i % 50 == 0)
+    assert mined(df) == expected
+    assert {r[0] for r in expected} == {0, 50}
+    assert mined(df.limit(0)) == []
+    assert mined(df.where("label is null")) == []
+
+
+def test_leaves_are_tiled_within_labels():
+    rng = np.random.default_rng(1)
+    x, labels = rng.integers(-50, 50, (3000, 5)), rng.choice([1, 2, 3, 4], 3000, p=[0.9, 0.09, 0.005, 0.005])
+    leaves = rtree_negatives.leaves_of(x, labels)
+    assert sorted(np.concatenate(leaves).tolist()) == list(range(3000))
+    assert all(0 < len(leaf) <= rtree_negatives.LEAF for leaf in leaves)
+    pure = sum(len(set(labels[leaf])) == 1 for leaf in leaves)
+    assert pure >= len(leaves) - 1
+    # Tiles are smaller than a cut of the rows as they come.
+    spread = lambda groups: sum(np.ptp(x[g], axis=0).prod() for g in groups)
+    plain = np.array_split(np.arange(3000), len(leaves))
+    assert spread(leaves) < spread(plain) / 4
+
+
+def test_boxes_bound_their_rows_and_prune():
+    rng = np.random.default_rng(2)
+    centres = rng.integers(-2000, 2000, (40, 6))
+    x = np.repeat(centres, 60, axis=0) + rng.integers(-20, 20, (2400, 6))
+    ids, labels = np.arange(2400), np.repeat(np.arange(40) % 4, 60)
+    rows = [(i, y, False, w.astype("<i8").tobytes()) for i, y, w in zip(ids.tolist(), labels.tolist(), x)]
+    tree = rtree_negatives.Tree(rtree_negatives._cell(6, rows).to_pylist()[0])
+    smallest, largest = rtree_negatives.intervals(x[:50], tree.low, tree.high, True)
+    for box, leaf in enumerate(tree.leaves):
+        scores = x[:50] @ tree.weights[leaf].T
+        assert (smallest[:, box] <= scores.min(axis=1)).all()
+        assert (largest[:, box] >= scores.max(axis=1)).all()
+    query = {
+        "anchor_id": 0, "dims": 6, "label": 0, "weights": x[0].astype("<i8").tobytes(),
+        "windows": [{"place": 0, "low": -(1 << 63), "high": (1 << 63) - 1, "floor": -(1 << 63)}],
+    }
+    anchors = rtree_negatives.Anchors([query], 5, True)
+    scored = []
+    plain = anchors._score
+    anchors._score = lambda at, tree, leaf, exact: (scored.append(leaf), plain(at, tree, leaf, exact))
+    anchors.search(tree)
+    own = sorted((-(x[0] @ x[i]), i) for i in range(1, 2400) if labels[i] == 0)[:5]
+    assert anchors.found[0][0] == own
+    of_label = sum(tree.first_label[b] <= 0 <= tree.last_label[b] for b in range(len(tree.leaves)))
+    assert len(scored) < of_label / 2 < len(tree.leaves) / 4
