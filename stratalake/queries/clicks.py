@@ -9,6 +9,7 @@ from .. import landing
 from ..operators.expectations import expectation_report
 from ..plans import clicks
 from ..scratch import fresh_dir, fresh_name
+from ..sinks.declared import read_log, rule_totals
 from ..sinks.tables import materialize
 from ..sources.files import query_json_path, read_json
 from .registry import Registry
@@ -110,3 +111,53 @@ def click_sql_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def click_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expectation_report(clicks.renamed(_raw(spark, sf_dir)), clicks.RULES)
+
+
+@registry.check(
+    CLICKS
+    + """
+    , rules AS (
+      SELECT 'valid_current_page_title' AS rule, false AS fatal,
+             count(*) FILTER (current_page_title IS NULL) AS violations
+      FROM clicks
+      UNION ALL
+      SELECT 'valid_count', true, count(*) FILTER (NOT coalesce(click_count > 0, false))
+      FROM clicks)
+    SELECT dataset, rule, fatal, violations, (SELECT count(*) FROM clicks) AS row_count,
+           CASE dataset WHEN 'clicks_stream_prepared' THEN 2 ELSE 1 END AS batches,
+           (SELECT sum(click_count) FROM clicks) AS clicks_stored
+    FROM rules CROSS JOIN (VALUES ('clicks_prepared'), ('clicks_sql_prepared'),
+                                  ('clicks_stream_prepared')) AS t(dataset)"""
+)
+def click_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of the checked clicks, stored at once, by SQL, and by a stream.
+
+    The stream runs three times: for half of the clicks, the rest, and for nothing new.
+    """
+    run, root, log = fresh_name("run"), fresh_dir(spark, "declared"), fresh_dir(spark, "log")
+    raw = _raw(spark, sf_dir)
+    clicks.declared_chain(raw, PAGE, root, log, run)
+    clicks.declared_sql_chain(spark, landing.click_files(spark, sf_dir), PAGE, root, log, run)
+    arrivals, checkpoint = fresh_dir(spark, "arrivals"), fresh_dir(spark, "checkpoint")
+    first = F.pmod(F.xxhash64("prev_title"), F.lit(2)) == 0
+    for delivered in (first, ~first, None):
+        if delivered is not None:
+            raw.where(delivered).write.mode("append").json(arrivals)
+        stream = spark.readStream.schema(clicks.RAW_SCHEMA).json(arrivals)
+        clicks.run_clicks(stream, checkpoint, root, log, run)
+    entries = read_log(spark, log)
+    batches = entries.where("rule IS NULL").groupBy("dataset").agg(F.count("*").alias("batches"))
+    stored = [
+        spark.table(f"{name}_{run}").agg(
+            F.lit(name).alias("dataset"), F.sum("click_count").alias("clicks_stored")
+        )
+        for name in ("clicks_prepared", "clicks_sql_prepared", "clicks_stream_prepared")
+    ]
+    sums = stored[0].unionByName(stored[1]).unionByName(stored[2])
+    return (
+        rule_totals(entries)
+        .join(batches, "dataset")
+        .drop("run")
+        .withColumn("dataset", F.regexp_replace("dataset", f"_{run}$", ""))
+        .join(sums, "dataset")
+    )

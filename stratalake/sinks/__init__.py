@@ -1,3 +1,4 @@
+from .declared import declare, declare_sql, read_log, rule_totals
 from .tables import (
     append_evolving,
     create_or_upsert,
@@ -14,12 +15,16 @@ from .tables import (
 __all__ = [
     "append_evolving",
     "create_or_upsert",
+    "declare",
+    "declare_sql",
     "declare_view",
     "materialize",
     "overwrite_files",
     "publish_version",
+    "read_log",
     "register_table",
     "reused",
+    "rule_totals",
     "table_detail",
     "upsert",
 ]

@@ -12,7 +12,7 @@ the files that count, so only that stream may write to it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from urllib.parse import unquote
 
@@ -38,19 +38,28 @@ def reused(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
-def overwrite_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def overwrite_files(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Replace the files at ``path``.
 
     With ``partition_by``, rows are first brought together by those columns so
     that a task does not write a small file into every folder. ``rebalance``
     rather than ``repartition``: it splits a value that holds much of the data
     over several tasks. Partition by columns with few values only.
+
+    ``watch`` may observe the rows as they are written. It is applied after that shuffle:
+    the tasks that write count once, those before it again if what they left is lost.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-        df.write.format("parquet").mode("overwrite").partitionBy(*partition_by).save(path)
-    else:
-        df.write.format("parquet").mode("overwrite").save(path)
+    writer = (watch(df) if watch else df).write.format("parquet").mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
 
 
 def register_table(
@@ -70,14 +79,14 @@ def register_table(
     """
     columns = ""
     if schema is not None:
-        columns = f" ({_nullable(schema).toDDL()})"
-    clauses = f" LOCATION '{_literal(path)}'"
+        columns = f" ({nullable_ddl(schema)})"
+    clauses = f" LOCATION '{sql_text(path)}'"
     if schema is not None and partition_by:
         clauses = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)}){clauses}"
     if comment:
-        clauses += f" COMMENT '{_literal(comment)}'"
+        clauses += f" COMMENT '{sql_text(comment)}'"
     if properties:
-        clauses += f" TBLPROPERTIES ({_pairs(properties)})"
+        clauses += f" TBLPROPERTIES ({property_list(properties)})"
     entry = _beside(name, "new")
     spark.sql(f"CREATE TABLE {entry}{columns} USING parquet{clauses}")
     try:
@@ -122,8 +131,20 @@ def publish_version(
 
     A comment or property the table already has stays unless a new one is given.
     """
-    spark = df.sparkSession
     overwrite_files(df, path, partition_by)
+    return show_version(df, name, path, partition_by, comment, properties)
+
+
+def show_version(
+    df: DataFrame,
+    name: str,
+    path: str,
+    partition_by: Sequence[str] = (),
+    comment: str | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Make the files at ``path``, which hold the rows of ``df``, the content of a table."""
+    spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
     movable = (
         exists
@@ -138,7 +159,7 @@ def publish_version(
             properties = {**{row["key"]: row["value"] for row in stored}, **(properties or {})}
         register_table(spark, name, path, df.schema, partition_by, comment, properties)
         return spark.table(name)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{_literal(path)}'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{sql_text(path)}'")
     describe(spark, name, comment, properties)
     return spark.table(name)
 
@@ -156,7 +177,7 @@ def materialize(
     Returns the stored table, so that whatever is built on it does not compute
     it again.
     """
-    return publish_version(df, name, _version(root, name), partition_by, comment, properties)
+    return publish_version(df, name, new_version(root, name), partition_by, comment, properties)
 
 
 def describe(
@@ -167,9 +188,9 @@ def describe(
 ) -> None:
     """Give a table a comment and properties; what is not given stays."""
     if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{_literal(comment)}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS '{sql_text(comment)}'")
     if properties:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_pairs(properties)})")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({property_list(properties)})")
 
 
 def declare_view(df: DataFrame, name: str) -> DataFrame:
@@ -199,13 +220,13 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
     extra = [c for c in target.columns if c not in source.columns]
     if extra:
         raise ValueError(f"the source lacks {extra}")
-    staged = _version(root, f"{name}-source")
+    staged = new_version(root, f"{name}-source")
     # Values take the table's types, as in an insert.
     overwrite_files(
         source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]), staged
     )
     source = spark.read.schema(target.schema).parquet(staged)
-    version = _version(root, name)
+    version = new_version(root, name)
     partition_by = _partition_columns(spark, name)
     if not partition_by:
         return publish_version(_merged(target, source, keys, name), name, version)
@@ -264,8 +285,8 @@ def _move_partitions(
     spark.sql(f"DROP TABLE {scanned}")
     for folder in folders:
         pairs = [part.split("=", 1) for part in folder.split("/")]
-        values = ", ".join(f"`{c}`='{_literal(unquote(v))}'" for c, v in pairs)
-        location = f"LOCATION '{_literal(path)}/{_literal(folder)}'"
+        values = ", ".join(f"`{c}`='{sql_text(unquote(v))}'" for c, v in pairs)
+        location = f"LOCATION '{sql_text(path)}/{sql_text(folder)}'"
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({values}) {location}")
         spark.sql(f"ALTER TABLE {name} PARTITION ({values}) SET {location}")
     spark.catalog.refreshTable(name)
@@ -277,7 +298,7 @@ def create_or_upsert(
     """``upsert`` into table ``name``, or create it from ``source`` if there is none."""
     if source.sparkSession.catalog.tableExists(name):
         return upsert(source, name, keys, root)
-    return publish_version(source, name, _version(root, name))
+    return publish_version(source, name, new_version(root, name))
 
 
 def append_evolving(df: DataFrame, name: str) -> DataFrame:
@@ -319,7 +340,7 @@ def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
             )
     added = [field for field in schema.fields if field.name.lower() not in known]
     if added:
-        columns = _nullable(T.StructType(added)).toDDL()
+        columns = nullable_ddl(T.StructType(added))
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
 
 
@@ -354,17 +375,18 @@ def _same_columns(left: DataFrame, right: DataFrame) -> bool:
     return columns(left) == columns(right)
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+def nullable_ddl(schema: T.StructType) -> str:
+    """The columns as SQL, all of them nullable."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]).toDDL()
 
 
-def _version(root: str, name: str) -> str:
+def new_version(root: str, name: str) -> str:
     return f"{root}/{name}/v-{uuid.uuid4().hex[:12]}"
 
 
-def _pairs(properties: Mapping[str, str]) -> str:
-    return ", ".join(f"'{_literal(k)}'='{_literal(v)}'" for k, v in properties.items())
+def property_list(properties: Mapping[str, str]) -> str:
+    return ", ".join(f"'{sql_text(k)}'='{sql_text(v)}'" for k, v in properties.items())
 
 
-def _literal(text: str) -> str:
+def sql_text(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")

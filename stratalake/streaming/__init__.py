@@ -1,9 +1,12 @@
+from .declared import Declared, run_declared
 from .runs import run_complete, run_once
 from .windows import pane_sketches, sliding_distinct, tumbling_distinct, windows_from_panes
 
 __all__ = [
+    "Declared",
     "pane_sketches",
     "run_complete",
+    "run_declared",
     "run_once",
     "sliding_distinct",
     "tumbling_distinct",

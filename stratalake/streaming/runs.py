@@ -49,7 +49,7 @@ def run_once(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with _shuffle_partitions(spark, state_partitions):
+    with shuffle_partitions(spark, state_partitions):
         query = writer.toTable(table) if table else writer.start()
     query.awaitTermination()
     if table:
@@ -64,6 +64,8 @@ def run_complete(
     table: str,
     finish: Callable[[DataFrame], DataFrame] | None = None,
     state_partitions: int | None = None,
+    comment: str | None = None,
+    properties: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Keep ``table`` equal to the whole result so far, then return.
 
@@ -74,7 +76,9 @@ def run_complete(
     spark = stream.sparkSession
 
     def publish(result: DataFrame, version: int | str) -> None:
-        publish_version(finish(result) if finish else result, table, f"{path}/batch-{version}")
+        rows = finish(result) if finish else result
+        path_of = f"{path}/batch-{version}"
+        publish_version(rows, table, path_of, comment=comment, properties=properties)
 
     writer = (
         stream.writeStream.outputMode("complete")
@@ -82,7 +86,7 @@ def run_complete(
         .trigger(availableNow=True)
         .foreachBatch(publish)
     )
-    with _shuffle_partitions(spark, state_partitions):
+    with shuffle_partitions(spark, state_partitions):
         query = writer.start()
     query.awaitTermination()
     # The batches ran in a session of their own; this one may remember the version before.
@@ -94,7 +98,7 @@ def run_complete(
 
 
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+def shuffle_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
     """The setting a stream takes over when it starts, put back afterwards."""
     if count is None:
         yield
