@@ -6,6 +6,7 @@ from .decode import (
     parse_json,
     parse_xml,
 )
+from .elements import parse_elements, split_elements
 from .timing import stamp_arrival, utc_instant, utc_wall_clock
 
 __all__ = [
@@ -13,8 +14,10 @@ __all__ = [
     "infer_xml_files",
     "infer_xml_schema",
     "narrow_schema",
+    "parse_elements",
     "parse_json",
     "parse_xml",
+    "split_elements",
     "stamp_arrival",
     "utc_instant",
     "utc_wall_clock",

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.decode import bytes_to_text, narrow_schema, parse_xml
+from ..functions.elements import parse_elements
 from ..operators.aggregates import combine_on_key, sum_per_key
 from ..operators.flatten import explode_keep, explode_only, items_as_rows, promote_struct
 from ..operators.ranking import summarise_per_key
 from ..sinks.tables import materialize
-from ..sources.files import read_xml_rows
+from ..sources.files import read_xml_rows, with_source_path
 from ..sources.streams import BACKLOG_BYTES, stream_binary_files, stream_xml_rows
+from ..streaming.declared import Declared, run_declared
 from ..streaming.runs import run_once
 
 ORDER = "_PurchaseOrderNumber"
@@ -71,13 +73,53 @@ def run_bronze(
     """Parse the files that arrived since the last run and append them to ``table``.
 
     A value that does not fit its type costs the rest of its document, as ``parse_xml``
-    says; in ``run_orders`` it costs a field of one order.
+    says; in ``run_orders`` it costs a field of one order, and ``run_checked_bronze`` loses
+    nothing.
     """
     stream = stream_binary_files(spark, files, "*.xml", max_bytes=max_bytes)
     run_once(bronze(stream, schema), checkpoint, path, table)
     return spark.table(table)
 
 
+def run_checked_bronze(
+    spark: SparkSession,
+    files: str,
+    checkpoint: str,
+    root: str,
+    orders: str,
+    quarantine: str,
+    log: str,
+    max_bytes: int | None = BACKLOG_BYTES,
+    glob: str = "*.xml",
+) -> tuple[DataFrame, DataFrame]:
+    """Append the orders of newly arrived files to one table and what is no order to another.
+
+    Each order is parsed by itself, once. One with a value that does not fit, or that is not
+    well-formed, goes to ``quarantine`` as it stands: ``path``, ``place`` in the document,
+    ``problem``, ``element``; so does a file that is no XML. Both tables get a batch once.
+    """
+    stream = with_source_path(stream_binary_files(spark, files, glob, max_bytes=max_bytes))
+    texts = stream.select("path", bytes_to_text("content").alias("text"))
+    parsed = parse_elements(texts, "text", "PurchaseOrder", ORDER_SCHEMA)
+
+    def good(batch: DataFrame) -> DataFrame:
+        return batch.where("payload IS NOT NULL").select("payload.*", "path")
+
+    def bad(batch: DataFrame) -> DataFrame:
+        return batch.where("problem IS NOT NULL").select("path", "place", "problem", "element")
+
+    run_declared(
+        parsed,
+        checkpoint,
+        [
+            Declared(orders, f"{root}/{orders}", good, comment="Orders as parsed"),
+            Declared(quarantine, f"{root}/{quarantine}", bad, comment="What is no order"),
+        ],
+        log,
+    )
+    return spark.table(orders), spark.table(quarantine)
+
+
 def read_orders(
     spark: SparkSession, files: str, schema: T.StructType = ORDER_SCHEMA
 ) -> DataFrame:

@@ -317,3 +317,64 @@ def xml_stream_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.coalesce(F.size("col.Items.Item"), F.lit(0))).alias("items"),
         F.bool_and(F.col("path").endswith(".xml")).alias("from_xml_file"),
     )
+
+
+# Orders whose number this divides have a quantity that is no number, in their first item;
+# an order that the other divides comes once more, cut off, in a file of its own kind.
+BAD_VALUE, CUT_OFF = 7, 50
+
+
+@registry.check(f"""
+    WITH items AS (
+      SELECT o_orderkey AS order_number, count(l_orderkey) AS items
+      FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey)
+    SELECT order_number,
+           CASE WHEN order_number % {BAD_VALUE} = 0 AND items > 0 THEN NULL ELSE items END AS items,
+           CASE WHEN order_number % {BAD_VALUE} = 0 AND items > 0
+                THEN 'does not fit: Items.Item.Quantity=many' END AS problem,
+           CASE WHEN order_number % {CUT_OFF} = 0 THEN 1 ELSE 0 END AS cut_off
+    FROM items""")
+def po_bronze_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with bad orders among good ones, in two deliveries; nothing is lost."""
+    key = F.col(po.ORDER)
+    elements = landing.order_elements(spark, sf_dir)
+    quantity = F.col("Items.Item")
+    spoilt = F.transform(
+        quantity,
+        lambda item, i: item.withField(
+            "Quantity",
+            F.when((key % BAD_VALUE == 0) & (i == 0), F.lit("many")).otherwise(
+                item["Quantity"].cast("string")
+            ),
+        ),
+    )
+    items = F.when(F.col("Items").isNotNull(), F.struct(spoilt.alias("Item"))).alias("Items")
+    orders = elements.select(po.ORDER, "_OrderDate", "Address", items)
+    # A closed order comes between two that are not: none of them takes another along.
+    open_order = F.format_string('<PurchaseOrder PurchaseOrderNumber="%d"><Items>', key)
+    cut = elements.where(key % CUT_OFF == 0).select(F.concat(F.lit("<A>"), open_order))
+
+    files, checkpoint = fresh_dir(spark, "spoilt"), fresh_dir(spark, "checkpoint")
+    root, log = fresh_dir(spark, "bronze"), fresh_dir(spark, "log")
+    tables = fresh_name("po_orders"), fresh_name("po_quarantine")
+    for name, part in (("first", key % 2 == 0), ("second", key % 2 != 0)):
+        landing.write_order_files(orders.where(part), f"{files}/{name}", landing.ORDERS_PER_FILE)
+        cut.where(part).write.text(f"{files}/{name}-cut")
+        good, bad = po.run_checked_bronze(
+            spark, f"{files}/*", checkpoint, root, *tables, log, glob="*.{xml,txt}"
+        )
+    counted = good.groupBy(key.alias("order_number")).agg(F.sum(po.item_count()).alias("items"))
+    number = F.regexp_extract("element", r'PurchaseOrderNumber="(\d+)"', 1).cast("bigint")
+    listed = bad.select(number.alias("order_number"), "problem")
+    misfits = listed.where("problem <> 'not well-formed'")
+    lost = listed.where("problem = 'not well-formed'").groupBy("order_number").count()
+    return (
+        counted.join(misfits, "order_number", "full")
+        .join(lost, "order_number", "left")
+        .select(
+            "order_number",
+            "items",
+            "problem",
+            F.coalesce("count", F.lit(0)).alias("cut_off"),
+        )
+    )
