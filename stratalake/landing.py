@@ -207,6 +207,38 @@ def silver_messages(spark: SparkSession, sf_dir: str) -> str:
     return name
 
 
+# Messages and reference objects of the chain are delivered twice: what came before this
+# day, and objects with even numbers, first.
+CHAIN_SPLIT = "2024-01-16 00:00:00"
+
+
+@_once
+def message_chain(spark: SparkSession, sf_dir: str) -> str:
+    """Suffix of the tables of a message chain that was run for two deliveries and for none."""
+    root, arrivals = fresh_dir(spark, "chain"), fresh_dir(spark, "arrivals")
+    objects = fresh_dir(spark, "objects")
+    suffix = fresh_name("chain")
+    sent = event_envelopes(spark, sf_dir)
+    split = F.unix_millis(utc_instant(F.lit(CHAIN_SPLIT).cast("timestamp_ntz")))
+    early = F.col("publishTimestampInMillis") < split
+    even = F.col("bus_object_id").cast("bigint") % 2 == 0
+    known = reference_objects(spark, sf_dir)
+
+    def reference() -> DataFrame:
+        return messages.reference_view(
+            spark.read.schema(known.schema).parquet(objects), SEGMENT
+        )
+
+    for delivered, objects_too in ((early, even), (~early, ~even), (None, None)):
+        if delivered is not None:
+            sent.where(delivered).write.mode("append").parquet(arrivals)
+            known.where(objects_too).write.mode("append").parquet(objects)
+        stream = stream_envelopes(spark, "parquet", path=arrivals, schema=ENVELOPE_SCHEMA)
+        cores = spark.sparkContext.defaultParallelism
+        messages.run_chain(spark, stream, reference, root, suffix, cores)
+    return suffix
+
+
 @_once
 def click_files(spark: SparkSession, sf_dir: str) -> str:
     """Clicks per page and referrer as JSON, counts as text, some pages unknown."""

@@ -10,7 +10,7 @@ from .expectations import (
     violations,
 )
 from .flatten import explode_keep, explode_only, items_as_rows, promote_struct
-from .lookups import keep_matching
+from .lookups import keep_matching, matching_batch, snapshot
 from .ranking import first_per_key, summarise_per_key, top_k, with_key_stats
 
 __all__ = [
@@ -25,9 +25,11 @@ __all__ = [
     "guard",
     "items_as_rows",
     "keep_matching",
+    "matching_batch",
     "observe_rules",
     "observe_stream",
     "promote_struct",
+    "snapshot",
     "stream_counts",
     "sum_per_key",
     "summarise_per_key",

@@ -8,14 +8,19 @@ gold     distinct device models and cell areas per time window, ended sessions
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.decode import parse_json
 from ..functions.timing import stamp_arrival
 from ..operators.flatten import promote_struct
-from ..operators.lookups import keep_matching
-from ..streaming.windows import sliding_distinct, tumbling_distinct
+from ..operators.lookups import keep_matching, matching_batch, snapshot
+from ..sources.streams import stream_table
+from ..streaming.declared import Declared, run_declared
+from ..streaming.runs import run_once
+from ..streaming.windows import closed_sliding_distinct, sliding_distinct, tumbling_distinct
 
 # The fields of a message payload, in order.
 PAYLOAD_SCHEMA = """
@@ -101,7 +106,14 @@ def silver(messages: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def device_models(messages: DataFrame, time: str = EVENT_TIME) -> DataFrame:
-    """Distinct device models per hour, every ten minutes."""
+    """Distinct device models per hour, every ten minutes, once an hour is over."""
+    return closed_sliding_distinct(
+        messages, time, "userequipment_model_name", "count_dist_device_model"
+    )
+
+
+def device_models_so_far(messages: DataFrame, time: str = EVENT_TIME) -> DataFrame:
+    """``device_models`` with open hours too, in order, for a complete result."""
     return sliding_distinct(
         messages, time, "userequipment_model_name", "count_dist_device_model"
     )
@@ -117,3 +129,57 @@ def cell_areas(
 def terminated(messages: DataFrame) -> DataFrame:
     """Messages that end a session, stamped again."""
     return stamp_arrival(messages.where(F.col("message_name").isin(*TERMINATING)))
+
+
+#: The layers of a chain in the order in which they are run.
+LAYERS = ("bronze", "decoded", "silver", "device_models", "cell_areas", "terminated", "published")
+
+
+def run_chain(
+    spark: SparkSession,
+    envelopes: DataFrame,
+    reference: Callable[[], DataFrame],
+    root: str,
+    suffix: str,
+    state_partitions: int | None = None,
+    broadcast_rows: int = 1_000_000,
+) -> dict[str, str]:
+    """Carry newly arrived messages through every layer; returns the tables' names.
+
+    Each layer is a table with a checkpoint of its own under ``root`` and is read by the
+    next as a stream, so a run moves what the last one has not, and one that broke off goes
+    on where it stopped. Payloads are parsed once, from bronze to decoded. ``reference`` is
+    asked again for every batch of silver, whose keys are stored and measured. Run one
+    chain at a time.
+    """
+    names = {layer: f"msg_{layer}_{suffix}" for layer in LAYERS}
+
+    def checkpoint(layer: str) -> str:
+        return f"{root}/checkpoints/{layer}"
+
+    def append(layer: str, stream: DataFrame, comment: str, state: int | None = None) -> None:
+        table = names[layer]
+        run_once(
+            stream, checkpoint(layer), f"{root}/{table}", table,
+            state_partitions=state, comment=comment,
+        )
+
+    def known(batch: DataFrame) -> DataFrame:
+        keys = snapshot(reference(), "bus_object_id")
+        rows = matching_batch(batch, keys, "subscriber_id", broadcast_rows=broadcast_rows)
+        return stamp_arrival(rows)
+
+    append("bronze", envelopes, "Messages as received")
+    append("decoded", decoded(stream_table(spark, names["bronze"])), "Payload fields")
+    silver_table = Declared(
+        names["silver"], f"{root}/{names['silver']}", known, comment="Messages of known objects"
+    )
+    run_declared(
+        stream_table(spark, names["decoded"]), checkpoint("silver"), [silver_table], f"{root}/log"
+    )
+    rows = stream_table(spark, names["silver"])
+    append("device_models", device_models(rows), "Device models an hour", state_partitions)
+    append("cell_areas", cell_areas(rows), "Cell areas per five minutes", state_partitions)
+    append("terminated", terminated(rows), "Messages that end a session")
+    append("published", stream_table(spark, names["terminated"]), "Ended sessions, for others")
+    return names

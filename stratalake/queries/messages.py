@@ -84,6 +84,48 @@ def msg_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _every_field() -> list[tuple[str, str, str, str, str]]:
+    """Name and type of each payload field, the JSON text it is sent as (in Spark's SQL), how
+    the stored column is compared, and what DuckDB says it must be."""
+    fields = []
+    declared = [line.strip().rstrip(",") for line in messages.PAYLOAD_SCHEMA.split("\n")]
+    for i, (name, kind) in enumerate(line.split() for line in declared if line):
+        sent, read, expected = {
+            "STRING": (f"concat(event_type, '-{i}')", name, f"event_type || '-{i}'"),
+            "INT": (f"int(user_id * 64 + {i})", name, f"CAST(user_id * 64 + {i} AS INTEGER)"),
+            "FLOAT": (
+                f"float(user_id + {i} / 4)", f"double({name})", f"CAST(user_id + {i} / 4 AS DOUBLE)"
+            ),
+            "TIMESTAMP": ("concat(string(ts), 'Z')", name, "ts"),
+            "DATE": (
+                f"string(date_add(date(ts), {i}))", name, f"CAST(ts AS DATE) + {i}"
+            ),
+        }[kind]
+        fields.append((name, kind, sent, read, expected))
+    return fields
+
+
+@registry.check(
+    "SELECT event_id AS message_id, "
+    + ", ".join(f"{expected} AS {name}" for name, _, _, _, expected in _every_field())
+    + " FROM events"
+)
+def msg_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of a payload, each with a value of its own."""
+    sent = ", ".join(f"{sent} AS {name}" for name, _, sent, _, _ in _every_field())
+    envelopes = landing.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("messageId"),
+        F.expr(f"encode(to_json(struct({sent})), 'UTF-8')").alias("payload"),
+        F.lit(0).cast("bigint").alias("publishTimestampInMillis"),
+    )
+    compared = [
+        utc_wall_clock(name).alias(name) if kind == "TIMESTAMP" else F.expr(read).alias(name)
+        for name, kind, _, read, _ in _every_field()
+    ]
+    decoded = messages.decoded(envelopes)
+    return decoded.select(F.col("eventId").cast("bigint").alias("message_id"), *compared)
+
+
 @registry.check("SELECT CAST(event_id AS VARCHAR) AS event_id, true AS stamped FROM events")
 def msg_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     earlier = landing.event_envelopes(spark, sf_dir).withColumn(
@@ -137,7 +179,7 @@ SLIDING = (
 def msg_sliding_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = fresh_name("device_models")
     run_complete(
-        messages.device_models(_silver(spark, sf_dir)),
+        messages.device_models_so_far(_silver(spark, sf_dir)),
         fresh_dir(spark, "checkpoint"),
         fresh_dir(spark, name),
         name,
@@ -292,3 +334,71 @@ def evolve_stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = spark.readStream.schema(batch.schema).parquet(arrivals)
         run_once(stream, checkpoint, out, name, comment="Events as they arrived")
     return spark.table(name)
+
+
+# What the chain's silver layer lets through: objects known when the message came.
+CHAIN = f"""
+    WITH known AS (
+      SELECT * FROM events
+      WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'
+                        AND (c_custkey % 2 = 0 OR ts >= TIMESTAMP '{landing.CHAIN_SPLIT}')))
+"""
+
+
+def _layer(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
+    return spark.table(f"msg_{layer}_{landing.message_chain(spark, sf_dir)}")
+
+
+@registry.check(
+    CHAIN
+    + f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS subscriber_id,
+           {MESSAGE_NAME} AS message_name, ts AS event_time, true AS stamped
+    FROM known WHERE event_type IN ('error', 'signup')"""
+)
+def msg_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copy at the end of the chain, after two deliveries and a run for nothing new."""
+    return _layer(spark, sf_dir, "published").select(
+        F.col("eventId").alias("event_id"),
+        "subscriber_id",
+        "message_name",
+        utc_wall_clock("cal_timestamp_time").alias("event_time"),
+        F.col("eventTime").isNotNull().alias("stamped"),
+    )
+
+
+@registry.check(
+    CHAIN
+    + """
+    SELECT 'bronze' AS layer, count(*) AS num_rows FROM events
+    UNION ALL SELECT 'decoded', count(*) FROM events
+    UNION ALL SELECT 'silver', count(*) FROM known
+    UNION ALL SELECT 'terminated', count(*) FILTER (event_type IN ('error', 'signup')) FROM known
+    UNION ALL SELECT 'published', count(*) FILTER (event_type IN ('error', 'signup')) FROM known"""
+)
+def msg_chain_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [
+        _layer(spark, sf_dir, layer).agg(
+            F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("num_rows")
+        )
+        for layer in ("bronze", "decoded", "silver", "terminated", "published")
+    ]
+    result = counts[0]
+    for count in counts[1:]:
+        result = result.unionByName(count)
+    return result
+
+
+@registry.check(
+    CHAIN
+    + f"""
+    SELECT start AS window_start, start + INTERVAL 60 MINUTE AS window_end,
+           count(DISTINCT event_type) AS count_dist_device_model
+    FROM (SELECT time_bucket(INTERVAL 10 MINUTE, ts) - k * INTERVAL 10 MINUTE AS start, event_type
+          FROM known CROSS JOIN range(6) AS slides(k))
+    GROUP BY start HAVING window_end {CLOSED}"""
+)
+def msg_sliding_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that are over, from the chain's stream in append mode."""
+    windows = _layer(spark, sf_dir, "device_models")
+    return windows.select(*_bounds("window"), "count_dist_device_model")

@@ -1,9 +1,16 @@
 from .declared import Declared, run_declared
 from .runs import run_complete, run_once
-from .windows import pane_sketches, sliding_distinct, tumbling_distinct, windows_from_panes
+from .windows import (
+    closed_sliding_distinct,
+    pane_sketches,
+    sliding_distinct,
+    tumbling_distinct,
+    windows_from_panes,
+)
 
 __all__ = [
     "Declared",
+    "closed_sliding_distinct",
     "pane_sketches",
     "run_complete",
     "run_declared",

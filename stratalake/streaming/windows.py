@@ -94,5 +94,29 @@ def windows_from_panes(panes: DataFrame, output: str, panes_per_window: int = 6)
     return counted.orderBy(F.col("window.start"))
 
 
+def closed_sliding_distinct(
+    df: DataFrame,
+    time: str,
+    value: str,
+    output: str,
+    length: str = "60 minutes",
+    slide: str = "10 minutes",
+    watermark: str = "10 minutes",
+    lg_k: int = 12,
+) -> DataFrame:
+    """Distinct values per overlapping window, each window once it is closed.
+
+    Two aggregations under one watermark: a row goes into the pane of length ``slide``
+    that it falls into, and a closed pane's sketch into the windows that cover it. A
+    stream drops a pane or a window from its state when the watermark passes its end, so
+    the state holds the open ones only, whatever has been seen; rows for a closed pane
+    are too late. Use append output; ``length`` is a multiple of ``slide``.
+    """
+    panes = pane_sketches(df, time, value, slide, watermark, lg_k)
+    return panes.groupBy(F.window("pane", length, slide).alias("window")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(output)
+    )
+
+
 def _distinct(value: str, rsd: float | None) -> Column:
     return F.approx_count_distinct(value) if rsd is None else F.approx_count_distinct(value, rsd)
