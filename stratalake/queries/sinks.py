@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from .. import landing
 from ..operators.aggregates import sum_per_key
 from ..scratch import fresh_dir, fresh_name
+from ..sinks.feeds import track_changes
+from ..sinks.merge import create_or_upsert, upsert
+from ..sinks.partitioned import create_partitioned
 from ..sinks.tables import (
     append_evolving,
-    create_or_upsert,
     overwrite_files,
     publish_version,
     register_table,
     table_detail,
-    upsert,
 )
+from ..sources.streams import stream_table
+from ..streaming.runs import run_once
 from .registry import Registry
 
 registry = Registry()
@@ -85,6 +88,62 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(changes, name, "o_orderkey", root)
 
 
+@registry.check("""
+    SELECT o_orderkey, o_orderpriority, o_orderstatus,
+           CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') AND o_orderkey % 3 = 0
+                THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM orders""")
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by priority without some of two priorities, then changed and new ones of these."""
+    orders = landing.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"
+    )
+    name, root = fresh_name("orders_by_priority"), fresh_dir(spark, "partitioned")
+    of_two = F.col("o_orderpriority").isin("1-URGENT", "5-LOW")
+    stored = orders.where(~of_two | (F.col("o_orderkey") % 4 != 1))
+    create_partitioned(stored, name, root, ["o_orderpriority"])
+    signed = F.when(F.col("o_orderkey") % 3 == 0, -F.col("o_totalprice"))
+    changes = orders.where(of_two).withColumn(
+        "o_totalprice", F.coalesce(signed, F.col("o_totalprice"))
+    )
+    return upsert(changes, name, ["o_orderkey", "o_orderpriority"], root)
+
+
+@registry.check("""
+    SELECT 'plain' AS kind, o_orderkey, o_orderstatus, o_totalprice
+    FROM orders WHERE o_orderstatus <> 'O'
+    UNION ALL SELECT 'plain', o_orderkey, o_orderstatus, -o_totalprice
+    FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT 'partitioned', o_orderkey, o_orderstatus, o_totalprice
+    FROM orders WHERE o_orderstatus <> 'O'
+    UNION ALL SELECT 'partitioned', o_orderkey, o_orderstatus, -o_totalprice
+    FROM orders WHERE o_orderstatus <> 'F'""")
+def stream_after_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of a table and of a partitioned dataset by streams, before and after an upsert."""
+    orders = landing.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice"
+    )
+    first = orders.where("o_orderstatus <> 'O'")
+    changes = orders.where("o_orderstatus <> 'F'").withColumn(
+        "o_totalprice", -F.col("o_totalprice")
+    )
+    copies = []
+    for kind in ("plain", "partitioned"):
+        name, root = fresh_name(f"orders_{kind}"), fresh_dir(spark, kind)
+        if kind == "plain":
+            publish_version(first, name, f"{root}/first")
+        else:
+            create_partitioned(first, name, root, ["o_orderstatus"])
+        track_changes(spark, name, f"{root}/feed")
+        checkpoint, copy = fresh_dir(spark, "checkpoint"), fresh_dir(spark, "copy")
+        for change in (None, changes, None):
+            if change is not None:
+                upsert(change, name, ["o_orderkey", "o_orderstatus"], root)
+            run_once(stream_table(spark, name), checkpoint, copy)
+        copies.append(spark.read.parquet(copy).withColumn("kind", F.lit(kind)))
+    return copies[0].unionByName(copies[1])
+
+
 @registry.check("""
     SELECT l_orderkey AS order_number,
            round(coalesce(sum(l_extendedprice) FILTER (l_returnflag = 'N'),

@@ -1,7 +1,9 @@
 from .declared import declare, declare_sql, read_log, rule_totals
+from .feeds import track_changes
+from .merge import create_or_upsert, upsert
+from .partitioned import create_partitioned
 from .tables import (
     append_evolving,
-    create_or_upsert,
     declare_view,
     materialize,
     overwrite_files,
@@ -9,12 +11,12 @@ from .tables import (
     register_table,
     reused,
     table_detail,
-    upsert,
 )
 
 __all__ = [
     "append_evolving",
     "create_or_upsert",
+    "create_partitioned",
     "declare",
     "declare_sql",
     "declare_view",
@@ -26,5 +28,6 @@ __all__ = [
     "reused",
     "rule_totals",
     "table_detail",
+    "track_changes",
     "upsert",
 ]

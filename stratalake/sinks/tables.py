@@ -14,14 +14,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..scratch import fresh_name
+
+#: Set on a table whose rows have been replaced: a stream cannot follow that by its files.
+REPLACED = "stratalake.rows_replaced"
 
 
 @contextmanager
@@ -90,7 +91,7 @@ def register_table(
     entry = _beside(name, "new")
     spark.sql(f"CREATE TABLE {entry}{columns} USING parquet{clauses}")
     try:
-        if _partition_columns(spark, entry):
+        if partition_columns(spark, entry):
             spark.catalog.recoverPartitions(entry)
         _take_name(spark, entry, name)
     except BaseException:
@@ -149,14 +150,15 @@ def show_version(
     movable = (
         exists
         and not partition_by
-        and not _partition_columns(spark, name)
+        and not partition_columns(spark, name)
         and _same_columns(spark.table(name), df)
     )
+    if exists:
+        properties = {**(properties or {}), REPLACED: "true"}
     if not movable:
         if exists:
             comment = comment or spark.catalog.getTable(name).description
-            stored = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-            properties = {**{row["key"]: row["value"] for row in stored}, **(properties or {})}
+            properties = {**table_properties(spark, name), **properties}
         register_table(spark, name, path, df.schema, partition_by, comment, properties)
         return spark.table(name)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{sql_text(path)}'")
@@ -180,6 +182,11 @@ def materialize(
     return publish_version(df, name, new_version(root, name), partition_by, comment, properties)
 
 
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """The properties of a table or view."""
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
 def describe(
     spark: SparkSession,
     name: str,
@@ -199,108 +206,6 @@ def declare_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -> DataFrame:
-    """Update the rows of table ``name`` whose keys occur in ``source``, insert the rest.
-
-    Null keys match nothing: they stay in the table and are inserted from the
-    source. Two source rows for one existing row raise an error.
-
-    The source is used several times, so it is written out first: it is computed
-    once, and Spark knows its size. The joins read the table on the left and the
-    source on the right. A small source is broadcast and the table not shuffled;
-    if both are large, a hot key of the table can be split.
-
-    The table is rewritten, unless it is partitioned by some of the keys: then
-    only the partitions that occur in the source are read and replaced, one
-    after the other.
-    """
-    spark = source.sparkSession
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    target = spark.table(name)
-    extra = [c for c in target.columns if c not in source.columns]
-    if extra:
-        raise ValueError(f"the source lacks {extra}")
-    staged = new_version(root, f"{name}-source")
-    # Values take the table's types, as in an insert.
-    overwrite_files(
-        source.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields]), staged
-    )
-    source = spark.read.schema(target.schema).parquet(staged)
-    version = new_version(root, name)
-    partition_by = _partition_columns(spark, name)
-    if not partition_by:
-        return publish_version(_merged(target, source, keys, name), name, version)
-    if not set(partition_by) <= set(keys):
-        merged = _merged(target, source, keys, name)
-        return publish_version(merged, name, version, partition_by)
-
-    # One row per folder. As literals they keep the other folders from being read.
-    touched = [
-        F.struct(*[F.lit(row[c]).cast(target.schema[c].dataType).alias(c) for c in partition_by])
-        for row in source.select(*partition_by).distinct().collect()
-    ]
-    if not touched:
-        return target
-    affected = target.where(F.struct(*partition_by).isin(touched))
-    overwrite_files(_merged(affected, source, keys, name), version, partition_by)
-    _move_partitions(spark, name, version, partition_by)
-    return spark.table(name)
-
-
-def _merged(target: DataFrame, source: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Rows of ``target`` after the upsert of ``source``, which has the same columns."""
-    repeated = source.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)
-    # Repeated new rows are fine, so the table is asked only if there are any.
-    if not repeated.isEmpty() and not target.join(repeated, keys, "left_semi").isEmpty():
-        raise ValueError(f"several source rows for one row of {name}")
-
-    change = source.select(
-        *[F.col(c).alias(f"__key_{c}") for c in keys],
-        F.struct(*target.columns).alias("__change"),
-    )
-    matches = [F.col(c) == F.col(f"__key_{c}") for c in keys]
-    changed = F.col("__change").isNotNull()
-    updated = target.join(change, matches, "left").select(
-        *[
-            F.when(changed, F.col("__change")[c]).otherwise(F.col(c)).alias(c)
-            for c in target.columns
-        ]
-    )
-    found = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    found = found.select(*[F.col(c).alias(f"__found_{c}") for c in keys])
-    # No key found is null. The null-safe comparison has them shuffled for this join,
-    # without which Spark would not split the rows of a hot new key.
-    known = [F.col(c).eqNullSafe(F.col(f"__found_{c}")) for c in keys]
-    inserted = source.join(found, known, "left_anti")
-    return updated.unionByName(inserted)
-
-
-def _move_partitions(
-    spark: SparkSession, name: str, path: str, partition_by: Sequence[str]
-) -> None:
-    """Point the partitions found under ``path`` at their folders there."""
-    scanned = fresh_name("moved")
-    register_table(spark, scanned, path, spark.table(name).schema, partition_by)
-    folders = [row[0] for row in spark.sql(f"SHOW PARTITIONS {scanned}").collect()]
-    spark.sql(f"DROP TABLE {scanned}")
-    for folder in folders:
-        pairs = [part.split("=", 1) for part in folder.split("/")]
-        values = ", ".join(f"`{c}`='{sql_text(unquote(v))}'" for c, v in pairs)
-        location = f"LOCATION '{sql_text(path)}/{sql_text(folder)}'"
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({values}) {location}")
-        spark.sql(f"ALTER TABLE {name} PARTITION ({values}) SET {location}")
-    spark.catalog.refreshTable(name)
-
-
-def create_or_upsert(
-    source: DataFrame, name: str, keys: str | Sequence[str], root: str
-) -> DataFrame:
-    """``upsert`` into table ``name``, or create it from ``source`` if there is none."""
-    if source.sparkSession.catalog.tableExists(name):
-        return upsert(source, name, keys, root)
-    return publish_version(source, name, new_version(root, name))
-
-
 def append_evolving(df: DataFrame, name: str) -> DataFrame:
     """Append by column name; columns new to the table are added to it.
 
@@ -318,7 +223,7 @@ def append_evolving(df: DataFrame, name: str) -> DataFrame:
             for field in spark.table(name).schema.fields
         ]
     )
-    partition_by = _partition_columns(spark, name)
+    partition_by = partition_columns(spark, name)
     if partition_by:
         aligned = aligned.hint("rebalance", *partition_by)
     aligned.write.insertInto(name)
@@ -364,7 +269,7 @@ def table_detail(spark: SparkSession, name: str, by: Sequence[str] = ()) -> Data
     )
 
 
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from ..functions.timing import stamp_arrival
+from ..sinks.feeds import feed_of
+from ..sinks.tables import REPLACED, table_properties
 
 # A batch size for long backlogs: what earlier batches did is kept if a later one fails.
 BACKLOG_BYTES = 1 << 40
@@ -73,7 +75,17 @@ def stream_table(
     max_files: int | None = None,
     max_bytes: int | None = None,
 ) -> DataFrame:
-    """Rows appended to a table."""
+    """Rows appended to a table; of a tracked one, the rows it had and those of upserts since.
+
+    Rows of other tables that have been replaced would come again, all of them, so such a
+    table is refused: track its changes (``sinks.track_changes``), or read it as a table.
+    """
+    feed = feed_of(spark, name)
+    if feed is not None:
+        reader = _bounded(spark.readStream, max_files, max_bytes)
+        return reader.schema(spark.table(name).schema).parquet(f"{feed}/*")
+    if REPLACED in table_properties(spark, name):
+        raise ValueError(f"the rows of {name} have been replaced, which a stream cannot follow")
     return _bounded(spark.readStream, max_files, max_bytes).table(name)
 
 

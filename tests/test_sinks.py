@@ -277,7 +277,7 @@ def test_failed_registration_leaves_the_table(spark, folder, monkeypatch):
     def broken(spark, entry):
         raise RuntimeError("no catalog")
 
-    monkeypatch.setattr(tables, "_partition_columns", broken)
+    monkeypatch.setattr(tables, "partition_columns", broken)
     with pytest.raises(RuntimeError):
         register_table(spark, "kept_entry", f"{folder}/first")
     assert sorted(map(tuple, spark.table("kept_entry").collect())) == before
