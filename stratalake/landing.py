@@ -17,6 +17,7 @@ from .functions.timing import utc_instant
 from .plans import messages, purchase_orders
 from .scratch import application_id, fresh_dir, fresh_name
 from .sinks.tables import publish_version
+from .sources.schemas import kept_xml_schema
 from .sources.streams import stream_envelopes
 from .streaming.runs import run_once
 
@@ -146,6 +147,14 @@ def order_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_once
+def order_schema(spark: SparkSession, sf_dir: str) -> str:
+    """Folder that keeps the inferred schema of the order files."""
+    store = fresh_dir(spark, "order-schema")
+    kept_xml_schema(spark, order_files(spark, sf_dir), ORDER_TAG, store)
+    return store
+
+
 @_once
 def order_details(spark: SparkSession, sf_dir: str) -> str:
     """Name of a stored detail table, by state, for the gold steps to read."""

@@ -18,7 +18,7 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str | Column]) ->
     if not order_by:
         raise ValueError("without an order the row kept is arbitrary")
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order_by))
-    return df.withColumn("row", rank).where(F.col("row") == 1).drop("row")
+    return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
 
 
 def _statistics(value: str) -> list[Column]:

@@ -112,10 +112,12 @@ def device_models(messages: DataFrame, time: str = EVENT_TIME) -> DataFrame:
     )
 
 
-def device_models_so_far(messages: DataFrame, time: str = EVENT_TIME) -> DataFrame:
-    """``device_models`` with open hours too, in order, for a complete result."""
+def device_models_so_far(
+    messages: DataFrame, time: str = EVENT_TIME, ordered: bool = True
+) -> DataFrame:
+    """``device_models`` with open hours too; in order, for a complete result."""
     return sliding_distinct(
-        messages, time, "userequipment_model_name", "count_dist_device_model"
+        messages, time, "userequipment_model_name", "count_dist_device_model", ordered=ordered
     )
 
 

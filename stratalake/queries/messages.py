@@ -12,6 +12,7 @@ from ..scratch import fresh_dir, fresh_name
 from ..sinks.tables import declare_view
 from ..sources.files import read_evolving
 from ..sources.streams import stream_table
+from ..streaming.merged import run_merged
 from ..streaming.runs import run_complete, run_once
 from ..streaming.windows import pane_sketches, tumbling_distinct, windows_from_panes
 from .registry import Registry
@@ -202,6 +203,31 @@ def msg_sliding_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*_bounds("window"), "count_dist_device_model")
 
 
+@registry.check(SLIDING)
+def msg_sliding_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows kept by key: two deliveries, each writing the days that it changed."""
+    name, root = fresh_name("device_models"), fresh_dir(spark, "merged")
+    arrivals, checkpoint = fresh_dir(spark, "arrivals"), fresh_dir(spark, "checkpoint")
+    columns = [messages.EVENT_TIME, "userequipment_model_name"]
+    silver = spark.table(landing.silver_messages(spark, sf_dir)).select(*columns)
+    late = F.col("userequipment_model_name") == "error"
+    for delivered in (~late, late):
+        silver.where(delivered).write.mode("append").parquet(arrivals)
+        run_merged(
+            messages.device_models_so_far(
+                spark.readStream.schema(silver.schema).parquet(arrivals), ordered=False
+            ),
+            checkpoint,
+            root,
+            name,
+            ["day", "window"],
+            ["day"],
+            finish=lambda rows: rows.withColumn("day", F.col("window.start").cast("date")),
+            state_partitions=_cores(spark),
+        )
+    return spark.table(name).select(*_bounds("window"), "count_dist_device_model")
+
+
 # Windows that end after the watermark are still open when the stream stops.
 CLOSED = "<= (SELECT max(ts) - INTERVAL 10 MINUTE FROM known)"
 

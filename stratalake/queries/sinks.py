@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import landing
 from ..operators.aggregates import sum_per_key
+from ..plans.purchase_orders import ORDER, PART, detail, read_orders
 from ..scratch import fresh_dir, fresh_name
-from ..sinks.feeds import track_changes
+from ..sinks.feeds import shown_version, track_changes
 from ..sinks.merge import create_or_upsert, upsert
 from ..sinks.partitioned import create_partitioned
 from ..sinks.tables import (
@@ -16,6 +17,7 @@ from ..sinks.tables import (
     overwrite_files,
     publish_version,
     register_table,
+    reused,
     table_detail,
 )
 from ..sources.streams import stream_table
@@ -42,16 +44,13 @@ def overwrite_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders JOIN customer ON c_custkey = o_custkey
     JOIN nation ON n_nationkey = c_nationkey
     LEFT JOIN lineitem ON l_orderkey = o_orderkey
-    CROSS JOIN (VALUES ('Shipping'), ('Billing')) AS address(kind)
-    WHERE n_name = 'NATION_7'""")
+    CROSS JOIN (VALUES ('Shipping'), ('Billing')) AS address(kind)""")
 def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     details = spark.table(landing.order_details(spark, sf_dir))
     path = fresh_dir(spark, "by-state")
     overwrite_files(details, path, partition_by=["State"])
-    return (
-        spark.read.parquet(path)
-        .where("State = 'NATION_7'")
-        .select("_PurchaseOrderNumber", "_PartNumber", "Quantity", "_Type", "State")
+    return spark.read.parquet(path).select(
+        "_PurchaseOrderNumber", "_PartNumber", "Quantity", "_Type", "State"
     )
 
 
@@ -181,7 +180,7 @@ def evolve_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registry.check("""
-    SELECT n_name AS State, 2 * count(*) AS num_rows
+    SELECT n_name AS State, 2 * count(*) AS num_rows, true AS files_agree, true AS bytes_agree
     FROM orders JOIN customer ON c_custkey = o_custkey
     JOIN nation ON n_nationkey = c_nationkey
     LEFT JOIN lineitem ON l_orderkey = o_orderkey
@@ -189,5 +188,39 @@ def evolve_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="table_detail",
 )
 def detail_rows_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details = table_detail(spark, landing.order_details(spark, sf_dir), by=["State"])
-    return details.select("State", "num_rows")
+    """Rows by SQL; files and bytes by a listing of the table's folder."""
+    name = landing.order_details(spark, sf_dir)
+    details = table_detail(spark, name, by=["State"])
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(shown_version(spark, name))
+        .groupBy(F.regexp_extract("path", "/State=([^/]+)/", 1).alias("State"))
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    )
+    return details.join(listed, "State").select(
+        "State",
+        "num_rows",
+        (F.col("num_files") == F.col("files")).alias("files_agree"),
+        (F.col("size_in_bytes") == F.col("bytes")).alias("bytes_agree"),
+    )
+
+
+@registry.check("""
+    SELECT 'order' AS kind, o_orderkey AS number, 2 * sum(l_quantity) AS quantity
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+    UNION ALL
+    SELECT 'part', l_partkey, 2 * sum(l_quantity)
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY l_partkey""")
+def reused_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sums of rows that are parsed once and kept while both are written."""
+    path = fresh_dir(spark, "sums")
+    orders = read_orders(spark, landing.order_files(spark, sf_dir))
+    with reused(detail(orders).select(ORDER, PART, "Quantity")) as kept:
+        for kind, key in (("order", ORDER), ("part", PART)):
+            sums = sum_per_key(kept, key, {"Quantity": "quantity"})
+            sums.select(
+                F.lit(kind).alias("kind"), F.col(key).alias("number"), "quantity"
+            ).write.mode("append").parquet(path)
+    return spark.read.parquet(path)

@@ -17,6 +17,7 @@ from ..sources.files import (
     read_xml_rows,
     with_source_path,
 )
+from ..sources.schemas import kept_xml_schema
 from ..sources.streams import stream_binary_files, stream_table, stream_text_lines
 from ..streaming.runs import run_once
 from .registry import Registry
@@ -55,7 +56,10 @@ def json_path_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
     GROUP BY ALL""")
 def xml_rowtag_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_xml_rows(spark, landing.order_files(spark, sf_dir), landing.ORDER_TAG)
+    """The kept schema is as of the files; were there new ones, these alone would be inferred."""
+    files, store = landing.order_files(spark, sf_dir), landing.order_schema(spark, sf_dir)
+    schema = kept_xml_schema(spark, files, landing.ORDER_TAG, store)
+    orders = read_xml_rows(spark, files, landing.ORDER_TAG, schema)
     return orders.groupBy(
         F.col("_PurchaseOrderNumber").alias("order_number"),
         F.col("_OrderDate").alias("order_date"),
@@ -86,21 +90,32 @@ def stream_binary_files_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registry.check("""
-    SELECT tag, count(*) AS lines
-    FROM lineitem CROSS JOIN (VALUES ('Item'), ('Quantity'), ('Price')) AS t(tag)
-    GROUP BY tag""",
+    WITH counts AS (
+      SELECT (SELECT count(*) FROM lineitem) AS items, (SELECT count(*) FROM orders) AS orders,
+             (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS filled,
+             (SELECT count(*) FROM lineitem JOIN part ON p_partkey = l_partkey) AS named)
+    SELECT tag, lines FROM (
+      SELECT unnest(['Item', '/Item', 'Quantity', 'Price', 'ProductName', 'PurchaseOrder',
+                     '/PurchaseOrder', 'Address', '/Address', 'Name', 'State', 'Items', '/Items'])
+               AS tag,
+             unnest([items, items, items, items, named, orders, orders, 2 * orders, 2 * orders,
+                     2 * orders, 2 * orders, filled, filled]) AS lines
+      FROM counts)
+    WHERE lines > 0""",
     name="stream_text_lines",
 )
 def stream_text_lines_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = stream_text_lines(spark, f"{landing.order_files(spark, sf_dir)}/*.xml")
     out = fresh_dir(spark, "text-lines")
     run_once(lines, fresh_dir(spark, "checkpoint"), out)
-    tag = F.regexp_extract("value", r"^\s*<(\w+)", 1)
+    # The first tag of a line. What a file has once is not in the SQL, which knows no files.
+    tag = F.regexp_extract("value", r"^\s*<(\??/?\w+)", 1)
+    once = ["?xml", landing.DOCUMENT_TAG, f"/{landing.DOCUMENT_TAG}"]
     return (
         spark.read.parquet(out)
         .groupBy(tag.alias("tag"))
         .agg(F.count(F.lit(1)).alias("lines"))
-        .where(F.col("tag").isin("Item", "Quantity", "Price"))
+        .where(~F.col("tag").isin(once))
     )
 
 

@@ -6,6 +6,7 @@ from .files import (
     read_xml_rows,
     with_source_path,
 )
+from .schemas import kept_xml_schema, merge_schemas
 from .streams import (
     stream_binary_files,
     stream_envelopes,
@@ -15,6 +16,8 @@ from .streams import (
 )
 
 __all__ = [
+    "kept_xml_schema",
+    "merge_schemas",
     "query_json_path",
     "read_binary_files",
     "read_evolving",

@@ -19,18 +19,20 @@ def sliding_distinct(
     slide: str = "10 minutes",
     watermark: str | None = None,
     rsd: float | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """Distinct values per overlapping window, ordered by window start.
 
     Without a ``watermark`` a stream keeps every window it has seen. Ordering a
-    stream needs complete output (``run_complete``).
+    stream needs complete output (``run_complete``); without order a stream may hand out
+    the windows that a batch changed (``run_merged``).
     """
     if watermark:
         df = df.withWatermark(time, watermark)
     counted = df.groupBy(F.window(time, length, slide).alias("window")).agg(
         _distinct(value, rsd).alias(output)
     )
-    return counted.orderBy(F.col("window.start"))
+    return counted.orderBy(F.col("window.start")) if ordered else counted
 
 
 def tumbling_distinct(
