@@ -40,7 +40,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(
     r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>]+)))?|"[^"]*"|'[^']*'"""
 )
-_KEPT = frozenset("class id role hidden style".split())
+_KEPT = frozenset("class id role hidden style aria-hidden".split())
 _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
@@ -77,14 +77,61 @@ def _names(attributes: dict[str, str]) -> tuple[str, ...]:
     return tuple(sorted(set(re.findall(r"[^\W\d_]+", both))))
 
 
+class _Open:
+    """The open elements, and where each name is among them, so that none are looked through."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self.nodes))
+        if node.name not in INLINE:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, names) -> int:
+        """The place of the innermost open element of one of the names; 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def cut(self, place: int) -> None:
+        """End the element at that place and all that it contains."""
+        for node in self.nodes[place:]:
+            self.places[node.name].pop()
+            if node.name not in INLINE:
+                self.blocks.pop()
+        del self.nodes[place:]
+
+    def end(self, name: str) -> None:
+        """An end tag; one of an inline element does not reach beyond its block."""
+        place = self.last((name,))
+        if place and (name not in INLINE or place > self.blocks[-1]):
+            self.cut(place)
+
+    def close_omitted(self, name: str) -> None:
+        """End the elements whose end tags may be left out before ``name``."""
+        if name not in INLINE:
+            self._close({"p"}, SCOPE["p"])
+        if name in ENDS:
+            self._close(ENDS[name], SCOPE.get(name, frozenset()))
+
+    def _close(self, names: set[str], scope: set[str] | frozenset[str]) -> None:
+        limit = self.last(scope)
+        while (place := self.last(names)) > limit:
+            self.cut(place)
+            if len(names) == 1:
+                return
+
+
 def parse(source: str) -> Node:
     """The tree of a page under a root without a name."""
     root = Node("", None)
-    open_nodes = [root]
+    open_ = _Open(root)
 
     def add_text(text: str) -> None:
         if text:
-            node = open_nodes[-1]
+            node = open_.nodes[-1]
             node.children.append(Node("#text", node, text=html.unescape(text)))
 
     at, size = 0, len(source)
@@ -101,40 +148,18 @@ def parse(source: str) -> Node:
             continue
         name = tag["name"].lower()
         if tag["end"]:
-            for i in range(len(open_nodes) - 1, 0, -1):
-                if open_nodes[i].name == name:
-                    del open_nodes[i:]
-                    break
-                if name in INLINE and open_nodes[i].name not in INLINE:
-                    break
+            open_.end(name)
             continue
-        _close_omitted(open_nodes, name)
+        open_.close_omitted(name)
         attributes = _attributes(tag["attributes"])
-        node = Node(name, open_nodes[-1], _names(attributes), attributes)
-        open_nodes[-1].children.append(node)
+        parent = open_.nodes[-1]
+        node = Node(name, parent, _names(attributes), attributes)
+        parent.children.append(node)
         if name in RAW:
             close = _CLOSE[name].search(source, at)
             end = close.start() if close else size
             node.children.append(Node("#raw", node, text=source[at:end]))
             at = close.end() if close else size
         elif name not in VOID:
-            open_nodes.append(node)
+            open_.push(node)
     return root
-
-
-def _close_omitted(open_nodes: list[Node], name: str) -> None:
-    """End the elements whose end tags may be left out before ``name``."""
-    if name not in INLINE:
-        _close_first(open_nodes, {"p"}, SCOPE["p"])
-    if name in ENDS:
-        _close_first(open_nodes, ENDS[name], SCOPE.get(name, frozenset()))
-
-
-def _close_first(open_nodes: list[Node], names: set[str], scope: set[str] | frozenset[str]) -> None:
-    for i in range(len(open_nodes) - 1, 0, -1):
-        if open_nodes[i].name in scope:
-            return
-        if open_nodes[i].name in names:
-            del open_nodes[i:]
-            if len(names) == 1:
-                return

@@ -14,20 +14,25 @@ Spark counts, per host, how many pages have each path, each style and each featu
 
 A branch that ``UNIMPORTANT`` or less of importance is left out. An element that says
 that it is content (``article``, ``main``) stays, but the branches in it go like others,
-unless it has nothing else: then the pages repeat each other whole. Branches whose element or class says
+unless it has nothing else: then the pages repeat each other whole. So do the pages of
+which counts would take most of the text and leave hardly any content: nothing goes by
+counts from those. Branches whose element or class says
 that they are navigation, adverts, notices, forms or comments have importance 0 from
 the start: a host of one page, or one whose menus differ, has no statistics to tell.
 A class or id says so as a whole, not by a word in it (``has-sidebar`` names no sidebar),
+but for comments, which are named beside anything (``reader-comments``),
 and never of content, nor of the branch that has most of a page's words and its content.
 If a main element or articles have at least half of the words that are left of a page,
 text outside them goes; otherwise they are teasers, and the whole page counts.
 
-Only the paths a host leaves out travel back to its pages, by a join on the host that
-adaptive execution can split; pages of a hot host never meet in one task, and its
-counts are summed per task first.
+Hosts, paths, styles and words are counted as hashes of 64 bits, summed per task first; a
+path's hash is made of its parent's, so that deep pages cost no more than flat ones. Only
+the paths a host leaves out travel back to its pages: broadcast once they have been
+measured, or else by a join on the host, so that pages are not moved for them.
 
 Defined results: null or empty html, or a page without text, gives the empty string;
-a null url is a host of its own; repeated rows are extracted once each.
+a null url is a host of its own; repeated rows are extracted once each; an empty table
+gives an empty result. Columns besides ``page_id``, ``url`` and ``html`` are not looked at.
 """
 
 from __future__ import annotations
@@ -37,10 +42,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, stored
 from .html_tree import INLINE, Node, parse
 
 #: Weight of the presentation of a node against the content below it.
@@ -49,15 +55,15 @@ DECAY = 0.9
 UNIMPORTANT = 0.2
 #: Pages a host needs before its counts say anything.
 MIN_PAGES = 2
-#: Levels of elements that paths tell apart.
-MAX_DEPTH = 64
+#: Most paths to leave out that are broadcast, 8 bytes each.
+BROADCAST_PATHS = 2_000_000
 #: Counts a task holds before it hands them on.
 _HELD_COUNTS = 200_000
 
 #: Elements, roles and class words that say what a branch is.
 NOISE_ELEMENTS = frozenset(
     "head script style noscript template nav footer aside form button input select textarea "
-    "option iframe object embed svg canvas audio video menu dialog fieldset label map".split()
+    "option iframe object embed svg canvas audio video menu dialog fieldset map".split()
 )
 NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog "
@@ -77,19 +83,28 @@ PLAIN_WORDS = frozenset(
     "column col bar row group panel button buttons icons icon header head title text body "
     "inline sticky fixed float slot unit form".split()
 )
+#: Words that name comments, and those that beside them name a state of the page.
+COMMENT_WORDS = frozenset("comment comments disqus reply replies".split())
+STATE_WORDS = frozenset(
+    "no not has have with without open opened closed enabled disabled on off allow allowed "
+    "count can is".split()
+)
 #: Elements whose content is never shown: no part of the tree.
 UNSEEN = frozenset("head script style noscript template textarea iframe".split())
 CONTENT_ELEMENTS = frozenset("article main".split())
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def is_noise(node: Node) -> bool:
-    """Whether the element itself, its role or its style says that it is no text to read."""
+def is_noise(node: Node, in_content: bool = False) -> bool:
+    """Whether the element itself, its role or its style says that it is no text to read.
+
+    A ``header`` within an article or main element is part of it.
+    """
     if node.name in NOISE_ELEMENTS or "hidden" in node.attributes:
         return True
     if node.attributes.get("role", "").lower() in NOISE_ROLES:
         return True
-    if node.name == "header" and not _inside_content(node):
+    if node.name == "header" and not in_content:
         return True
     if "display:none" in node.attributes.get("style", "").replace(" ", "").lower():
         return True
@@ -98,12 +113,21 @@ def is_noise(node: Node) -> bool:
 
 def _is_named_noise(node: Node) -> bool:
     """Whether a class or id of the element says that it is noise."""
-    if NOISE_WORDS.isdisjoint(node.names) or node.name in ("html", "body", *CONTENT_ELEMENTS):
+    if node.name in ("html", "body", *CONTENT_ELEMENTS):
         return False
     attributes = node.attributes
+    if attributes.get("aria-hidden", "").lower() == "true":
+        return True
+    if NOISE_WORDS.isdisjoint(node.names):
+        return False
     tokens = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
-    words = (set(_LETTERS.findall(token)) for token in tokens)
-    return any(w & NOISE_WORDS and w <= NOISE_WORDS | PLAIN_WORDS for w in words)
+    return any(_names_noise(set(_LETTERS.findall(token))) for token in tokens)
+
+
+def _names_noise(words: set[str]) -> bool:
+    if words & COMMENT_WORDS:
+        return not words & STATE_WORDS
+    return bool(words & NOISE_WORDS) and words <= NOISE_WORDS | PLAIN_WORDS
 
 
 def noise(root: Node) -> set[int]:
@@ -115,14 +139,15 @@ def noise(root: Node) -> set[int]:
     # Nodes that are left in page order, each with the place of its parent.
     nodes: list[tuple[Node, int]] = []
     dropped: set[int] = set()
-    waiting = [(root, -1)]
+    waiting = [(root, -1, False)]
     while waiting:
-        node, parent = waiting.pop()
-        if node.text is None and node.name and is_noise(node):
+        node, parent, in_content = waiting.pop()
+        if node.text is None and node.name and is_noise(node, in_content):
             dropped.add(id(node))
             continue
         nodes.append((node, parent))
-        waiting.extend((child, len(nodes) - 1) for child in reversed(node.children))
+        at, inside = len(nodes) - 1, in_content or node.name in CONTENT_ELEMENTS
+        waiting.extend((child, at, inside) for child in reversed(node.children))
     named = [i for i, (node, _) in enumerate(nodes) if node.text is None and _is_named_noise(node)]
     if not named:
         return dropped
@@ -141,140 +166,208 @@ def noise(root: Node) -> set[int]:
     return dropped
 
 
-def _inside_content(node: Node | None) -> bool:
-    while node is not None:
-        if node.name in CONTENT_ELEMENTS:
-            return True
-        node = node.parent
-    return False
-
-
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^\w+://([^/?#]*)", 1)), F.lit(""))
 
 
-def _below(path: str, child: Node) -> str:
-    """The path of an element under that of its parent.
+#: The path of the page itself, above its first element.
+ROOT = 0
 
-    Inline elements are part of their block, and nodes deeper than ``MAX_DEPTH`` of the
-    last one above that: they share its path.
-    """
-    if child.name in INLINE or path.count(">") >= MAX_DEPTH:
-        return path
-    return f"{path}>{child.label()}" if path else child.label()
+
+def _hash(text: str, seed: int = 0) -> int:
+    """A signed 64-bit hash."""
+    found = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), seed & 0xFFFFFFFFFFFFFFFF)
+    return found - (1 << 64) if found >> 63 else found
+
+
+def _below(path: int, child: Node) -> int:
+    """The path of an element under that of its parent; inline ones are part of their block."""
+    return path if child.name in INLINE else _hash(child.label(), path)
+
+
+def path_of(*labels: str) -> int:
+    """The path of an element, given the labels on the way to it."""
+    path = ROOT
+    for label in labels:
+        path = _hash(label, path)
+    return path
+
+
+class _Seen:
+    """What a page shows of one path."""
+
+    __slots__ = ("parent", "depth", "content", "styles", "words")
+
+    def __init__(self, parent: int, depth: int, content: bool):
+        self.parent, self.depth, self.content = parent, depth, content
+        self.styles: set[str] = set()
+        self.words: set[str] = set()
 
 
-def _observations(root: Node) -> Iterator[tuple[str, str, str]]:
-    """(path, kind, value) of a page: its styles and the words directly in each block."""
-    seen: dict[str, tuple[list[str], set[str]]] = {}
-    waiting = [(root, "")]
+def _observations(root: Node) -> dict[int, _Seen]:
+    """The styles of each path of a page and the words directly in its blocks."""
+    seen = {ROOT: _Seen(ROOT, -1, False)}
+    waiting = [(root, ROOT)]
     while waiting:
         block, path = waiting.pop()
-        styles, words = seen.setdefault(path, ([], set()))
+        own = seen[path]
         labels = []
         inner = block.children[::-1]
         while inner:
             child = inner.pop()
             if child.text is not None:
                 if child.name == "#text":
-                    words.update(child.text.split())
+                    own.words.update(child.text.split())
             elif child.name in INLINE:
                 inner.extend(reversed(child.children))
             elif child.name not in UNSEEN:
                 label = child.label()
                 if not labels or labels[-1] != label:
                     labels.append(label)
-                waiting.append((child, _below(path, child)))
-        styles.append(" ".join(labels))
-    for path, (styles, words) in seen.items():
-        if path:
-            yield path, "style", "|".join(sorted(set(styles)))
-            for word in words:
-                yield path, "word", word
-
-
-def _is_content(path: str) -> bool:
-    """Whether the path is that of an element that is content by its name."""
-    return path.rpartition(">")[2].partition(".")[0] in CONTENT_ELEMENTS
+                below = _hash(label, path)
+                if below not in seen:
+                    seen[below] = _Seen(path, own.depth + 1, child.name in CONTENT_ELEMENTS)
+                waiting.append((child, below))
+        own.styles.add(" ".join(labels))
+    del seen[ROOT]
+    return seen
+
+
+COUNT_SCHEMA = (
+    "host long, path long, is_style boolean, value long, n long, "
+    "parent long, depth int, is_content boolean"
+)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
+    places: dict[int, tuple[int, int, bool]] = {}
 
-    def rows():
-        columns = list(zip(*held)) or [(), (), (), ()]
+    def rows() -> pa.RecordBatch:
+        # Where a path is in the tree goes with its styles alone.
+        keys = [(*key, n, *(places[key[1]] if key[2] else (None,) * 3)) for key, n in held.items()]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.int32(), pa.bool_()]
+        columns = list(zip(*keys)) or [()] * len(kinds)
         return pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.string()) for c in columns), pa.array(list(held.values()), pa.int64())],
-            names=["host", "path", "kind", "value", "n"],
+            [pa.array(c, kind) for c, kind in zip(columns, kinds)],
+            names=[c.split()[0] for c in COUNT_SCHEMA.split(", ")],
         )
 
+    hashes: dict[str, int] = {}
     for batch in slices(batches, "html"):
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            held.update((host, *found) for found in _observations(parse(html)))
+            for path, own in _observations(parse(html)).items():
+                places[path] = (own.parent, own.depth, own.content)
+                held[host, path, True, _hash("|".join(sorted(own.styles)))] += 1
+                for word in own.words:
+                    value = hashes.get(word)
+                    if value is None:
+                        value = hashes[word] = _hash(word)
+                    held[host, path, False, value] += 1
             if len(held) > _HELD_COUNTS:
                 yield rows()
-                held.clear()
+                for table in (held, places, hashes):
+                    table.clear()
     yield rows()
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, own importance by presentation and by content) of every merged node."""
+    """Every merged node of a host: its place, its pages, and its own importance by
+    presentation (``look``) and by ``content``; ``single``: a child that one page has.
+
+    Nodes that one page has are as important as can be. They are not listed, since a host
+    may have them with every page; their parents know of them.
+    """
     counts = (
         pages.select("host", "html")
-        .mapInArrow(_count, "host string, path string, kind string, value string, n long")
-        .groupBy("host", "path", "kind", "value")
-        .agg(F.sum("n").alias("n"))
+        .mapInArrow(_count, COUNT_SCHEMA)
+        .groupBy("host", "path", "is_style", "value")
+        .agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in ("parent", "depth", "is_content")])
     )
     # A page adds one style to each of its paths, so a path's styles add up to its pages.
     # With m pages, a style that n of them have adds -n/m log(n/m), and a word that n have,
     # evenly, has the entropy log(n) / log(m).
     log = F.log(F.col("n").cast("double"))
-    is_style = F.col("kind") == "style"
     sums = counts.groupBy("host", "path").agg(
-        F.sum(F.when(is_style, F.col("n"))).alias("pages"),
-        F.sum(F.when(is_style, F.col("n") * log)).alias("styles"),
-        F.count(F.when(~is_style, 1)).alias("words"),
-        F.sum(F.when(~is_style, log)).alias("word_logs"),
+        F.sum(F.when(F.col("is_style"), F.col("n"))).alias("pages"),
+        F.sum(F.when(F.col("is_style"), F.col("n") * log)).alias("styles"),
+        F.count(F.when(~F.col("is_style"), 1)).alias("words"),
+        F.sum(F.when(~F.col("is_style"), log)).alias("word_logs"),
+        *[F.max(c).alias(c) for c in ("parent", "depth", "is_content")],
     )
     base = F.log(F.col("pages").cast("double"))
     alone = F.col("pages") < MIN_PAGES
-    return sums.select(
+    look = 1 - F.col("styles") / F.col("pages") / base
+    words = F.when(F.col("words") == 0, 0.0).otherwise(
+        1 - F.col("word_logs") / F.col("words") / base
+    )
+    sums = sums.withColumns(
+        {
+            "look": F.when(alone, 1.0).otherwise(look),
+            "content": F.when(alone, 1.0).otherwise(words),
+        }
+    )
+    node = F.struct("path", "parent", "depth", "is_content", "look", "content")
+    # Both come from one row a path, so that the pages are counted once.
+    told = sums.select(
         "host",
-        "path",
-        "pages",
-        F.when(alone, 1.0).otherwise(1 - F.col("styles") / F.col("pages") / base).alias("look"),
-        F.when(alone, 1.0)
-        .when(F.col("words") == 0, 0.0)
-        .otherwise(1 - F.col("word_logs") / F.col("words") / base)
-        .alias("content"),
+        F.when(F.col("pages") >= MIN_PAGES, node).alias("node"),
+        F.explode(
+            F.array(
+                F.struct("path", F.lit(False).alias("single"), F.lit(True).alias("own")),
+                F.struct(
+                    F.col("parent").alias("path"),
+                    (F.col("pages") < MIN_PAGES).alias("single"),
+                    F.lit(False).alias("own"),
+                ),
+            )
+        ).alias("told"),
+    )
+    return (
+        told.select(
+            "host",
+            "told.path",
+            "told.single",
+            F.when(F.col("told.own"), F.col("node")).alias("node"),
+        )
+        .groupBy("host", "path")
+        .agg(F.first("node", ignorenulls=True).alias("node"), F.max("single").alias("single"))
+        .where(F.col("node").isNotNull())
+        .select("host", "node.*", "single")
     )
 
 
-def unimportant_paths(nodes: list[tuple[str, float, float]], limit: float = UNIMPORTANT) -> list[str]:
-    """The topmost paths of a host's tree whose importance is at most ``limit``."""
-    below: dict[str, tuple[float, int]] = {}
-    own = {path: (look, content) for path, look, content in nodes}
-    whole: list[str] = []  # Content whose every branch is unimportant.
-    children: dict[str, list[str]] = {}
-    for path in own:
-        children.setdefault(path.rpartition(">")[0], []).append(path)
-    for path in sorted(own, key=lambda p: -p.count(">")):
-        look, content = own[path]
-        inner = [below[c] for c in children.get(path, [])]
-        depth = 1 + max((d for _, d in inner), default=0)
+def unimportant_paths(nodes: list[dict], limit: float = UNIMPORTANT) -> list[int]:
+    """The topmost paths of a host's tree whose importance is at most ``limit``.
+
+    ``nodes`` are rows of ``style_tree`` of one host.
+    """
+    inner: dict[int, list[tuple[float, int]]] = {}
+    low: dict[int, bool] = {}
+    whole: set[int] = set()  # Content whose every branch is unimportant.
+    for node in sorted(nodes, key=lambda n: -n["depth"]):
+        children = inner.get(node["path"], [])
+        if node["single"]:
+            children = [*children, (1.0, 1)]
+        depth = 1 + max((d for _, d in children), default=0)
         kept = DECAY ** (depth - 1)
-        best = max([content, *(i for i, _ in inner)])
-        importance = (1 - kept) * look + kept * best if inner else content
-        if _is_content(path):
+        best = max([node["content"], *(i for i, _ in children)])
+        importance = (1 - kept) * node["look"] + kept * best if children else node["content"]
+        if node["is_content"]:
             if best <= limit:
-                whole.append(path)
+                whole.add(node["path"])
             importance = 1.0
-        below[path] = (importance, depth)
-    out: list[str] = []
-    for path in sorted(below, key=lambda p: p.count(">")):
-        low = below[path][0] <= limit and path.count(">") >= 2
-        if low and not any(path.startswith(f"{o}>") for o in (*out, *whole)):
+        low[node["path"]] = importance <= limit and node["depth"] >= 2
+        inner.setdefault(node["parent"], []).append((importance, depth))
+    out: list[int] = []
+    settled: set[int] = set()  # What goes, or stays, with a branch above.
+    for node in sorted(nodes, key=lambda n: n["depth"]):
+        path = node["path"]
+        if node["parent"] in settled or path in whole:
+            settled.add(path)
+        elif low[path]:
             out.append(path)
+            settled.add(path)
     return out
 
 
@@ -283,25 +376,20 @@ def _left_out(nodes: DataFrame) -> DataFrame:
 
     A host's tree has as many nodes as its templates have, however many pages it has.
     """
-    grouped = nodes.where((F.col("pages") >= MIN_PAGES)).groupBy("host").agg(
-        F.collect_list(F.struct("path", "look", "content")).alias("nodes")
-    )
+    row = F.struct("path", "parent", "depth", "is_content", "look", "content", "single")
+    grouped = nodes.groupBy("host").agg(F.collect_list(row).alias("nodes"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trees = batch.column("nodes").to_pylist()
-            out = [
-                unimportant_paths([(n["path"], n["look"], n["content"]) for n in tree])
-                for tree in trees
-            ]
+            out = [unimportant_paths(tree) for tree in batch.column("nodes").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), pa.array(out, pa.list_(pa.string()))], names=["host", "out"]
+                [batch.column("host"), pa.array(out, pa.list_(pa.int64()))], names=["host", "out"]
             )
 
-    return grouped.mapInArrow(decide, "host string, out array<string>").where(F.size("out") > 0)
+    return grouped.mapInArrow(decide, "host long, out array<long>").where(F.size("out") > 0)
 
 
-def main_text(root: Node, out: frozenset[str]) -> str:
+def main_text(root: Node, out: frozenset[int]) -> str:
     """The blocks of what is left of a page, one a line."""
     blocks: list[str] = []
     parts: list[str] = []
@@ -314,6 +402,8 @@ def main_text(root: Node, out: frozenset[str]) -> str:
 
     # (node, path, whether it closes) in page order, without recursion: pages nest deeply.
     dropped = noise(root)
+    if out and _repeats_others(root, out, dropped):
+        out = frozenset()
     for start, start_path in _content_roots(root, out, dropped):
         waiting = [(start, start_path, False)]
         while waiting:
@@ -335,14 +425,37 @@ def main_text(root: Node, out: frozenset[str]) -> str:
     return "\n".join(blocks)
 
 
+def _repeats_others(root: Node, out: frozenset[int], dropped: set[int]) -> bool:
+    """Whether counts would take more than half of a page's words and leave hardly any content:
+    then other pages repeat this one, and the counts tell nothing of what it is about."""
+    total = removed = content = 0
+    waiting = [(root, ROOT, False, False)]
+    while waiting:
+        node, path, gone, in_content = waiting.pop()
+        if node.text is not None:
+            words = len(node.text.split()) if node.name == "#text" else 0
+            total += words
+            removed += words if gone else 0
+            content += words if in_content and not gone else 0
+            continue
+        if id(node) in dropped:
+            continue
+        gone = gone or bool(node.name) and path in out
+        in_content = in_content or node.name in CONTENT_ELEMENTS
+        for child in node.children:
+            inner = path if child.text is not None or gone else _below(path, child)
+            waiting.append((child, inner, gone, in_content))
+    return 2 * removed > total and 4 * content < removed
+
+
 def _content_roots(
-    root: Node, out: frozenset[str], dropped: set[int]
-) -> list[tuple[Node, str]]:
+    root: Node, out: frozenset[int], dropped: set[int]
+) -> list[tuple[Node, int]]:
     """The main elements, or outermost articles, with their paths, if they have at least
     half of the words that are left of the page; otherwise the page."""
-    roots: dict[str, list[tuple[Node, str]]] = {"main": [], "article": []}
+    roots: dict[str, list[tuple[Node, int]]] = {"main": [], "article": []}
     words: Counter = Counter()
-    waiting = [(root, "", "")]
+    waiting = [(root, ROOT, "")]
     while waiting:
         node, path, inside = waiting.pop()
         if node.text is not None:
@@ -360,7 +473,7 @@ def _content_roots(
     for name, found in roots.items():
         if found and 2 * words[name] >= sum(words.values()):
             return found
-    return [(root, "")]
+    return [(root, ROOT)]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -368,10 +481,13 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url"),
-        host_of(F.col("url")).alias("host"),
+        F.xxhash64(host_of(F.col("url"))).alias("host"),
         F.coalesce(F.col("html"), F.lit("")).alias("html"),
     )
-    removed = _left_out(style_tree(rows))
+    removed = stored(_left_out(style_tree(rows)), "site-style-out")
+    paths = removed.agg(F.coalesce(F.sum(F.size("out") + 1), F.lit(0)).alias("n")).first().n
+    if paths <= BROADCAST_PATHS:
+        removed = F.broadcast(removed)
     known = rows.join(removed, "host", "left").select("page_id", "url", "html", "out")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
