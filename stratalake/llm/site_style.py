@@ -41,6 +41,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -58,7 +59,7 @@ MIN_PAGES = 2
 #: Most paths to leave out that are broadcast, 8 bytes each.
 BROADCAST_PATHS = 2_000_000
 #: Counts a task holds before it hands them on.
-_HELD_COUNTS = 200_000
+_HELD_COUNTS = 1_000_000
 
 #: Elements, roles and class words that say what a branch is.
 NOISE_ELEMENTS = frozenset(
@@ -239,36 +240,84 @@ COUNT_SCHEMA = (
 )
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
-    places: dict[int, tuple[int, int, bool]] = {}
+class _Numbers(dict):
+    """Numbers of words, in the order in which they are asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class _Counts:
+    """How many pages have each style and word of each path, until they are handed on.
 
-    def rows() -> pa.RecordBatch:
+    Words are counted by sorting numbers that hold a path's place and a word's.
+    """
+
+    def __init__(self):
+        self.numbers = _Numbers()
+        self.hashes: list[int] = []
+        self._clear()
+
+    def _clear(self) -> None:
+        self.places: dict[tuple[int, int], int] = {}
+        self.nodes: list[_Seen] = []
+        self.styles: Counter = Counter()
+        self.words: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.size = 0
+
+    def add(self, host: int, root: Node) -> None:
+        for path, own in _observations(root).items():
+            place = self.places.setdefault((host, path), len(self.places))
+            if place == len(self.nodes):
+                self.nodes.append(own)
+            self.styles[place, _hash("|".join(sorted(own.styles)))] += 1
+            numbers = map(self.numbers.__getitem__, own.words)
+            own_words = np.fromiter(numbers, np.int64, len(own.words))
+            self.words.append(own_words + (place << 32))
+            self.size += len(own_words) + 1
+
+    def rows(self) -> pa.RecordBatch:
+        """The counts so far, which begin anew."""
+        self.hashes += [_hash(w) for w in list(self.numbers)[len(self.hashes) :]]
+        both, n = np.unique(np.concatenate(self.words), return_counts=True)
+        hosts, paths = np.array(list(self.places), np.int64).reshape(-1, 2).T
+        hashes = np.array(self.hashes, np.int64)
+        of_style = np.array([place for place, _ in self.styles], np.int64)
+        at = np.concatenate([of_style, both >> 32])
+        style_hashes = np.array([value for _, value in self.styles], np.int64)
+        is_style = np.arange(len(at)) < len(of_style)
         # Where a path is in the tree goes with its styles alone.
-        keys = [(*key, n, *(places[key[1]] if key[2] else (None,) * 3)) for key, n in held.items()]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.int32(), pa.bool_()]
-        columns = list(zip(*keys)) or [()] * len(kinds)
+        nodes = [self.nodes[place] for place in of_style.tolist()]
+        none = [None] * len(both)
+        columns = [
+            pa.array(hosts[at]),
+            pa.array(paths[at]),
+            pa.array(is_style),
+            pa.array(np.concatenate([style_hashes, hashes[both & 0xFFFFFFFF]])),
+            pa.array(np.concatenate([np.array(list(self.styles.values()), np.int64), n])),
+            pa.array([node.parent for node in nodes] + none, pa.int64()),
+            pa.array([node.depth for node in nodes] + none, pa.int32()),
+            pa.array([node.content for node in nodes] + none, pa.bool_()),
+        ]
+        self._clear()
+        if len(self.numbers) > _HELD_COUNTS:
+            self.numbers.clear()
+            self.hashes.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, kind) for c, kind in zip(columns, kinds)],
-            names=[c.split()[0] for c in COUNT_SCHEMA.split(", ")],
+            columns, names=[c.split()[0] for c in COUNT_SCHEMA.split(", ")]
         )
 
-    hashes: dict[str, int] = {}
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = _Counts()
     for batch in slices(batches, "html"):
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            for path, own in _observations(parse(html)).items():
-                places[path] = (own.parent, own.depth, own.content)
-                held[host, path, True, _hash("|".join(sorted(own.styles)))] += 1
-                for word in own.words:
-                    value = hashes.get(word)
-                    if value is None:
-                        value = hashes[word] = _hash(word)
-                    held[host, path, False, value] += 1
-            if len(held) > _HELD_COUNTS:
-                yield rows()
-                for table in (held, places, hashes):
-                    table.clear()
-    yield rows()
+            counts.add(host, parse(html))
+            if counts.size > _HELD_COUNTS:
+                yield counts.rows()
+    if counts.size:
+        yield counts.rows()
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
