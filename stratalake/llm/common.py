@@ -12,7 +12,7 @@ from ..scratch import fresh_dir
 
 #: Texts are handled in slices of about this many bytes, so that a batch of very
 #: long texts needs no more memory than one of many short ones.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,10 +9,11 @@ A paragraph's vector has two parts:
 
 * ``IDENTITY_LANES`` lanes of 32 bits hashed from the whole paragraph; they tell texts
   apart (equal texts have equal lanes, others with a chance of 2**-256);
-* ``LIKENESS_LANES`` lanes of 16 bits: the paragraph's windows of ``WINDOW`` words add
+* ``LIKENESS_LANES`` lanes of 32 bits: the paragraph's windows of ``WINDOW`` words add
   +1 or -1 to each lane, by a bit of the window's hash. Lanes of texts that share
   windows are correlated, and the cosine of two texts' lanes estimates that of their
-  multisets of windows, with a standard error of about 1 / sqrt(lanes).
+  multisets of windows, with a standard error of about 1 / sqrt(lanes). A lane holds the
+  sum of 2**31 windows; a text, at most 2**31 bytes long, has fewer.
 
 Everything is DataFrame functions. A document's windows are summed in the task that
 has the document: the data are shuffled once, by ranges of ``doc_id``, to find each
@@ -35,7 +36,7 @@ IDENTITY_LANES = 8
 LIKENESS_LANES = 64
 WINDOW = 3
 _LOW = (1 << 32) - 1
-_MODULUS = 1 << 16
+_MODULUS = 1 << 32
 #: Ranges of ids for each shuffle partition.
 RANGES_PER_PARTITION = 4
 _FIRST = -(1 << 63)
@@ -72,23 +73,18 @@ def _lanes(texts: DataFrame, keys: list[str]) -> DataFrame:
         F.sum(F.shiftrightunsigned(whole[i // 2], 32 * (i % 2)).bitwiseAND(_lit(_LOW))).alias(f"i{i}")
         for i in range(IDENTITY_LANES)
     ]
-    # Two lanes share a sum, as its upper and its lower 32 bits.
     ones = [
-        F.sum(F.shiftrightunsigned("hash", i).bitwiseAND(_lit(1 << 32 | 1))).alias(f"s{i}")
-        for i in range(LIKENESS_LANES // 2)
+        F.sum(F.shiftrightunsigned("hash", i).bitwiseAND(_lit(1))).alias(f"s{i}")
+        for i in range(LIKENESS_LANES)
     ]
     sums = windows.groupBy(*keys).agg(*identity, *ones, F.count("hash").alias("n"))
-    pairs = F.array(*(F.coalesce(f"s{i}", _lit(0)) for i in range(LIKENESS_LANES // 2)))
-    halves = F.concat(
-        F.transform(pairs, lambda x: x.bitwiseAND(_lit(_LOW))),
-        F.transform(pairs, lambda x: F.shiftrightunsigned(x, 32)),
-    )
+    ones = F.array(*(F.coalesce(f"s{i}", _lit(0)) for i in range(LIKENESS_LANES)))
     return sums.select(
         *keys,
         F.transform(
             F.array(*(f"i{i}" for i in range(IDENTITY_LANES))), lambda x: x.bitwiseAND(_lit(_LOW))
         ).alias("identity"),
-        F.transform(halves, lambda x: F.pmod(2 * x - F.col("n"), _lit(_MODULUS))).alias("likeness"),
+        F.transform(ones, lambda x: F.pmod(2 * x - F.col("n"), _lit(_MODULUS))).alias("likeness"),
     )
 
 
@@ -102,7 +98,7 @@ def _hex(lanes: Column, digits: int) -> Column:
 
 def as_text(identity: Column, likeness: Column) -> Column:
     """A fingerprint in lowercase hexadecimal digits: identity lanes, then likeness lanes."""
-    return F.lower(F.concat(_hex(identity, 8), _hex(likeness, 4)))
+    return F.lower(F.concat(_hex(identity, 8), _hex(likeness, 8)))
 
 
 def combined(left: Column, right: Column, bits: int, sign: int = 1) -> Column:

@@ -568,10 +568,11 @@ def keep_one(docs: DataFrame, n: int, ratio: Ratio) -> DataFrame:
         ),
         "jaccard-kept",
     )
-    gone = stored(by_id.where("not stays").select(F.col("doc_id").alias("id")), "jaccard-gone")
-    left = docs.join(_checked(gone), F.col("doc_id") == F.col("id"), "left_anti")
-    repeated = by_id.where("stays and rows > 1").select(F.col("doc_id").alias("id"))
-    repeated = _checked(stored(repeated, "jaccard-repeated"))
-    again = F.col("doc_id") == F.col("id")
-    once = left.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, again, "left_anti").unionByName(once)
+    # Names that no column of the documents is likely to have.
+    named = F.col("doc_id").alias("__jaccard_id")
+    gone = stored(by_id.where("not stays").select(named), "jaccard-gone")
+    same = F.col("doc_id") == F.col("__jaccard_id")
+    left = docs.join(_checked(gone), same, "left_anti")
+    repeated = _checked(stored(by_id.where("stays and rows > 1").select(named), "jaccard-repeated"))
+    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, same, "left_anti").unionByName(once)

@@ -37,7 +37,7 @@ MIN_SCORE = 0.1
 _BLANK = 1
 _CODE_BITS = 21
 #: N-grams a task holds before it merges equal ones.
-_HELD_GRAMS = 4_000_000
+_HELD_GRAMS = 1_000_000
 
 
 @lru_cache(maxsize=1)

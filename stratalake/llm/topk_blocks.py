@@ -43,6 +43,8 @@ QUERY_GROUP = 1024
 #: Blocks in which the floor of a query's k-th score is found.
 FIRST_BLOCKS = 4
 _EXACT = 2.0**53
+#: No score that fits 64 bits is below this.
+_LEAST = -(1 << 63)
 
 #: Blocks of one list: what a task holds at a time.
 LIST_BLOCKS = 400
@@ -243,7 +245,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     row = F.min(F.struct("dims", "weights")).alias("row")
     unbounded = queries.groupBy("vec_id").agg(row).select(
-        "vec_id", "row.*", F.lit(-(1 << 62)).cast("long").alias("floor")
+        "vec_id", "row.*", F.lit(_LEAST).cast("long").alias("floor")
     )
     first = _scored(met(unbounded), k, FIRST_BLOCKS)
     kth = _best(first, k).where(F.col("rank") == k).groupBy("query_id").agg(

@@ -176,6 +176,17 @@ def test_odd_vectors(spark):
     assert topk_blocks.search(vectors, none).collect() == []
 
 
+def test_scores_near_the_ends_of_64_bits(spark):
+    frame = spark.createDataFrame(
+        [(0, [float(1 << 21)]), (1, [-float(1 << 21)]), (2, [-1.2 * (1 << 21)]), (3, [1.9 * (1 << 21)])],
+        "vec_id long, embedding array<double>",
+    )
+    vectors = topk_blocks.integer_vectors(frame)
+    found = topk_blocks.search(vectors, vectors.where("vec_id = 0"), k=10).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"])] == [3, 1, 2]
+    assert min(r.score for r in found) < -(1 << 62)
+
+
 def test_blocks_prune_without_loss(spark):
     chance = np.random.default_rng(3)
     centres = chance.normal(size=(8, 6)) * 4
@@ -223,7 +234,7 @@ def test_fingerprints_are_homomorphic(spark):
     docs = spark.createDataFrame(rows, "key long, text string")
     lanes = {r.key: r for r in fingerprint._lanes(docs.repartition(2, "key"), ["key"]).collect()}
     add = lambda a, b, m: [(x + y) % m for x, y in zip(a, b)]
-    for part, modulus in (("identity", 1 << 32), ("likeness", 1 << 16)):
+    for part, modulus in (("identity", 1 << 32), ("likeness", 1 << 32)):
         assert lanes[1][part] == lanes[2][part]
         assert lanes[1][part] == add(lanes[3][part], lanes[4][part], modulus)
         assert lanes[5][part] == add(lanes[3][part], lanes[3][part], modulus)
@@ -238,6 +249,16 @@ def test_fingerprints_are_homomorphic(spark):
     assert joined.select(both == joined.c, back == joined.a).first() == (True, True)
 
 
+def test_likeness_of_windows_that_occur_very_often(spark):
+    text = "a " * 100_000
+    docs = spark.createDataFrame(
+        [(1, text), (2, text + "b c d"), (3, "x y z " * 50_000)], "doc_id long, text string"
+    )
+    rows = {r.doc_id: r for r in fingerprint.compare(docs).collect()}
+    assert rows[1].near_next > 0.999 and rows[1].near_edited > 0.999
+    assert rows[2].near_next < 0.5
+
+
 def test_odd_fingerprints(spark, odd, none):
     rows = fingerprint.compare(odd).collect()
     assert len(rows) == odd.count()

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_queries_are_registered():
     assert ALL.keys() | {"pipeline"} <= queries().keys()
     numbers = sorted(int(name[2:].split("_")[0]) for name in ALL)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert not ALL.keys() & oracle_sql().keys()
 
 
@@ -52,5 +52,14 @@ def test_odd_rows_pass_every_stage(spark, odd, none):
         assert docs.columns == ["doc_id", "ids", "n_tokens"]
 
 
+def test_columns_named_like_those_of_the_stages(spark, small):
+    clashing = small.limit(40).selectExpr("*", "doc_id AS id", "text AS row", "'x' AS size")
+    docs = clashing
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = _stored(spark, stage, docs)
+        assert docs.columns == clashing.columns
+    assert docs.count() > 0
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
