@@ -8,6 +8,7 @@ from .tables import (
     materialize,
     overwrite_files,
     publish_version,
+    recover_table,
     register_table,
     reused,
     table_detail,
@@ -24,6 +25,7 @@ __all__ = [
     "overwrite_files",
     "publish_version",
     "read_log",
+    "recover_table",
     "register_table",
     "reused",
     "rule_totals",

@@ -15,6 +15,7 @@ from .tables import (
     overwrite_files,
     partition_columns,
     publish_version,
+    recover_table,
     register_table,
     sql_text,
 )
@@ -40,6 +41,7 @@ def upsert(source: DataFrame, name: str, keys: str | Sequence[str], root: str) -
     """
     spark = source.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
+    recover_table(spark, name)
     feeds.complete(spark, name)
     target = spark.table(name)
     extra = [c for c in target.columns if c not in source.columns]

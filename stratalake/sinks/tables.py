@@ -11,6 +11,7 @@ the files that count, so only that stream may write to it.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -75,9 +76,12 @@ def register_table(
     """Register the Parquet files at ``path`` under ``name``, in place of what it named.
 
     The new entry is made beside the old one and then takes its name; if anything fails,
-    the old entry is back under it. The files are not touched. Without a ``schema`` the columns are taken from
+    the old entry is back under it. If the driver is lost between the two renames, the name
+    is without a table until ``recover_table``, or the next registration, puts the old one
+    back. The files are not touched. Without a ``schema`` the columns are taken from
     them, and partition values that look like numbers become numbers.
     """
+    recover_table(spark, name)
     columns = ""
     if schema is not None:
         columns = f" ({nullable_ddl(schema)})"
@@ -114,6 +118,28 @@ def _take_name(spark: SparkSession, entry: str, name: str) -> None:
     spark.sql(f"DROP TABLE {old}")
 
 
+def recover_table(spark: SparkSession, name: str) -> bool:
+    """Put the table that a registration was replacing back under its name, if a driver was
+    lost in between, and remove what that registration left; whether the table exists."""
+    old, new = (_left_beside(spark, name, label) for label in ("old", "new"))
+    if not spark.catalog.tableExists(name) and old:
+        spark.sql(f"ALTER TABLE {old.pop()} RENAME TO {name}")
+    # Entries only: the files of external tables stay.
+    for entry in old + new:
+        spark.sql(f"DROP TABLE IF EXISTS {entry}")
+    return spark.catalog.tableExists(name)
+
+
+def _left_beside(spark: SparkSession, name: str, label: str) -> list[str]:
+    """Entries that ``_beside`` named and that are still there."""
+    database, _, table = name.replace("`", "").rpartition(".")
+    within = f"IN {database} " if database else ""
+    listed = spark.sql(f"SHOW TABLES {within}LIKE '{table.lower()}_{label}_*'").collect()
+    own = re.compile(rf"{re.escape(table)}_{label}_[0-9a-f]{{12}}", re.IGNORECASE)
+    prefix = f"{database}." if database else ""
+    return sorted(prefix + row.tableName for row in listed if own.fullmatch(row.tableName))
+
+
 def _beside(name: str, label: str) -> str:
     """A name of its own in the same database."""
     suffix = f"_{label}_{uuid.uuid4().hex[:12]}"

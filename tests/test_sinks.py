@@ -271,6 +271,25 @@ def test_reused_frame_is_released(spark):
     assert not df.storageLevel.useMemory
 
 
+def test_a_driver_lost_between_renames_leaves_a_table_to_recover(spark, folder):
+    name = fresh_name("t")
+    publish_version(frame(spark, (1, 10)), name, f"{folder}/first")
+    old, new = f"{name}_old_0123456789ab", f"{name}_new_0123456789ab"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"CREATE TABLE {new} USING parquet LOCATION '{folder}/first'")
+    spark.sql(f"CREATE TABLE {name}_old_of_mine (k int) USING parquet")
+    assert tables.recover_table(spark, name)
+    assert rows(spark.table(name)) == [(1, 10)]
+    left = [row.tableName for row in spark.sql(f"SHOW TABLES LIKE '{name}*'").collect()]
+    assert sorted(left) == [name, f"{name}_old_of_mine"]
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    assert rows(upsert(frame(spark, (1, 11)), name, "k", folder)) == [(1, 11)]
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    register_table(spark, name, f"{folder}/first")
+    assert rows(spark.table(name)) == [(1, 10)]
+    assert tables.recover_table(spark, fresh_name("none")) is False
+
+
 def test_failed_registration_leaves_the_table(spark, folder, monkeypatch):
     name = publish_version(frame(spark, (1, 10)), "kept_entry", f"{folder}/first")
     before = sorted(map(tuple, name.collect()))
