@@ -13,7 +13,8 @@ from stratalake.operators import with_key_stats
 from stratalake.plans import purchase_orders as po
 from stratalake.queries import ALL
 from stratalake.scratch import fresh_dir, scratch_root
-from stratalake.sinks.tables import _merged, overwrite_files
+from stratalake.sinks.merge import _merged
+from stratalake.sinks.tables import overwrite_files
 from stratalake.sources import read_json, read_xml_rows, with_source_path
 
 
