@@ -38,7 +38,7 @@ PRETOKENS = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
 #: Fragments a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 #: Longer fragments are not worth remembering.
 _LONG = 64
 

@@ -57,6 +57,8 @@ FREQUENT = 32
 LONG_LIST = 64
 #: Shingles that are put last, at most: what is sent to every task.
 MAX_FREQUENT = 200_000
+#: Shingles a task holds before it counts them.
+COUNTED_AT_ONCE = 2_000_000
 #: Subsets a light set may have.
 MAX_SUBSETS = 1500
 #: Rows up to which a side of a join is broadcast.
@@ -192,7 +194,7 @@ def _frequent(heads: DataFrame) -> np.ndarray:
             for low, end, start in zip(lows, ends, [0, *ends[:-1]]):
                 held.append(flat[start : min(end, start + low)])
                 size += len(held[-1])
-            if size > 8_000_000:
+            if size > COUNTED_AT_ONCE:
                 yield counted()
                 held, size = [], 0
         if held:

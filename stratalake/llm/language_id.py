@@ -38,6 +38,8 @@ _BLANK = 1
 _CODE_BITS = 21
 #: N-grams a task holds before it merges equal ones.
 _HELD_GRAMS = 1_000_000
+#: N-grams a task reads before it counts them.
+_NEW_GRAMS = 500_000
 
 
 @lru_cache(maxsize=1)
@@ -72,7 +74,8 @@ def ranked(text: str | None, size: int) -> np.ndarray:
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n) for what a task has read, merged as it goes."""
     held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-    size = 0
+    new: dict[str, list[np.ndarray]] = {}
+    size = n_new = 0
 
     def merged(parts):
         keys = np.concatenate([k for k, _ in parts])
@@ -88,20 +91,29 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["lang", "gram", "n"],
             )
 
-    for batch in slices(batches, "text"):
-        by_lang: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            by_lang.setdefault(lang, []).append(grams(text))
-        for lang, parts in by_lang.items():
+    def count_new() -> int:
+        added = 0
+        for lang, parts in new.items():
             keys, counts = np.unique(np.concatenate(parts), return_counts=True)
             held.setdefault(lang, []).append((keys, counts))
-            size += len(keys)
+            added += len(keys)
+        new.clear()
+        return added
+
+    for batch in slices(batches, "text"):
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            found = grams(text)
+            new.setdefault(lang, []).append(found)
+            n_new += len(found)
+            if n_new > _NEW_GRAMS:
+                size, n_new = size + count_new(), 0
         if size > _HELD_GRAMS:
             held = {lang: [merged(parts)] for lang, parts in held.items()}
             size = sum(len(keys) for parts in held.values() for keys, _ in parts)
             if size > _HELD_GRAMS // 2:
                 yield from rows()
                 held, size = {}, 0
+    count_new()
     yield from rows()
 
 
