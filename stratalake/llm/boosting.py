@@ -18,6 +18,8 @@ RATE = 0.3
 DEPTH = 3
 #: Weight added to a leaf's curvature, so that few rows move it little.
 SHRINK = 4.0
+#: Margins this near are calibrated together.
+STEP = 0.5
 
 
 @dataclass(frozen=True)
@@ -133,3 +135,40 @@ def threshold(model: Boosted, rows: list[Counted], precision: float) -> float |
         if ones >= precision * (zeros + ones) and own[1] >= precision * sum(own):
             found = margin
     return found
+
+
+def unlabelled_threshold(
+    model: Boosted,
+    rows: list[tuple[dict[str, int], bool, int, int]],
+    precision: float,
+    share: float,
+    chance: float,
+) -> float | None:
+    """The lowest margin from which at least ``precision`` of the unsure rows are positive.
+
+    Rows are (features, surely positive, evidence 0 or 1, number). Evidence turns up for
+    ``share`` of the positive rows and ``chance`` of the others, so of n unsure rows with
+    evidence for e, (e - chance * n) / (share - chance) are positive. Rows of nearly the
+    same margin are taken together; a group whose own share is too low, by more than two
+    standard errors, ends the search.
+    """
+    groups: dict[int, list[int]] = {}
+    for row, sure, evident, n in rows:
+        own = groups.setdefault(math.floor(model.margin(row) / STEP + 1e-9), [0, 0])
+        if not sure:
+            own[0] += n
+            own[1] += n * evident
+
+    def enough(n: int, evident: int, errors: int) -> bool:
+        slack = errors * math.sqrt(n * share * (1 - share))
+        return evident - chance * n + slack >= precision * (share - chance) * n
+
+    found, all_n, all_evident = None, 0, 0
+    for group in sorted(groups, reverse=True):
+        n, evident = groups[group]
+        all_n, all_evident = all_n + n, all_evident + evident
+        if not enough(n, evident, 2):
+            break
+        if enough(all_n, all_evident, 0):
+            found = group * STEP
+    return found

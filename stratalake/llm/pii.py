@@ -4,19 +4,28 @@ Base patterns with checks (octets, Luhn digits, digit counts) give spans that ar
 kept. Written-out addresses (``jane [at] mail [dot] com``), which are e-mail addresses
 once their words in brackets are read as signs, are always added, as spans of kind
 ``contact``. High-recall generators propose further spans, which may overlap: what may
-be an address, and any run of digits and separators. Each proposal is described by
-format features (digits, groups, separators, shape) and context features (words before
-it, what touches it). Boosted trees, one model per generator, learn from the proposals
-of all texts: one that is a base span or a written-out address is a positive example,
-another a negative one; the checks that define those are no features. On the examples of
-a held-out part a threshold is calibrated for ``PRECISION``, and proposals above it are
-added as spans of kind ``contact`` or ``number``.
-
-Proposals are counted by feature vector in Spark, so what reaches the driver to be
-fitted is bounded by the features' ranges. Scores are ``when`` expressions. A text's
-spans are found and joined in its own row: no shuffle but that of the counts. Patterns
-repeat groups possessively, which the regular-expression engine does without recursion,
-so that very long runs are matched too.
+be an address, and any run of at least ``LEAST_DIGITS`` digits with separators. Each
+proposal is described by format features (digits, groups, separators, shape) and context
+features (what touches it, what sign stands before it). Boosted trees, one model per
+generator, learn from the proposals of all texts, each value counted once a feature vector.
+
+Positive examples are the known spans and, beyond the base formats, proposals whose value
+there is evidence for: a known span elsewhere has it, or a word in front of one of its
+occurrences announces it. Neither is a feature, so the trees learn what such values look
+like and find others of that look without a word before them. Not every value is
+announced: how many are is measured on the known spans, and how many are announced by
+chance on proposals that stand within a longer word. From both follows, for every score,
+what share of the proposals that are not known spans is personal data. Values that were
+held out of the fit calibrate the threshold so that this share is ``PRECISION`` at least;
+proposals above it are added as spans of kind ``contact`` or ``number``. Without announced
+known spans every proposal counts as what its own evidence says.
+
+Proposals are counted by value and feature vector in Spark, then by feature vector, so
+what reaches the driver to be fitted is bounded by the features' ranges. Scores are
+``when`` expressions. A text's spans are found and joined in its own row: no shuffle but
+those of the counts. Patterns repeat groups possessively, which the regular-expression
+engine does without recursion, and begin only where a run of their characters does or
+where the last match ended, so that very long runs are matched too, and read once.
 
 Offsets are code points, ends exclusive. Defined results: null and empty texts have no
 spans; repeated rows are handled once each; without positive or without negative
@@ -27,16 +36,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .boosting import Boosted, fit, threshold
+from .boosting import Boosted, fit, unlabelled_threshold
 
+#: Where a run begins, or the last match ended: from any later place the run ends alike.
+_RUN = r"(?:(?<![A-Za-z0-9._%+-])|\G)"
 #: The kinds in their order and the base patterns. Groups are repeated
 #: possessively; nothing follows them, so they match as they would greedily.
 BASE = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "email": _RUN + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -51,7 +62,7 @@ _NEEDED = {
     "number": lambda text: text.rlike(r"(?:[0-9][\x20().\-/]{0,3}){6}[0-9]"),
 }
 PROPOSED = {
-    "contact": r"(?i)[A-Z0-9][A-Z0-9._%+-]*+\x20?(?:@|[(\[{]\x20?at\x20?[)\]}])\x20?"
+    "contact": r"(?i)" + _RUN + r"[A-Z0-9._%+-]++\x20?(?:@|[(\[{]\x20?at\x20?[)\]}])\x20?"
     r"[A-Z0-9-]++(?:\x20?(?:\.|[(\[{]\x20?dot\x20?[)\]}])\x20?[A-Z0-9-]++)*+",
     "number": r"[+(]?[0-9](?:[\x20().\-/]{0,3}+[0-9])++",
 }
@@ -59,20 +70,27 @@ _AT = r"\x20?[(\[{]\x20?at\x20?[)\]}]\x20?"
 _DOT = r"\x20?[(\[{]\x20?dot\x20?[)\]}]\x20?"
 #: E-mail addresses with some of their signs as words in brackets, or without any.
 WRITTEN = (
-    rf"(?i)[A-Z0-9._%+-]++(?:{_DOT}[A-Z0-9._%+-]++)*+(?:\x20?@\x20?|{_AT})"
+    rf"(?i)(?<!dot\x20?[)\]}}]\x20?){_RUN}[A-Z0-9._%+-]++(?:{_DOT}[A-Z0-9._%+-]++)*+(?:\x20?@\x20?|{_AT})"
     rf"[A-Z0-9-]++(?:(?:\.|{_DOT})[A-Z0-9-]++)++"
 )
 KINDS = (*BASE, *PROPOSED)
 #: What needs no model.
 KNOWN = (*BASE, "written")
-#: Least share of base spans among held-out proposals above a threshold.
-PRECISION = 0.98
+#: Least share of personal data among the added proposals above a threshold.
+PRECISION = 0.9
+#: Digits of a proposed number, at least.
+LEAST_DIGITS = 7
+#: Announced values from which their share is measured.
+LEAST_ANNOUNCED = 10
 #: Characters of context before a proposal.
 BEFORE = 24
 #: Words that announce personal data.
 CONTEXT = {
-    "contact": r"(?i)\b(?:e-?mail|mail|contact|write|reply|address)\b",
-    "number": r"(?i)\b(?:tel|phone|call|fax|mobile|cell|contact|card|visa|account|ssn|ip|host)\b",
+    "contact": r"(?i)\b(?:e-?mail|mail|contact|write|reply|address|adresse|kontakt|correo"
+    r"|courriel|contacto|direcci\u00f3n)\b",
+    "number": r"(?i)\b(?:tel|phone|call|fax|mobile|cell|contact|card|visa|account|ssn|ip|host"
+    r"|passport|iban|telefon|handy|konto|karte|tel\u00e9fono|m\u00f3vil|cuenta|tarjeta"
+    r"|t\u00e9l|t\u00e9l\u00e9phone|portable|compte|carte)\b",
 }
 _CHUNK = 64
 
@@ -175,22 +193,37 @@ def _capped(count: Column, most: int) -> Column:
     return F.least(count, F.lit(most)).cast("int")
 
 
+def _eligible(kind: str, span: Column) -> Column:
+    """Whether a proposal is one at all: what is shorter is neither learned nor added."""
+    return F.length(_digits(span["value"])) >= LEAST_DIGITS if kind == "number" else F.lit(True)
+
+
+def _key(kind: str, value: Column) -> Column:
+    """The value without its format: digits, or an address with its signs read."""
+    if kind == "number":
+        return _digits(value)
+    signs = F.regexp_replace(F.regexp_replace(value, rf"(?i){_AT}", "@"), rf"(?i){_DOT}", ".")
+    return F.lower(F.regexp_replace(signs, r"\x20", ""))
+
+
 def _features(kind: str, span: Column) -> dict[str, Column]:
     """Small whole numbers; their ranges bound the number of distinct vectors."""
     value, before, after = span["value"], span["before"], span["after"]
     flag = lambda condition: condition.cast("int")
     groups = F.size(F.split(F.regexp_replace(value, "^[^0-9]+", ""), "[^0-9]+"))
-    touching = {
+    around = {
         "touched_before": flag(before.rlike(r"[\p{L}\p{N}_./-]$")),
         "touched_after": flag(after.rlike(r"^[\p{L}\p{N}_/-]")),
-        "announced": flag(before.rlike(CONTEXT[kind])),
+        "assigned": flag(before.rlike(r"[=#$]\x20?$")),
     }
     if kind == "contact":
-        return touching | {
+        return around | {
             "first_letters": _capped(F.length(F.regexp_extract(value, "^([A-Za-z]*)", 1)), 7),
             "last_letters": _capped(F.length(F.regexp_extract(value, "([A-Za-z]*)$", 1)), 7),
+            "dots": _capped(_count_of(F.regexp_extract(value, r"@(.*)$", 1), "."), 3),
+            "spaces": _capped(_count_of(value, r"\x20"), 2),
         }
-    return touching | {
+    return around | {
         "digits": _capped(F.length(_digits(value)), 20),
         "groups": _capped(groups, 6),
         "first_group": _capped(F.length(F.regexp_extract(value, "([0-9]+)", 1)), 5),
@@ -250,33 +283,75 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text", F.coalesce("text", F.lit("")))
 
 
+def examples(docs: DataFrame, kind: str) -> DataFrame:
+    """A generator's proposals counted by features and evidence, each value once a vector.
+
+    ``is_known``: a known span. ``evident``: one, or a value that is known or announced
+    somewhere. ``announced``: a value that is announced somewhere. ``calibrates``: a value
+    that is held out of the fit.
+    """
+    found = located(texts(docs).select("text"))
+    # A plain explode would search every text once more, to leave out those without.
+    spans = found.select(F.explode_outer(f"pii_{kind}").alias("span")).where("span is not null")
+    span = F.col("span")
+    features = _features(kind, span)
+    flag = lambda condition: F.max(condition.cast("int"))
+    values = (
+        spans.where(_eligible(kind, span))
+        .groupBy(
+            F.xxhash64(_key(kind, span["value"])).alias("value"),
+            *(c.alias(n) for n, c in features.items()),
+            span["is_known"].alias("is_known"),
+        )
+        .agg(flag(span["before"].rlike(CONTEXT[kind])).alias("announced"))
+    )
+    # A value has few vectors, however often it occurs.
+    everywhere = Window.partitionBy("value")
+    seen = values.withColumns(
+        {
+            "announced": F.max("announced").over(everywhere) == 1,
+            "evident": F.max(F.col("is_known").cast("int")).over(everywhere) == 1,
+        }
+    )
+    by = [*features, "is_known", "evident", "announced", "calibrates"]
+    return (
+        seen.withColumn("evident", F.col("evident") | F.col("announced"))
+        .withColumn("calibrates", F.pmod("value", F.lit(4)) == 0)
+        .groupBy(*by)
+        .count()
+        .orderBy(*by)
+    )
+
+
+def _share(rows: list, chosen) -> float | None:
+    """The announced share of the chosen rows, if enough of them are announced to tell."""
+    total = sum(r["count"] for r in rows if chosen(r))
+    announced = sum(r["count"] for r in rows if chosen(r) and r["announced"])
+    return announced / total if announced >= LEAST_ANNOUNCED else None
+
+
 def train(docs: DataFrame, precision: float = PRECISION) -> dict[str, tuple[Boosted, float]]:
     """Each generator's model and threshold, from the proposals of all texts."""
-    found = located(texts(docs).select("text"))
     models = {}
     for kind in PROPOSED:
-        # A plain explode would search every text once more, to leave out those without.
-        spans = found.select(F.explode_outer(f"pii_{kind}").alias("span")).where("span is not null")
-        part = F.pmod(F.xxhash64("span.value", "span.before"), F.lit(4)) == 0
-        features = _features(kind, F.col("span"))
-        names = list(features)
-        counted = (
-            spans.select(
-                *(c.alias(n) for n, c in features.items()),
-                F.col("span.is_known").cast("int").alias("label"),
-                part.alias("calibrates"),
-            )
-            .groupBy(*names, "label", "calibrates")
-            .count()
-            .orderBy(*names, "label", "calibrates")
-            .collect()
-        )
-        rows = [({n: r[n] for n in names}, r["label"], r["count"], r["calibrates"]) for r in counted]
-        learn = [r[:3] for r in rows if not r[3]]
-        held = [r[:3] for r in rows if r[3]]
-        if len({label for _, label, _ in learn}) == 2 and held:
+        rows = examples(docs, kind).collect()
+        if not rows:
+            continue
+        evidence = ("is_known", "evident", "announced", "calibrates", "count")
+        names = [n for n in rows[0].asDict() if n not in evidence]
+        touched = lambda r: r["touched_before"] or r["touched_after"]
+        share = _share(rows, lambda r: r["is_known"]) or 1.0
+        chance = _share(rows, lambda r: not r["is_known"] and touched(r)) or 0.0
+        vector = lambda r: {n: r[n] for n in names}
+        learn = [(vector(r), int(r["evident"]), r["count"]) for r in rows if not r["calibrates"]]
+        held = [
+            (vector(r), r["is_known"], int(r["evident"]), r["count"])
+            for r in rows
+            if r["calibrates"]
+        ]
+        if len({label for _, label, _ in learn}) == 2 and held and chance < share:
             model = fit(learn)
-            limit = threshold(model, held, precision)
+            limit = unlabelled_threshold(model, held, precision, share, chance)
             if limit is not None:
                 models[kind] = (model, limit)
     return models
@@ -296,7 +371,9 @@ def with_spans(docs: DataFrame, models: dict[str, tuple[Boosted, float]]) -> Dat
         model, limit = models[kind]
         return F.filter(
             f"pii_{kind}",
-            lambda s: ~s["is_known"] & (model.column(_features(kind, s)) >= limit - 1e-9),
+            lambda s: ~s["is_known"]
+            & _eligible(kind, s)
+            & (model.column(_features(kind, s)) >= limit - 1e-9),
         )
 
     base = F.concat(*(F.transform(f"pii_{k}", plain(k)) for k in BASE))

@@ -114,6 +114,80 @@ def test_written_out_addresses_are_added_whatever_their_share(spark, real, other
     assert not any(found[1000 + i] for i in range(other))
 
 
+def _hidden(i: int) -> str:
+    return f"{200 + i * 7 % 700}-555-{i * 37 % 10000:04d}"
+
+
+def test_numbers_beyond_the_base_formats_are_found_without_announcement(spark):
+    """Local numbers, announced in part, among order numbers and dates that are not."""
+    rows, planted = [], {}
+    for i in range(600):
+        word = ["call", "so"][i % 5 > 2]
+        rows.append((i, f"{word} +1 (499) 555-{i:04d} later"))
+        word = ["phone", "then"][i % 5 > 2]
+        rows.append((1000 + i, f"{word} {_hidden(i)} will do"))
+        planted[1000 + i] = _hidden(i)
+        rows.append((2000 + i, f"it was part {i * 7919 % 10**8:08d} on 20{i % 30:02d}-11-{i % 28:02d}."))
+        rows.append((3000 + i, f"see key{i * 104729 % 10**10:010d}x and 4{i:015d} there"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    models = pii.train(docs)
+    found = {r.doc_id: r.spans for r in pii.report(docs, models).collect()}
+    right = sum(
+        f"number:{t.index(planted[i])}:{t.index(planted[i]) + 12}" in found[i]
+        for i, t in rows
+        if i in planted
+    )
+    wrong = sum("number" in s for i, s in found.items() if i not in planted)
+    assert right >= 0.95 * len(planted)
+    assert wrong <= 0.05 * right
+    assert all(found[i].startswith("phone:") for i in range(600))
+
+
+def test_without_evidence_nothing_is_added(spark):
+    rows = [(i, f"oh +1 (499) 555-{i:04d} later") for i in range(200)]
+    rows += [(1000 + i, f"so {_hidden(i)} it is") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.report(docs, pii.train(docs)).collect()}
+    assert not any(found[1000 + i] for i in range(200))
+
+
+def test_a_value_counts_once_however_often_it_occurs(spark):
+    rows = [(i, "call 499-555-0101 now") for i in range(300)]
+    rows += [(1000 + i, f"tel +1 (499) 555-{i:04d}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counted = pii.examples(docs, "number").where("not is_known").collect()
+    assert [(r["count"], r.announced, r.evident) for r in counted] == [(1, True, True)]
+
+
+def test_evidence_is_corrected_for_what_is_not_announced():
+    model = boosting.fit([({"a": 1}, 1, 500), ({"a": 1}, 0, 500), ({"a": 0}, 0, 900)])
+    held = [({"a": 1}, False, 1, 50), ({"a": 1}, False, 0, 50), ({"a": 0}, False, 0, 90)]
+    limit = boosting.unlabelled_threshold(model, held, 0.9, 0.5, 0.0)
+    assert model.margin({"a": 0}) < limit <= model.margin({"a": 1}) + 1e-9
+    assert boosting.unlabelled_threshold(model, held, 0.9, 1.0, 0.0) is None
+    assert boosting.unlabelled_threshold(model, [], 0.9, 1.0, 0.0) is None
+
+
+LONG_RUNS = ["a" * 1_000_000, "1" * 1_000_000, "a." * 500_000, "a [dot] " * 125_000, "+(" * 500_000]
+
+
+@pytest.mark.parametrize("run", LONG_RUNS)
+def test_a_long_run_is_read_once(spark, run):
+    text = f"{run} x y@z.example [at] 1.2.3.4 +1 (499) 555-6503"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    row = pii.report(docs, pii.train(docs)).first()
+    assert time.monotonic() - began < 30
+    assert (row.n_email, row.n_ip) == (1, 1)
+
+
+def test_matches_that_touch_are_all_found(spark):
+    texts = ["a@b.c_d@e.f g@h.i%j@k.l", "1.2.3.4.5.6.7.8 1.2.3.4", "x@y.z-@q.r._@s.t", "@a@b.c.d@e"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.report(docs, {}).collect():
+        assert r.spans == written(plain_pii(texts[r.doc_id]), PII_KINDS)
+
+
 def test_a_surplus_lets_no_other_group_in():
     rows = [({"a": 1}, 1, 1000), ({"a": 0}, 0, 5)]
     model = boosting.fit(rows)
