@@ -9,12 +9,19 @@ each query and scores them through their forward indexes until the next bound fa
 below the query's k-th score; ties of bound and k-th score are still scored, because
 a tie is decided by the smaller id.
 
-Two rounds share the work. First each query is scored in the few blocks with its
-highest bounds; the k-th score found there is a floor for the second round, in which
-every other block is visited once with all queries that its bound does not exclude.
-Blocks are spread over the tasks and queries are sent to them in groups, so that a
-task holds a group of queries and a block at a time; a query's best k of each task
-meet in a window that keeps k rows per task before its shuffle.
+Two rounds share the work. The maxima and minima of all blocks, a small part of the
+index, are met by every query first, and each is scored in the ``FIRST_BLOCKS`` blocks
+of the highest bounds there are; the k-th score found is its floor. Queries then meet
+the bounds once more, and only those that a list of blocks cannot exclude are sent to
+it, to visit the list's blocks by falling bound until their floor, which rises, excludes
+the rest.
+
+Where queries meet blocks, rows of both are shuffled by the place where they meet and
+sorted, blocks first: a task holds the blocks of one list (``LIST_BYTES``) and reads the
+queries past them, ``QUERY_GROUP`` at a time. Queries are in parts of ``QUERY_PART``, and
+a place that all of them come to is one of its own for every part, so that no task has to
+read them all. A query's best k of each list meet in a window that keeps k rows per task
+before its shuffle.
 
 Components x become floor(1024 * x) by default. Scores are sums of products in
 doubles where these are exact and in Python's integers beyond; a score that does not
@@ -27,27 +34,30 @@ than k candidates are all returned. Components too large for 64 bits are an erro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
 SCALE = 1024
 BLOCK_SIZE = 256
-#: Queries that meet a block at a time.
+#: Queries that meet blocks at a time.
 QUERY_GROUP = 1024
+#: Queries that read past the same blocks in one task.
+QUERY_PART = 65_536
 #: Blocks in which the floor of a query's k-th score is found.
 FIRST_BLOCKS = 4
 _EXACT = 2.0**53
 #: No score that fits 64 bits is below this.
 _LEAST = -(1 << 63)
 
-#: Blocks of one list: what a task holds at a time.
-LIST_BLOCKS = 400
+#: Bytes of one list of blocks, or of bounds: what a task holds at a time.
+LIST_BYTES = 32 << 20
 
 #: Numbers in a block are packed as little-endian 64-bit integers.
 BLOCK_SCHEMA = (
@@ -55,6 +65,9 @@ BLOCK_SCHEMA = (
 )
 PACKED = np.dtype("<i8")
 HIT_SCHEMA = "query_id long, vec_id long, score long"
+#: Where queries meet blocks: vectors of a length, a list or a block of them, a part.
+PLACE = ["dims", "place", "part"]
+_QUERY = ["vec_id", "query", "floor"]
 
 
 def integer_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -158,53 +171,126 @@ class Best:
         )
 
 
-def _groups(queries: DataFrame, size: int) -> DataFrame:
-    """Queries in groups of about ``size``: a group is a row."""
-    n = max(1, -(-queries.count() // size))
-    row = F.struct("vec_id", "dims", "weights", "floor")
-    group = F.pmod(F.xxhash64("vec_id"), F.lit(n)).alias("group")
-    return queries.groupBy(group).agg(F.collect_list(row).alias("queries"))
+def _packed(queries: DataFrame, parts: int) -> DataFrame:
+    """``dims``, ``part``, ``vec_id``, ``query``: the weights of each query as bytes."""
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")
+    row = F.min(F.struct("dims", "weights")).alias("row")
+    single = queries.groupBy("vec_id").agg(row).select("row.dims", part, "vec_id", "row.weights")
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.array(w, PACKED).tobytes() for w in batch.column("weights").to_pylist()]
+            columns = [batch.column(c) for c in ("dims", "part", "vec_id")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(rows, pa.binary())], names=["dims", "part", "vec_id", "query"]
+            )
+
+    return single.mapInArrow(pack, "dims int, part int, vec_id long, query binary")
+
+
+def _meet(
+    held: DataFrame,
+    asking: DataFrame,
+    visit: Callable[[tuple, list[dict], pa.RecordBatch], Iterator[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """``visit`` of each place, the rows held there, and a group of the queries that ask there."""
+    both = held.withColumn("asks", F.lit(0)).unionByName(
+        asking.withColumn("asks", F.lit(1)), allowMissingColumns=True
+    )
+    kept = [c for c in held.columns if c not in PLACE]
 
-def _unpacked(queries: list[dict]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(dims, ids, weights, floors) of a group of queries, by length."""
-    for dims in sorted({q["dims"] for q in queries}):
-        own = [q for q in queries if q["dims"] == dims]
-        yield (
-            dims,
-            np.array([q["vec_id"] for q in own], np.int64),
-            np.array([q["weights"] for q in own], np.int64),
-            np.array([q["floor"] for q in own], np.int64),
-        )
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rows = None, []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in (*PLACE, "asks"))
+            start = 0
+            for key, run in itertools.groupby(zip(*columns)):
+                own = batch.slice(start, sum(1 for _ in run))
+                start += own.num_rows
+                if key[:-1] != place:
+                    place, rows = key[:-1], []
+                if not key[-1]:
+                    rows += own.select(kept).to_pylist()
+                elif rows:
+                    for at in range(0, own.num_rows, QUERY_GROUP):
+                        yield from visit(place, rows, own.slice(at, QUERY_GROUP))
+
+    shuffled = both.repartition(*PLACE).sortWithinPartitions(*PLACE, "asks")
+    return shuffled.mapInArrow(stream, schema)
+
+
+def _asked(place: tuple, group: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, weights and floors of a group of queries."""
+    weights = np.frombuffer(b"".join(group.column("query").to_pylist()), PACKED)
+    return (
+        group.column("vec_id").to_numpy(),
+        weights.reshape(group.num_rows, place[0]),
+        group.column("floor").to_numpy(),
+    )
 
 
-def _scored(pairs: DataFrame, k: int, most: int | None) -> DataFrame:
-    """The best k hits a task finds for its groups of queries in its lists of blocks.
+def _bounds_of(weights: np.ndarray, rows: list[dict]) -> np.ndarray:
+    return bounds(
+        weights,
+        np.array([np.frombuffer(r["largest"], PACKED) for r in rows]),
+        np.array([np.frombuffer(r["smallest"], PACKED) for r in rows]),
+    )
 
-    ``most``: visit only that many blocks for each query.
-    """
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for dims, ids, weights, floors in _unpacked(row["queries"]):
-                    own = [b for b in row["blocks"] if b["dims"] == dims]
-                    if own:
-                        best = Best(ids, k, floors)
-                        _visit(best, weights, own, most)
-                        yield best.rows()
+def _first(place: tuple, rows: list[dict], group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The blocks of each query's highest bounds."""
+    ids, weights, _ = _asked(place, group)
+    bound = _bounds_of(weights, rows)
+    order = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS]
+    keys = np.array([r["key"] for r in rows])
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.repeat(ids, order.shape[1])),
+            pa.array(keys[order].ravel()),
+            pa.array(np.take_along_axis(bound, order, axis=1).ravel()),
+        ],
+        names=["vec_id", "key", "bound"],
+    )
+
+
+def _admit(place: tuple, rows: list[dict], group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The queries of each list in which some block's bound is not below their floor."""
+    _, weights, floors = _asked(place, group)
+    alive = _bounds_of(weights, rows) >= floors[:, None]
+    lists = np.array([r["list"] for r in rows])
+    for one in np.unique(lists):
+        blocks_left = alive[:, lists == one].sum(axis=1)
+        at = pa.array(np.flatnonzero(blocks_left))
+        n = len(at)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n, place[0], np.int32)),
+                pa.array(np.full(n, one, np.int64)),
+                pa.array(np.full(n, place[2], np.int32)),
+                *(group.column(c).take(at) for c in _QUERY),
+                pa.array(blocks_left[blocks_left > 0].astype(np.int64)),
+            ],
+            names=[*PLACE, *_QUERY, "blocks"],
+        )
 
-    return pairs.select("queries", "blocks").mapInArrow(score, HIT_SCHEMA)
+
+def _scorer(k: int):
+    """The best k hits of a group of queries in the blocks of a place."""
+
+    def score(place: tuple, rows: list[dict], group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, weights, floors = _asked(place, group)
+        best = Best(ids, k, floors)
+        _visit(best, weights, rows, None)
+        yield best.rows()
+
+    return score
 
 
 def _visit(best: Best, weights: np.ndarray, own: list[dict], most: int | None) -> None:
-    bound = bounds(
-        weights,
-        np.array([np.frombuffer(b["largest"], PACKED) for b in own]),
-        np.array([np.frombuffer(b["smallest"], PACKED) for b in own]),
-    )
+    bound = _bounds_of(weights, own)
     order = np.argsort(-bound, axis=1, kind="stable")
-    matrices = [np.frombuffer(b["weights"], PACKED).reshape(-1, b["dims"]) for b in own]
+    matrices = [np.frombuffer(b["weights"], PACKED).reshape(-1, weights.shape[1]) for b in own]
     ids = [np.frombuffer(b["ids"], PACKED) for b in own]
     # Step by step: every query's next block; those whose bound is too low have ended.
     waiting = np.arange(len(weights))
@@ -226,33 +312,90 @@ def _best(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", place).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id``, ``score`` of each query's k best candidates.
+def _index(vectors: DataFrame, block_size: int) -> tuple[DataFrame, int]:
+    """The stored blocks with a ``key`` and the ``list`` each is in; how many there are."""
+    index = stored(
+        blocks(vectors, block_size).withColumn("key", F.monotonically_increasing_id()),
+        "topk-blocks",
+    )
+    size = index.agg(F.count("*").alias("n"), F.sum(F.length("largest")).alias("bytes")).first()
+    n_lists = _lists(index, size["n"], (size["bytes"] or 0) * block_size)
+    return index.withColumn("list", F.pmod(F.xxhash64("key"), F.lit(n_lists))), size["n"]
 
-    ``vectors`` and ``queries`` are results of ``integer_vectors``.
-    """
-    index = stored(blocks(vectors), "topk-blocks")
-    spark = vectors.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_lists = max(tasks, -(-index.count() // LIST_BLOCKS))
-    in_list = F.pmod(F.xxhash64("dims", "block"), F.lit(n_lists)).cast("int").alias("list")
-    lists = index.groupBy(in_list).agg(F.collect_list(F.struct(*index.columns)).alias("blocks"))
-
-    def met(queries: DataFrame) -> DataFrame:
-        """Every group of queries sent to every list of blocks."""
-        sent = F.explode(F.sequence(F.lit(0), F.lit(n_lists - 1))).alias("list")
-        return _groups(queries, QUERY_GROUP).select("queries", sent).join(lists, "list")
 
-    row = F.min(F.struct("dims", "weights")).alias("row")
-    unbounded = queries.groupBy("vec_id").agg(row).select(
-        "vec_id", "row.*", F.lit(_LEAST).cast("long").alias("floor")
+def _lists(df: DataFrame, rows: int, size: int) -> int:
+    """How many lists of ``LIST_BYTES`` there are, or one for every task if rows allow."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // LIST_BYTES), min(tasks, rows))
+
+
+def _every(n: int, kind: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast(kind), F.lit(n - 1).cast(kind)))
+
+
+def floors(
+    index: DataFrame, maxima: DataFrame, queries: DataFrame, n_maxima: int, k: int
+) -> DataFrame:
+    """Packed ``queries`` with the k-th score each has in its first blocks as ``floor``."""
+    unbounded = queries.withColumn("floor", F.lit(_LEAST).cast("long"))
+    asking = unbounded.withColumn("place", _every(n_maxima, "long"))
+    found = _meet(maxima, asking, _first, "vec_id long, key long, bound long")
+    place = F.row_number().over(Window.partitionBy("vec_id").orderBy(F.desc("bound"), "key"))
+    chosen = stored(
+        found.withColumn("nth", place).where(F.col("nth") <= FIRST_BLOCKS).select("vec_id", "key"),
+        "topk-first",
+    )
+    asking = unbounded.join(chosen, "vec_id").withColumnRenamed("key", "place")
+    # A block goes only to the parts of the queries that chose it.
+    parts = asking.select("place", "part").distinct()
+    held = index.withColumnRenamed("key", "place").drop("list").join(parts, "place")
+    hits = _meet(held, asking, _scorer(k), HIT_SCHEMA)
+    kth = _best(hits, k).where(F.col("rank") == k).select(
+        F.col("query_id").alias("vec_id"), F.col("score").alias("kth")
     )
-    first = _scored(met(unbounded), k, FIRST_BLOCKS)
-    kth = _best(first, k).where(F.col("rank") == k).groupBy("query_id").agg(
-        F.max("score").alias("kth")
+    return stored(
+        unbounded.join(kth, "vec_id", "left").select(
+            "dims", "part", "vec_id", "query", F.coalesce("kth", "floor").alias("floor")
+        ),
+        "topk-floors",
     )
-    floored = unbounded.join(kth, unbounded.vec_id == kth.query_id, "left").select(
-        "vec_id", "dims", "weights", F.coalesce("kth", "floor").alias("floor")
+
+
+def admitted(
+    vectors: DataFrame, queries: DataFrame, k: int = 10, block_size: int = BLOCK_SIZE
+) -> tuple[DataFrame, DataFrame, int]:
+    """The index, the queries that each of its lists cannot exclude, and the parts of these.
+
+    A query's row in a list has in ``blocks`` how many blocks there its floor leaves.
+    """
+    index, n_blocks = _index(vectors, block_size)
+    n_parts = max(1, -(-queries.select("vec_id").distinct().count() // QUERY_PART))
+    packed = stored(_packed(queries, n_parts), "topk-queries")
+    size = index.agg(F.sum(F.length("largest") + F.length("smallest"))).first()[0] or 0
+    n_maxima = _lists(index, -(-n_blocks // QUERY_GROUP), size)
+    maxima = index.select(
+        "dims",
+        F.pmod(F.xxhash64("list"), F.lit(n_maxima)).alias("place"),
+        _every(n_parts, "int").alias("part"),
+        "key",
+        "list",
+        "largest",
+        "smallest",
     )
-    hits = _scored(met(stored(floored, "topk-floors")), k, None)
+    floored = floors(index, maxima, packed, n_maxima, k)
+    asking = floored.withColumn("place", _every(n_maxima, "long"))
+    schema = "dims int, place long, part int, vec_id long, query binary, floor long, blocks long"
+    return index, _meet(maxima, asking, _admit, schema), n_parts
+
+
+def search(
+    vectors: DataFrame, queries: DataFrame, k: int = 10, block_size: int = BLOCK_SIZE
+) -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id``, ``score`` of each query's k best candidates.
+
+    ``vectors`` and ``queries`` are results of ``integer_vectors``.
+    """
+    index, asking, n_parts = admitted(vectors, queries, k, block_size)
+    held = index.withColumnRenamed("list", "place").withColumn("part", _every(n_parts, "int"))
+    hits = _meet(held, asking.drop("blocks"), _scorer(k), HIT_SCHEMA)
     return _best(hits, k).select("query_id", "rank", "vec_id", "score")

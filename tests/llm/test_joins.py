@@ -187,6 +187,62 @@ def test_scores_near_the_ends_of_64_bits(spark):
     assert min(r.score for r in found) < -(1 << 62)
 
 
+def _clustered(clusters: int, each: int, dims: int) -> list[tuple[int, list[float]]]:
+    chance = np.random.default_rng(5)
+    centres = chance.normal(size=(clusters, dims)) * 4
+    near = chance.normal(size=(clusters * each, dims)) * 0.1
+    return [(i, (centres[i // each] + near[i]).tolist()) for i in range(clusters * each)]
+
+
+def test_blocks_are_excluded_before_queries_are_sent(spark, monkeypatch):
+    rows = _clustered(60, 50, 16)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk_blocks.integer_vectors(frame)
+    asked = vectors.where("vec_id % 100 = 0")
+    index, sent, _ = topk_blocks.admitted(vectors, asked, 10, 50)
+    left = sum(r.blocks for r in sent.collect())
+    assert index.count() >= 60
+    assert left < 0.5 * 30 * index.count()
+    whole = np.floor(1024 * np.array([v for _, v in rows])).astype(np.int64)
+    # Queries in parts, several lists in a task, and parts of few queries change nothing.
+    monkeypatch.setattr(topk_blocks, "QUERY_PART", 7)
+    monkeypatch.setattr(topk_blocks, "QUERY_GROUP", 3)
+    monkeypatch.setattr(topk_blocks, "LIST_BYTES", 20_000)
+    found = topk_blocks.search(vectors, asked, 10, 50).collect()
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found)
+    expected = []
+    for q in range(0, 3000, 100):
+        scores = (whole @ whole[q]).tolist()
+        best = sorted((-s, i) for i, s in enumerate(scores) if i != q)[:10]
+        expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == expected
+
+
+def test_floors_come_from_the_best_blocks_of_all(spark):
+    """However many lists there are, a query is scored in a few blocks before its floor."""
+    frame = spark.createDataFrame(_clustered(40, 20, 8), "vec_id long, embedding array<double>")
+    vectors = topk_blocks.integer_vectors(frame)
+    index, n = topk_blocks._index(vectors, 20)
+    packed = topk_blocks._packed(vectors.where("vec_id % 100 = 0"), 1)
+    maxima = index.selectExpr(
+        "dims", "0L place", "0 part", "key", "list", "largest", "smallest"
+    )
+    floored = topk_blocks.floors(index, maxima, packed, 1, 5).collect()
+    whole = {r.vec_id: np.array(r.weights) for r in vectors.collect()}
+    for r in floored:
+        scores = sorted((int(whole[r.vec_id] @ w) for i, w in whole.items() if i != r.vec_id))
+        assert topk_blocks._LEAST < r.floor <= scores[-5]
+    assert n >= 40 and len(floored) == 8
+
+
+def test_vectors_with_other_columns(spark):
+    rows = [(i, [float(i), 1.0], i, "x", 7) for i in range(30)]
+    names = "vec_id long, embedding array<float>, place int, part string, floor int"
+    vectors = topk_blocks.integer_vectors(spark.createDataFrame(rows, names))
+    found = topk_blocks.search(vectors, vectors.where("vec_id = 0"), k=3).collect()
+    assert sorted((r["rank"], r.vec_id) for r in found) == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_blocks_prune_without_loss(spark):
     chance = np.random.default_rng(3)
     centres = chance.normal(size=(8, 6)) * 4
