@@ -13,8 +13,10 @@ Classes are light or heavy by the size of their set:
   down the order a shared shingle may stand follows from both sizes, which leaves out
   most members of such a group that are too far from the others. Members are compared
   with one hub of the list first; once the group is one component, a list has nothing
-  left to compare but members of different components. All such pairs are counted, and
-  those that share enough are verified on their whole sets.
+  left to compare but members of different components. All such pairs are counted. Of
+  those that share enough, the sets' parities (a bit for every place that shingles fall
+  into) give a least difference, which rules most of the others out without their sets;
+  what is left is verified on whole sets.
 
 The boundary between the two is the size at which enumerating, by the sizes there are,
 begins to cost more than the measured lists. Whatever the boundary and the order, the
@@ -325,33 +327,110 @@ def _boundary(heads: DataFrame, ratio: Ratio) -> int:
     return choose_boundary(ratio, sizes, (row["met"] or 0.0) / (row["rows"] or 1.0))
 
 
+def parities(sets: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each set, one bit a place: whether an odd number of its shingles fall there.
+
+    ``sets`` holds the shingles of all sets, ``sizes`` how many each has. A set has the
+    next power of two places to its size, 64 at least; a shingle falls into the place of
+    its last bits.
+    """
+    places = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    ends = np.cumsum(places)
+    at = np.repeat(ends - places, sizes) + (sets & np.repeat(places - 1, sizes))
+    odd = np.bincount(at, minlength=int(places.sum())) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(end - size) // 8 : end // 8] for end, size in zip(ends, places)]
+
+
+def least_difference(left: bytes, right: bytes) -> int:
+    """How many shingles at least are in one of two sets only, by their parities."""
+    a, b = (np.frombuffer(x, np.uint64) for x in sorted((left, right), key=len))
+    while len(b) > len(a):
+        # A place of the smaller one is two of the larger one.
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _with_parities(signed: DataFrame) -> DataFrame:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            bits = parities(lists.flatten().to_numpy(), _list_sizes(lists))
+            yield batch.append_column("bits", pa.array(bits, pa.binary()))
+
+    fields = signed.schema.simpleString()[len("struct<") : -1]
+    return signed.mapInArrow(add, f"{fields},bits:binary")
+
+
 def _whole_sets(docs: DataFrame, n: int, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """(row, shingles) of the given rows; only the sets of their documents are built."""
+    """(row, shingles, bits) of the given rows; only the sets of their documents are built.
+
+    Rows may occur more than once, if their documents repeat an id and its text.
+    """
     wanted = stored(classes.join(rows.distinct(), "row", "left_semi"), "jaccard-wanted")
     ids = _checked(stored(wanted.select(F.col("doc_id").alias("id")).distinct(), "jaccard-ids"))
     own = id_and_text(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    signed = stored(_signed(shingles(own, n)), "jaccard-sets")
+    signed = stored(_with_parities(_signed(shingles(own, n))), "jaccard-sets")
     same = [signed[c] == wanted[c] for c in SIGNATURE]
     by_doc = signed["doc_id"].eqNullSafe(wanted["doc_id"])
-    sets = signed.join(wanted, [by_doc, *same]).select(wanted["row"], signed["shingles"])
-    return sets.dropDuplicates(["row"])
+    return signed.join(_checked(wanted), [by_doc, *same]).select(
+        wanted["row"], signed["size"], signed["shingles"], signed["bits"]
+    )
+
+
+def _near(pairs: DataFrame, sets: DataFrame, ratio: Ratio) -> DataFrame:
+    """The pairs (a, b) that the parities of their sets do not tell apart, stored.
+
+    Linked sets differ by at most the sum of their sizes less twice the least overlap.
+    """
+    bits = sets.dropDuplicates(["row"])
+
+    def side(name: str) -> DataFrame:
+        return bits.select(
+            F.col("row").alias(name),
+            F.col("size").alias(f"{name}_size"),
+            F.col("bits").alias(f"{name}_bits"),
+        )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (
+                batch.column(c).to_pylist() for c in ("a_size", "b_size", "a_bits", "b_bits")
+            )
+            near = [
+                least_difference(left, right) <= s + t - 2 * ratio.overlap(s, t)
+                for s, t, left, right in zip(*columns)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return stored(both.mapInArrow(compare, "a long, b long"), "jaccard-near")
 
 
 def _verified(
     docs: DataFrame, n: int, ratio: Ratio, classes: DataFrame, pairs: DataFrame
 ) -> DataFrame:
-    """The pairs (a, b) of row numbers whose whole sets are similar enough."""
+    """The pairs (a, b) of row numbers whose whole sets are similar enough.
+
+    Whole sets are moved for those pairs alone that their parities do not tell apart.
+    """
     pairs = stored(pairs.select("a", "b"), "jaccard-pairs")
-    ends = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
-    sets = _whole_sets(docs, n, classes, ends)
+    found = _whole_sets(docs, n, classes, _ends(pairs))
+    near = _near(pairs, found.select("row", "size", "bits"), ratio)
+    ends = _checked(stored(_ends(near).distinct(), "jaccard-ends"))
+    sets = found.select("row", "shingles").join(ends, "row", "left_semi").dropDuplicates(["row"])
     left = sets.select(F.col("row").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("row").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = near.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("left", "right"))
     union = F.size("left") + F.size("right") - common
     return both.where(common * ratio.den >= union * ratio.num).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
+
+
 def _labelled(lists: DataFrame, edges: DataFrame) -> DataFrame:
     """The lists with each row's component so far."""
     labels = components(edges)
@@ -446,7 +525,8 @@ def _reordered(
     The members of a group of near copies have most shingles in common; what tells them
     apart comes first here, so that only those meet that differ little from the others.
     """
-    tokens = _whole_sets(docs, n, classes, crowded.select("row")).select(
+    sets = _whole_sets(docs, n, classes, crowded.select("row")).select("row", "shingles")
+    tokens = sets.dropDuplicates(["row"]).select(
         "row", F.explode_outer("shingles").alias("shingle")
     )
     counts = tokens.groupBy("shingle").agg(F.count("*").alias("n"))

@@ -133,6 +133,46 @@ def test_odd_joins(odd, none):
     assert ids == [1, 3, 4, 5, 6, 7, 8, 9, 10, 11]
 
 
+def test_parities_never_exceed_the_difference():
+    chance = np.random.default_rng(7)
+    pool = chance.integers(-(2**63), 2**63 - 1, 5000)
+    for size, other, shared in [(1, 1, 0), (1, 1, 1), (64, 65, 60), (300, 330, 290), (900, 1100, 100)]:
+        left, right = pool[:size], pool[size - shared : size - shared + other]
+        both = np.concatenate([left, pool[:0], right])
+        a, _, b = jaccard_join.parities(both, np.array([size, 0, other]))
+        least = jaccard_join.least_difference(a, b)
+        assert least == jaccard_join.least_difference(b, a)
+        assert least <= size + other - 2 * shared
+        assert least > 0 or size == 1
+    far = jaccard_join.parities(pool[:2000], np.array([1000, 1000]))
+    assert jaccard_join.least_difference(*far) > 600
+
+
+def test_parities_drop_no_linked_pair(spark):
+    ratio = jaccard_join.Ratio(9, 10)
+    chance = np.random.default_rng(8)
+    base = [f"w{i}" for i in chance.integers(0, 400, 2600)]
+    rows = []
+    for i in range(60):
+        words = list(base[: [130, 256, 1030, 2600][i % 4]])
+        for at in chance.integers(0, len(words), int(len(words) * (i % 7) / 150)):
+            words[at] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = jaccard_join._with_parities(jaccard_join._signed(jaccard_join.shingles(docs, 3)))
+    sets = signed.withColumnRenamed("doc_id", "row")
+    pairs = spark.createDataFrame([(a, b) for b in range(60) for a in range(b)], "a long, b long")
+    left = {tuple(r) for r in jaccard_join._near(pairs, sets, ratio).collect()}
+    whole = {r.row: set(r.shingles) for r in sets.collect()}
+    linked = {
+        (a, b)
+        for a, b in map(tuple, pairs.collect())
+        if 100 * len(whole[a] & whole[b]) >= 90 * len(whole[a] | whole[b])
+    }
+    assert linked <= left
+    assert 0 < len(linked) and len(left) < 0.3 * pairs.count()
+
+
 def test_connected_components(spark):
     chain = [(i, i + 1) for i in range(50)] + [(100, 102), (102, 101), (7, 7)]
     edges = spark.createDataFrame(chain, "a long, b long")
