@@ -61,6 +61,8 @@ LONG_LIST = 64
 MAX_FREQUENT = 200_000
 #: Shingles a task holds before it counts them.
 COUNTED_AT_ONCE = 2_000_000
+#: Sets whose parities are computed together.
+SETS_AT_ONCE = 256
 #: Subsets a light set may have.
 MAX_SUBSETS = 1500
 #: Rows up to which a side of a join is broadcast.
@@ -354,9 +356,11 @@ def least_difference(left: bytes, right: bytes) -> int:
 def _with_parities(signed: DataFrame) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("shingles")
-            bits = parities(lists.flatten().to_numpy(), _list_sizes(lists))
-            yield batch.append_column("bits", pa.array(bits, pa.binary()))
+            for start in range(0, batch.num_rows, SETS_AT_ONCE):
+                part = batch.slice(start, SETS_AT_ONCE)
+                lists = part.column("shingles")
+                bits = parities(lists.flatten().to_numpy(), _list_sizes(lists))
+                yield part.append_column("bits", pa.array(bits, pa.binary()))
 
     fields = signed.schema.simpleString()[len("struct<") : -1]
     return signed.mapInArrow(add, f"{fields},bits:binary")

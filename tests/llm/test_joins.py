@@ -145,7 +145,8 @@ def test_parities_never_exceed_the_difference():
         assert least <= size + other - 2 * shared
         assert least > 0 or size == 1
     far = jaccard_join.parities(pool[:2000], np.array([1000, 1000]))
-    assert jaccard_join.least_difference(*far) > 600
+    # 2,000 shingles in 1,024 places leave an odd number in about half of them.
+    assert jaccard_join.least_difference(*far) > 450
 
 
 def test_parities_drop_no_linked_pair(spark):
