@@ -162,16 +162,20 @@ def test_parities_drop_no_linked_pair(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     signed = jaccard_join._with_parities(jaccard_join._signed(jaccard_join.shingles(docs, 3)))
     sets = signed.withColumnRenamed("doc_id", "row")
-    pairs = spark.createDataFrame([(a, b) for b in range(60) for a in range(b)], "a long, b long")
+    # Candidates have sizes that fit each other.
+    fitting = [(a, b) for b in range(60) for a in range(b) if a % 4 == b % 4]
+    pairs = spark.createDataFrame(fitting, "a long, b long")
     left = {tuple(r) for r in jaccard_join._near(pairs, sets, ratio).collect()}
     whole = {r.row: set(r.shingles) for r in sets.collect()}
-    linked = {
-        (a, b)
-        for a, b in map(tuple, pairs.collect())
-        if 100 * len(whole[a] & whole[b]) >= 90 * len(whole[a] | whole[b])
+    apart = {(a, b): len(whole[a] ^ whole[b]) for a, b in fitting}
+    most = {
+        (a, b): len(whole[a]) + len(whole[b]) - 2 * ratio.overlap(len(whole[a]), len(whole[b]))
+        for a, b in fitting
     }
-    assert linked <= left
-    assert 0 < len(linked) and len(left) < 0.3 * pairs.count()
+    linked = {p for p in fitting if apart[p] <= most[p]}
+    assert linked and linked <= left
+    far = {p for p in fitting if apart[p] > 3 * most[p]}
+    assert far and not far & left
 
 
 def test_connected_components(spark):
