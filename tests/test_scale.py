@@ -52,6 +52,27 @@ def test_large_order_is_split_and_summed_whole(spark, skewed):
     assert rows(totals.withColumn("Total_Price", F.round("Total_Price", 2))) == rows(expected)
 
 
+def test_lines_are_shuffled_once_for_their_orders(spark, skewed, settings):
+    """Finding the large orders moves counts only, however large their estimate is."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = physical_plan(landing.order_elements(spark, skewed, items_per_element=50))
+    joins = [line for line in plan.splitlines() if "large_order" in line and "Join" in line]
+    assert len(joins) == 2 and all("BroadcastHashJoin" in line for line in joins)
+
+
+def test_order_files_have_a_line_per_element_and_little_space(spark, skewed, folder):
+    elements = landing.order_elements(spark, skewed)
+    landing.write_order_files(elements, f"{folder}/files", 100)
+    lines = spark.read.text(f"{folder}/files").where("value LIKE ' %'")
+    spaces = F.length(F.regexp_extract("value", "^( *)<", 1))
+    assert lines.agg(F.max(spaces)).first()[0] == 4
+    back = po.read_orders(spark, f"{folder}/files")
+    dated = elements.withColumn("_OrderDate", F.col("_OrderDate").cast("date"))
+    names = back.columns
+    assert back.exceptAll(dated.select(*names)).isEmpty()
+    assert dated.select(*names).exceptAll(back).isEmpty()
+
+
 @pytest.fixture
 def settings(spark):
     """Set session settings for one test."""
