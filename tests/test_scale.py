@@ -73,6 +73,30 @@ def test_order_files_have_a_line_per_element_and_little_space(spark, skewed, fol
     assert dated.select(*names).exceptAll(back).isEmpty()
 
 
+def test_details_by_state_move_items_nested(spark):
+    schema = po.ORDER_SCHEMA.simpleString()
+    item = "named_struct('_PartNumber', {}, 'ProductName', 'p', 'Quantity', 1D, 'Price', 2D)"
+    orders = spark.sql(f"""
+        SELECT o.* FROM (SELECT explode(array(
+          named_struct('_PurchaseOrderNumber', 1L, '_OrderDate', date'2024-01-01',
+            'Address', array(named_struct('_Type', 'S', 'Name', 'a', 'State', 'X'),
+                             named_struct('_Type', 'B', 'Name', 'b', 'State', 'Y')),
+            'Items', named_struct('Item', array({item.format('7L')}, {item.format('8L')}))),
+          named_struct('_PurchaseOrderNumber', NULL, '_OrderDate', NULL,
+            'Address', array(named_struct('_Type', 'S', 'Name', 'a', 'State', NULL)),
+            'Items', NULL),
+          named_struct('_PurchaseOrderNumber', 1L, '_OrderDate', NULL,
+            'Address', NULL, 'Items', NULL))) AS o)""")
+    orders = orders.select(*[F.col(f.name).cast(f.dataType) for f in po.ORDER_SCHEMA.fields])
+    assert schema == orders.schema.simpleString()
+    gathered = landing.details_by_state(orders)
+    assert gathered.columns == po.detail(orders).columns
+    assert rows(gathered) == rows(po.detail(orders)) and gathered.count() == 5
+    plan = physical_plan(gathered)
+    # From the top: items become rows after the shuffle, addresses before.
+    assert plan.index("explode(Item") < plan.index("Exchange") < plan.index("Address")
+
+
 @pytest.fixture
 def settings(spark):
     """Set session settings for one test."""
