@@ -73,6 +73,21 @@ def test_order_files_have_a_line_per_element_and_little_space(spark, skewed, fol
     assert dated.select(*names).exceptAll(back).isEmpty()
 
 
+def test_spoilt_deliveries_are_written_from_stored_orders(spark, monkeypatch):
+    """The orders are built from lines once, not for each of the files written."""
+    plans = []
+    write = landing.write_order_files
+
+    def watched(elements, path, orders_per_file):
+        plans.append(physical_plan(elements))
+        write(elements, path, orders_per_file)
+
+    monkeypatch.setattr(landing, "write_order_files", watched)
+    ALL["po_bronze_bad_records"].run(spark, "/root/testdata/sf0.001")
+    assert len(plans) == 2
+    assert not any("Join" in plan or "collect_list" in plan for plan in plans)
+
+
 def test_details_by_state_move_items_nested(spark):
     schema = po.ORDER_SCHEMA.simpleString()
     item = "named_struct('_PartNumber', {}, 'ProductName', 'p', 'Quantity', 1D, 'Price', 2D)"
