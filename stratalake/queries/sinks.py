@@ -216,7 +216,7 @@ def detail_rows_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reused_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sums of rows that are parsed once and kept while both are written."""
     path = fresh_dir(spark, "sums")
-    orders = read_orders(spark, landing.order_files(spark, sf_dir))
+    orders = read_orders(spark, landing.packed_order_files(spark, sf_dir))
     with reused(detail(orders).select(ORDER, PART, "Quantity")) as kept:
         for kind, key in (("order", ORDER), ("part", PART)):
             sums = sum_per_key(kept, key, {"Quantity": "quantity"})

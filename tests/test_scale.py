@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from frames import physical_plan, rows
@@ -73,6 +74,49 @@ def test_order_files_have_a_line_per_element_and_little_space(spark, skewed, fol
     assert dated.select(*names).exceptAll(back).isEmpty()
 
 
+def test_rows_are_read_from_packed_order_files(spark, skewed):
+    """What readers of rows need is stored once, compressed, and none of it is lost."""
+    path = landing.packed_order_files(spark, skewed)
+    names = [name for name in os.listdir(path) if name.startswith("part-")]
+    assert names and all(name.endswith(".xml.gz") for name in names)
+    plain = spark.read.text(path).agg(F.sum(F.length("value") + 1)).first()[0]
+    assert 5 * sum(os.path.getsize(f"{path}/{name}") for name in names) < plain
+    elements = landing.order_elements(spark, skewed)
+    dated = elements.withColumn("_OrderDate", F.col("_OrderDate").cast("date"))
+    back = po.read_orders(spark, path)
+    assert back.count() == elements.count()
+    assert po.detail(back).exceptAll(po.detail(dated)).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["row_count", "po_quantities", "part_window_stats", "po_chain"])
+def test_queries_of_rows_write_no_plain_order_files(spark, skewed, monkeypatch, name):
+    packings = []
+    write = landing.write_order_files
+
+    def watched(*args, **options):
+        packings.append(options.get("packed", False))
+        write(*args, **options)
+
+    monkeypatch.setattr(landing, "write_order_files", watched)
+    assert ALL[name].run(spark, skewed).count() > 0
+    assert packings == [True]
+
+
+def test_lines_are_moved_flat(spark, skewed, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = physical_plan(landing.order_elements(spark, skewed))
+    moved = re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, l_share", plan).start()
+    assert "collect_list" in plan[:moved] and "collect_list" not in plan[moved:]
+
+
+def test_large_orders_are_counted_exactly(spark):
+    counts = {1: 51, 2: 50, 3: 120, None: 90, **{k: 4 for k in range(10, 400)}}
+    keys = [(key,) for key, n in counts.items() for _ in range(n)]
+    lines = spark.createDataFrame(keys, "l_orderkey bigint").repartition(3)
+    assert rows(landing._large_orders(lines, 50)) == [(1, 2), (3, 3)]
+    assert landing._large_orders(lines.limit(0), 50).isEmpty()
+
+
 def test_spoilt_deliveries_are_written_from_stored_orders(spark, monkeypatch):
     """The orders are built from lines once, not for each of the files written."""
     plans = []
