@@ -105,7 +105,7 @@ def stream_binary_files_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     name="stream_text_lines",
 )
 def stream_text_lines_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = stream_text_lines(spark, f"{landing.order_files(spark, sf_dir)}/*.xml")
+    lines = stream_text_lines(spark, f"{landing.packed_order_files(spark, sf_dir)}/*.xml.gz")
     out = fresh_dir(spark, "text-lines")
     run_once(lines, fresh_dir(spark, "checkpoint"), out)
     # The first tag of a line. What a file has once is not in the SQL, which knows no files.

@@ -16,7 +16,7 @@ from stratalake.queries import ALL
 from stratalake.scratch import fresh_dir, scratch_root
 from stratalake.sinks.merge import _merged
 from stratalake.sinks.tables import overwrite_files
-from stratalake.sources import read_json, read_xml_rows, with_source_path
+from stratalake.sources import read_binary_files, read_json, read_xml_rows, with_source_path
 
 
 @pytest.fixture
@@ -117,6 +117,20 @@ def test_large_orders_are_counted_exactly(spark):
     assert landing._large_orders(lines.limit(0), 50).isEmpty()
 
 
+def test_documents_hold_nothing_between_elements_of_an_order(spark, skewed):
+    """Files that are read as documents spend no bytes on lines, and lose no element."""
+    path = landing.order_files(spark, skewed)
+    names = [name for name in os.listdir(path) if name.startswith("part-")]
+    assert names and all(name.endswith(".xml") for name in names)
+    texts = spark.read.text(path, wholetext=True)
+    assert texts.where(F.col("value").rlike(r">\s+<(?!/?PurchaseOrder)")).isEmpty()
+    packed = po.read_orders(spark, landing.packed_order_files(spark, skewed))
+    whole = po.summary(po.bronze(read_binary_files(spark, path, "*.xml")))
+    assert whole.count() == packed.count()
+    assert po.detail(whole).exceptAll(po.detail(packed)).isEmpty()
+    assert po.detail(packed).exceptAll(po.detail(whole)).isEmpty()
+
+
 def test_spoilt_deliveries_are_written_from_stored_orders(spark, monkeypatch):
     """The orders are built from lines once, not for each of the files written."""
     plans = []
