@@ -11,6 +11,7 @@ from .tables import (
     recover_table,
     register_table,
     reused,
+    stored,
     table_detail,
 )
 
@@ -29,6 +30,7 @@ __all__ = [
     "register_table",
     "reused",
     "rule_totals",
+    "stored",
     "table_detail",
     "track_changes",
     "upsert",

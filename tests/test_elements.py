@@ -5,12 +5,12 @@ from __future__ import annotations
 import os
 
 import pytest
-from frames import rows
+from frames import physical_plan, rows
 from pyspark.sql import types as T
 
 from stratalake.functions import parse_elements, split_elements
 from stratalake.plans import purchase_orders as po
-from stratalake.scratch import fresh_name
+from stratalake.scratch import fresh_name, scratch_root
 from stratalake.sinks import read_log
 from stratalake.streaming import declared as streams
 
@@ -67,6 +67,27 @@ def test_documents_without_elements(spark):
     ]
 
 
+def test_places_count_elements_only(spark):
+    texts = ["<box/>", "<a/><box/> <box>x", "<box/><box/>", "<boxer/>", "", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    assert rows(split_elements(docs, "text", "box")) == [
+        (0, 1, "<box/>"),
+        (1, 1, "<box/>"),
+        (1, 2, "<box>x"),
+        (2, 1, "<box/>"),
+        (2, 2, "<box/>"),
+        (3, 0, "<boxer/>"),
+        (4, 0, ""),
+        (5, 0, ""),
+    ]
+
+
+def test_no_row_holds_the_pieces_of_a_document(spark):
+    docs = spark.createDataFrame([(1, GOOD)], "id int, text string")
+    plan = physical_plan(split_elements(docs, "text", "box"))
+    assert plan.count("split(") == 1 and "Generate posexplode(split(" in plan
+
+
 def test_many_elements_with_bad_ones_take_time_in_proportion(spark):
     element = '<box n="{}"><label>a &lt; b</label></box>'
     text = "".join(element.format("x" if i % 100 == 0 else i) for i in range(60_000))
@@ -75,6 +96,29 @@ def test_many_elements_with_bad_ones_take_time_in_proportion(spark):
     assert rows(counts) == [("does not fit: _n=x", 600), (None, 59_400)]
 
 
+def test_batches_of_orders_are_kept_in_files(spark, folder, monkeypatch):
+    """Neither a batch nor the texts of what was parsed wait in memory for the second table."""
+    os.mkdir(f"{folder}/in")
+    with open(f"{folder}/in/a.xml", "w") as file:
+        file.write(f"<PurchaseOrders>{order(1)}{order(2, 'dear')}</PurchaseOrders>")
+
+    def kept(*_):
+        raise AssertionError("kept in memory")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", kept)
+    names = fresh_name("orders"), fresh_name("bad")
+    good, bad = po.run_checked_bronze(
+        spark, f"{folder}/in", f"{folder}/checkpoint", folder, *names, f"{folder}/log"
+    )
+    assert rows(good.select(po.ORDER)) == [(1,)]
+    assert bad.where("element LIKE '<PurchaseOrder %dear%</PurchaseOrder>'").count() == 1
+    batches = spark.read.parquet(f"{scratch_root(spark)}/stored-*").where(f"path LIKE '%{folder}%'")
+    assert rows(batches.selectExpr("payload IS NULL", "element IS NULL")) == [
+        (False, True),
+        (True, False),
+    ]
+
+
 def order(number, price="2.5", close="</PurchaseOrder>"):
     return (
         f'<PurchaseOrder PurchaseOrderNumber="{number}" OrderDate="2024-01-01"><Items>'

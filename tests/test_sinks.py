@@ -19,6 +19,7 @@ from stratalake.sinks import (
     publish_version,
     register_table,
     reused,
+    stored,
     table_detail,
     upsert,
 )
@@ -271,6 +272,16 @@ def test_reused_frame_is_released(spark):
     assert not df.storageLevel.useMemory
 
 
+def test_stored_frame_is_read_from_files(spark):
+    shape = "id bigint, s struct<a int, b array<string>>, t string"
+    df = frame(spark, (1, (None, None), "x"), (2, None, None), (3, (3, ["y", None]), ""), schema=shape)
+    with stored(df.withColumn("r", F.rand())) as kept:
+        assert kept.columns == ["id", "s", "t", "r"] and "Scan parquet" in physical_plan(kept)
+        assert rows(kept) == rows(kept)
+        assert rows(kept.drop("r")) == rows(df)
+        assert not kept.storageLevel.useMemory
+
+
 def test_a_driver_lost_between_renames_leaves_a_table_to_recover(spark, folder):
     name = fresh_name("t")
     publish_version(frame(spark, (1, 10)), name, f"{folder}/first")
